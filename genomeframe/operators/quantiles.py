@@ -17,10 +17,11 @@ read off its own rank intervals (``rank_error``) and is at most ``eps * n`` (plu
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ Summary = tuple[np.ndarray, np.ndarray, np.ndarray, int]
 def from_sorted(values: np.ndarray) -> Summary:
     """Exact summary; of a run of equal values the first and the last are kept."""
     n = len(values)
-    edge = np.empty(n, bool)
+    edge = np.zeros(n, bool)
     edge[:1] = edge[-1:] = True
     step = values[1:] != values[:-1]
     edge[1:] |= step
@@ -45,6 +46,34 @@ def from_sorted(values: np.ndarray) -> Summary:
     return values[at], at + 1, at + 1, n
 
 
+def grouped(values: np.ndarray, ends: np.ndarray, slack: Callable[[int], float]) -> list[pa.Array]:
+    """Arrow columns ``n, vals, rmin, rmax`` of many groups at once: group i is ``values[ends[i]:ends[i + 1]]``, sorted.
+
+    Only groups large enough to be compressed are handled one by one.
+    """
+    sizes = np.diff(ends)
+    edge = np.ones(len(values), bool)
+    # within a run of equal values inside one group only the first and the last stay
+    inner = np.zeros(len(values), bool)
+    if len(values) > 2:
+        inner[1:-1] = (values[1:-1] == values[:-2]) & (values[1:-1] == values[2:])
+    inner[ends[:-1]] = False
+    inner[ends[1:] - 1] = False
+    edge &= ~inner
+    large = np.flatnonzero([slack(int(n)) >= 1 for n in sizes])
+    rank = np.arange(len(values)) - np.repeat(ends[:-1], sizes) + 1
+    for i in large:
+        a, b = ends[i], ends[i + 1]
+        at = np.flatnonzero(edge[a:b])
+        kept = compress((values[a:b][at], at + 1, at + 1, int(b - a)), slack(int(b - a)))
+        edge[a:b] = False
+        edge[a + kept[1] - 1] = True
+    kept = np.add.reduceat(edge, ends[:-1])
+    offsets = pa.array(np.append(0, np.cumsum(kept)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[edge])) for x in (values, rank.astype(np.int64), rank.astype(np.int64))]
+    return [pa.array(sizes.astype(np.int64)), *lists]
+
+
 def compress(s: Summary, slack: float) -> Summary:
     """Keep the tuples nearest to ranks ``2 * slack`` apart, the first and the last among them."""
     vals, rmin, rmax, n = s
@@ -113,13 +142,17 @@ def _levels(partitions: int) -> int:
     return steps
 
 
-def summarize(df: DataFrame, metrics: Sequence[str], groups: dict[str, Column | str], eps: float = DEFAULT_EPS) -> DataFrame:
+def summarize(
+    df: DataFrame, metrics: Sequence[str], groups: dict[str, Column | str], eps: float = DEFAULT_EPS, cells: Sequence[str] = ()
+) -> DataFrame:
     """``dimension, key, metric, n, vals, rmin, rmax``: one mergeable summary per dimension, key and metric.
 
-    ``groups`` maps the name of a dimension to its key column; each row counts once in every dimension. Null and NaN values
+    ``groups`` maps the name of a dimension to its key column; each row counts once in every dimension. ``cells`` names
+    dimensions whose combinations come out as well, as one more dimension (names joined by ``+``, keys by ``|``, null ``*``). Null and NaN values
     are not values, a null key is the key null, infinities are values. An empty input gives no rows.
     """
     names = list(groups)
+    dims = {n: [n] for n in names} | ({"+".join(cells): list(cells)} if cells else {})
     raw = df.select(*((df[g] if isinstance(g, str) else g).alias(f"g{i}") for i, g in enumerate(groups.values())))
     kinds = [f.dataType for f in raw.schema]
 
@@ -139,36 +172,52 @@ def summarize(df: DataFrame, metrics: Sequence[str], groups: dict[str, Column |
     steps = _levels(partitions)
     levels = steps + 1
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, buffer, size = TaskContext.get(), [], 0
         part = context.partitionId() if context else 0
-
-        def flush() -> pd.DataFrame:
-            pdf, rows = pd.concat(buffer), []
-            for i, m in enumerate(metrics):
-                there = pdf[pdf[f"m{i}"].notna()]
-                # sorted by value once; each dimension's groups then keep that order
-                there = there.iloc[np.argsort(there[f"m{i}"].to_numpy(), kind="stable")]
-                values = there[f"m{i}"].to_numpy()
-                for j, name in enumerate(names):
-                    codes, keys = pd.factorize(there[f"g{j}"], use_na_sentinel=False)
-                    order = np.argsort(codes, kind="stable")
-                    ends = np.cumsum(np.bincount(codes, minlength=len(keys))) if len(keys) else []
-                    for k, own in zip(keys, np.split(values[order], ends[:-1])):
-                        s = compress(from_sorted(own), _slack(len(own), eps, levels))
-                        rows.append((name, shown(k, kinds[j]), m, part, *_row(s)))
-            return pd.DataFrame(rows, columns=["dimension", "key", "metric", "part", "n", "vals", "rmin", "rmax"])
-
-        for pdf in batches:
-            buffer.append(pdf)
-            size += len(pdf)
+        for batch in batches:
+            buffer.append(batch)
+            size += batch.num_rows
             if size >= BUFFER_ROWS:
-                yield flush()
+                yield from flush(buffer, part)
                 buffer, size = [], 0
         if buffer:
-            yield flush()
-
-    out = narrow.mapInPandas(build, f"dimension string, key string, metric string, part long, {SUMMARY}")
+            yield from flush(buffer, part)
+
+    def flush(buffer: list[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(buffer)
+        codes = []
+        for j in range(len(names)):
+            c = rows.column(f"g{j}").combine_chunks().dictionary_encode(null_encoding="encode")
+            codes.append((c.indices.to_numpy(zero_copy_only=False), c.dictionary.to_pylist()))
+        for i, m in enumerate(metrics):
+            values = rows.column(f"m{i}").to_numpy().astype(float)
+            there = np.flatnonzero(~np.isnan(values))
+            # sorted by value once; each dimension's groups then keep that order
+            there = there[np.argsort(values[there], kind="stable")]
+            for name, columns in dims.items():
+                own = [codes[names.index(c)] for c in columns]
+                group = np.zeros(len(there), np.int64)
+                for c, keys in own:
+                    group = group * max(1, len(keys)) + c[there]
+                order = np.argsort(group, kind="stable")
+                found, ends = np.unique(group[order], return_index=True)
+                if not len(found):
+                    continue
+                summaries = grouped(values[there][order], np.append(ends, len(order)), lambda n: _slack(n, eps, levels))
+                labels, rest = [], found
+                for c, keys in reversed(own):
+                    shown_keys = [shown(k, kinds[names.index(columns[len(own) - 1 - len(labels)])]) for k in keys]
+                    labels.insert(0, [shown_keys[x] for x in rest % len(keys)])
+                    rest = rest // len(keys)
+                key = labels[0] if len(labels) == 1 else ["|".join("*" if x is None else x for x in t) for t in zip(*labels)]
+                n = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * n), pa.array(key, pa.string()), pa.array([m] * n), pa.array(np.full(n, part, np.int64)), *summaries],
+                    ["dimension", "key", "metric", "part", "n", "vals", "rmin", "rmax"],
+                )
+
+    out = narrow.mapInArrow(build, f"dimension string, key string, metric string, part long, {SUMMARY}")
     for step in range(steps):
         left = FAN_IN ** (step + 1)
         out = _merged(out.withColumn("part", F.floor(F.col("part") / left).cast("long")) if step < steps - 1 else out.withColumn("part", F.lit(0).cast("long")), eps, levels)
@@ -176,20 +225,37 @@ def summarize(df: DataFrame, metrics: Sequence[str], groups: dict[str, Column |
 
 
 def _merged(summaries: DataFrame, eps: float, levels: int, keys: Sequence[str] = ("dimension", "key", "metric", "part")) -> DataFrame:
-    """One summary per ``keys``; merged ``FAN_IN`` at a time."""
+    """One summary per ``keys``; merged ``FAN_IN`` at a time. Rows of a group meet in one task, sorted; only one group is held."""
     keys, kinds = list(keys), dict(summaries.dtypes)
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [(np.asarray(v, float), np.asarray(a), np.asarray(b), int(n)) for n, v, a, b in zip(pdf["n"], pdf["vals"], pdf["rmin"], pdf["rmax"])]
+    def merged(parts: list[Summary]) -> Summary:
+        if len(parts) == 1:
+            return parts[0]
         # a definite order: results do not depend on the order in which shuffled rows arrive
         parts.sort(key=lambda s: (s[3], len(s[0]), tuple(s[0][:8]), s[0].sum(), tuple(s[1][:8])))
         while len(parts) > 1:
             parts = [combine(parts[i : i + FAN_IN]) for i in range(0, len(parts), FAN_IN)]
-        s = parts[0]
-        s = compress(s, _slack(s[3], eps, levels))
-        return pd.DataFrame([(*(pdf[k].iloc[0] for k in keys), *_row(s))], columns=[*keys, "n", "vals", "rmin", "rmax"])
+        return compress(parts[0], _slack(parts[0][3], eps, levels))
 
-    return summaries.select(*keys, "n", "vals", "rmin", "rmax").groupBy(*keys).applyInPandas(merge, f"{', '.join(f'{k} {kinds[k]}' for k in keys)}, {SUMMARY}")
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, parts, out = None, [], []
+        for pdf in batches:
+            for row in zip(*(pdf[k] for k in keys), pdf["n"], pdf["vals"], pdf["rmin"], pdf["rmax"]):
+                key = row[: len(keys)]
+                if key != current and parts:
+                    out.append((*current, *_row(merged(parts))))
+                    parts = []
+                current = key
+                n, v, a, b = row[len(keys) :]
+                parts.append((v, a, b, int(n)))
+            if out:
+                yield pd.DataFrame(out, columns=[*keys, "n", "vals", "rmin", "rmax"])
+                out = []
+        if parts:
+            yield pd.DataFrame([(*current, *_row(merged(parts)))], columns=[*keys, "n", "vals", "rmin", "rmax"])
+
+    rows = summaries.select(*keys, "n", "vals", "rmin", "rmax").repartition(*keys).sortWithinPartitions(*keys)
+    return rows.mapInPandas(merge, f"{', '.join(f'{k} {kinds[k]}' for k in keys)}, {SUMMARY}")
 
 
 def merge_summaries(summaries: DataFrame, keys: Sequence[str] = ("dimension", "key", "metric"), eps: float = DEFAULT_EPS) -> DataFrame:

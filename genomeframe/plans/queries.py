@@ -72,18 +72,20 @@ def p3_per_key(spark: SparkSession, d: str) -> DataFrame:
     return name(a, "alignments").unionByName(name(v, "variants")).drop("n_chunks")
 
 
-def _summaries(spark: SparkSession, d: str, dims: tuple[str, ...] = ("reference", "sample", "day")) -> DataFrame:
+def _summaries(spark: SparkSession, d: str, dims: tuple[str, ...] = ("reference", "sample", "day"), cells: tuple[str, ...] = ()) -> DataFrame:
     a, v = table(spark, d, "alignments"), table(spark, d, "variants")
     ga = {"reference": "reference_sequence_id", "sample": "sample_id", "day": F.to_date("sequenced_at")}
     gv = {"reference": "chrom", "sample": "sample_id", "day": F.to_date("called_at")}
     pick = lambda g: {k: g[k] for k in dims}
-    left = quantiles.summarize(a, ["mapping_quality", "template_length"], pick(ga)).withColumn("table_name", F.lit("alignments"))
-    return left.unionByName(quantiles.summarize(v, ["qual"], pick(gv)).withColumn("table_name", F.lit("variants")))
+    left = quantiles.summarize(a, ["mapping_quality", "template_length"], pick(ga), cells=cells).withColumn("table_name", F.lit("alignments"))
+    return left.unionByName(quantiles.summarize(v, ["qual"], pick(gv), cells=cells).withColumn("table_name", F.lit("variants")))
 
 
 def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles per reference or chromosome, per sample and per day, with the bound on the rank error of each."""
-    return quantiles.quantiles(_summaries(spark, d), PROBS)
+    """Percentiles per reference or chromosome, per sample, per day, and per combination of the three; with the bound on the
+    rank error of each."""
+    dims = ("reference", "sample", "day")
+    return quantiles.quantiles(_summaries(spark, d, dims, dims), PROBS)
 
 
 def p4_days_together(spark: SparkSession, d: str) -> DataFrame:
