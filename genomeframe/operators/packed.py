@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: The separators that form dialects of their own; ANY stands for every character that separates.
 SEPARATORS = (",", ";", "|", "/", "&", "\t", " ")
 ANY = "any"
@@ -173,9 +175,9 @@ def split_packed(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFram
     ``dialect`` names the separator and the quote marks of the parse that was cheapest. A null or blank field has no rows; a
     value that occurs twice gives two rows; rows with a null id are kept. Fields of any length are read whole.
     """
-    safe = df.select(df[id_col].alias("id"), *(df[c].cast("string").alias(f"c{i}") for i, c in enumerate(columns)))
+    safe = df.select(df[id_col].cast("string").alias("id"), *(df[c].cast("string").alias(f"c{i}") for i, c in enumerate(columns)))
     fields = F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(f"c{i}").alias("text")) for i, c in enumerate(columns))))
-    fields = safe.select("id", fields.alias("f")).select("id", "f.field_name", "f.text").where("text IS NOT NULL")
+    fields = spread(safe).select("id", fields.alias("f")).select("id", "f.field_name", "f.text").where("text IS NOT NULL")
     code = code_lengths(fields.select("field_name", "text"))
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,7 +196,7 @@ def split_packed(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFram
                 found.append([{"pos": i, "value": v} for i, (v, _, q) in enumerate(places, 1) if q or v not in ("", ".")])
             yield pdf[["id", "field_name"]].assign(dialect=dialects, places=found)
 
-    id_type = safe.schema["id"].dataType.simpleString()
-    out = fields.mapInPandas(split, f"id {id_type}, field_name string, dialect string, {PLACE}")
+    # ids travel as text: pandas would round large numbers beside nulls
+    out = fields.mapInPandas(split, f"id string, field_name string, dialect string, {PLACE}")
     out = out.select("id", "field_name", "dialect", F.size("places").alias("n_values"), F.explode("places").alias("p"))
-    return out.select(F.col("id").alias(id_col), "field_name", F.col("p.pos").alias("value_pos"), F.col("p.value").alias("value_text"), "n_values", "dialect")
+    return out.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), "field_name", F.col("p.pos").alias("value_pos"), F.col("p.value").alias("value_text"), "n_values", "dialect")

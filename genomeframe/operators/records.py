@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 VCF_FIELDS = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info")
 SAM_FIELDS = (
     "name", "flags", "reference_sequence_name", "alignment_start", "mapping_quality", "cigar",
@@ -204,7 +206,7 @@ def parse_records(df: DataFrame, id_col: str = "line_id", fmt_col: str = "fmt",
     error has that error only. A carriage return at a line's end is not part of it. A null line is an empty one and thus
     no valid record; an unknown format gives the reason ``format``. Further columns are ignored; repeated rows are kept.
     """
-    safe = df.select(df[id_col].alias("id"), df[fmt_col].cast("string").alias("fmt"), df[line_col].cast("string").alias("line"))
+    safe = df.select(df[id_col].cast("string").alias("id"), df[fmt_col].cast("string").alias("fmt"), df[line_col].cast("string").alias("line"))
     names = ["reason", "field_no", "offset", "message"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -216,9 +218,9 @@ def parse_records(df: DataFrame, id_col: str = "line_id", fmt_col: str = "fmt",
                     rows.append((i, fmt, no, kind, vcf, sam, [dict(zip(names, e)) for e in errors]))
             yield pd.DataFrame(rows, columns=["id", "fmt", "record_no", "kind", "vcf", "sam", "errors"])
 
-    kind = safe.schema["id"].dataType.simpleString()
-    out = safe.mapInPandas(read, f"id {kind}, fmt string, record_no int, kind string, vcf {VCF_TYPE}, sam {SAM_TYPE}, errors {ERROR_TYPE}")
-    return out.withColumnRenamed("id", id_col)
+    # ids travel as text: pandas would round large numbers beside nulls
+    out = spread(safe).mapInPandas(read, f"id string, fmt string, record_no int, kind string, vcf {VCF_TYPE}, sam {SAM_TYPE}, errors {ERROR_TYPE}")
+    return out.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
 def bad_lines(parsed: DataFrame, id_col: str = "line_id") -> DataFrame:

@@ -49,3 +49,12 @@ def cut(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows on at least as many partitions as there are cores, for work in Python on a small file; large scans stay as they are.
+
+    ``df`` should be a scan: finding its number of partitions would run a shuffle before it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
