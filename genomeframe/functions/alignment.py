@@ -55,4 +55,4 @@ def quality_text(quality: Column) -> Column:
 
 def alignment_end(start: Column, cigar: Column) -> Column:
     """Last covered position, 1-based; an empty cigar covers one position."""
-    return start + F.greatest(reference_length(cigar), F.lit(1)) - 1
+    return F.when(cigar.isNotNull(), start + F.greatest(reference_length(cigar), F.lit(1)) - 1)
