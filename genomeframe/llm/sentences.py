@@ -27,10 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import cut, spread
 
 #: A word's statistics are kept if it makes up this share of the words counted, and at least MIN_COUNT of them.
 MIN_SHARE, MIN_COUNT = 2e-5, 3
+#: Longer words are not counted.
+LONGEST_WORD = 24
 #: The search looks back over so many candidates for the start of a span.
 LOOK_BACK = 48
 
@@ -49,6 +51,8 @@ BEFORE_NUMBER = frozenset(
     "no nos nr n p pp pg pág págs s seite fig figs abb abs art bd vol gr kap ch sec eq tab apt dpto ca env aprox approx "
     "c vers ver стр с рис табл гл п № д кв т jan feb mar apr jun jul aug sep sept oct nov dec".split()
 )
+#: Abbreviations that always go on.
+NEVER = frozenset("vgl bzw cf vs e.g i.e d.h z.b c.-à-d p.ex p.ej т.е approx env aprox ca inkl incl resp zzgl".split())
 #: Abbreviations that seldom end a sentence, unless a capital or a known opening word follows.
 INSIDE = frozenset(
     "e.g i.e vs cf etc esp resp incl inkl ca bzw usw z.b d.h u.a o.ä evtl ggf vgl std min sek str nr ltd inc corp co dept est "
@@ -75,24 +79,27 @@ def is_cased(c: str) -> bool:
     return c.lower() != c.upper()
 
 
+#: Letters of Thai, Lao, Burmese and Khmer, which use no end marks, and of all scripts without spaces.
+_MARKLESS_LETTERS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_SPACELESS_LETTERS = _MARKLESS_LETTERS + "\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_MARKLESS = re.compile(f"[{_MARKLESS_LETTERS}]")
+_SPACELESS = re.compile(f"[{_SPACELESS_LETTERS}]")
+_SPACED_WORD = re.compile(rf"[^\W\d_{_SPACELESS_LETTERS}]+(?:['’\-][^\W\d_{_SPACELESS_LETTERS}]+)*")
+_ALNUM = re.compile(r"[^\W_]")
+
+
 def spaceless(c: str) -> bool:
-    """Letters of scripts that put no spaces between words."""
-    return "฀" <= c <= "໿" or "က" <= c <= "႟" or "ក" <= c <= "៿" or "⺀" <= c <= "鿿" or "가" > c >= "ꀀ" or "豈" <= c <= "﫿" or "ｦ" <= c <= "ﾟ"
+    """A letter of a script that puts no spaces between words."""
+    return _SPACELESS.match(c) is not None
 
 
 def markless(c: str) -> bool:
-    """Letters of scripts that use no end marks: Thai, Lao, Khmer, Burmese."""
-    return "฀" <= c <= "໿" or "က" <= c <= "႟" or "ក" <= c <= "៿"
+    return _MARKLESS.match(c) is not None
 
 
 def style(text: str) -> str:
     """``mixed`` if case tells something, else ``lower`` or ``upper``; ``none`` for scripts without case."""
-    upper = lower = 0
-    for c in text:
-        if c.isupper():
-            upper += 1
-        elif c.islower():
-            lower += 1
+    upper, lower = sum(map(str.isupper, text)), sum(map(str.islower, text))
     if upper + lower == 0:
         return "none"
     return "lower" if upper == 0 else "upper" if lower <= upper * 0.05 else "mixed"
@@ -213,7 +220,7 @@ class Paragraph:
             c = self.judge(m.start(), marks, m.end(), end, nxt, opener, kind, emoji, out)
             if c is not None:
                 out.append(c)
-        if any(markless(c) for c in text[self.start : stop]):
+        if _MARKLESS.search(text, self.start, stop):
             out += self.spaces()
             out.sort(key=lambda c: c.end)
         return out
@@ -259,15 +266,17 @@ class Paragraph:
                 score = 2.0 if learned is None or not is_cased(before) else learned
             elif plain in TITLES and (c.isupper() or not cased_style or not is_cased(c)):
                 return None
-            elif plain in BEFORE_NUMBER and c.isdigit():
+            elif plain in NEVER or (plain in BEFORE_NUMBER and c.isdigit()):
                 return None
+            elif plain == "no" and opening > 0.0:
+                score = 3.0  # the answer, not the abbreviation
             elif plain in INSIDE and word and word.group().casefold() in INSIDE and text.startswith(".", word.end()):
                 return None  # an abbreviation of several words
             elif len(plain) == 1 and plain.isalpha() and not spaceless(plain):
                 numbered = text[max(self.start, at - 2) : at - 1].isspace() and text[max(self.start, at - 3) : at - 2].isdigit()
                 if not (numbered and c.isupper()):
                     if before.isupper() or not is_cased(before) or learned is None:
-                        score = -4.0
+                        score = -2.0 if not before.isupper() and c.isupper() and opening > 1.0 else -4.0
             elif plain.isdigit() and _LIST_NO.search(text, max(self.start, at - 5), mark_end) and self.opens_list(at - len(plain), out):
                 return None
             elif plain.isdigit() and len(plain) <= 2 and word and word.group().casefold() in MONTHS:
@@ -352,12 +361,11 @@ class Paragraph:
         return -6.0 * bad
 
     def length(self, i: int, j: int) -> float:
-        part = self.text[i:j]
-        if not any(c.isalnum() for c in part):
+        if not _ALNUM.search(self.text, i, j):
             return -12.0
-        if len(part) <= 4 and part.rstrip(".)").isdigit():
+        if j - i <= 4 and self.text[i:j].rstrip(".)").isdigit():
             return -6.0
-        if len(part) < 8 and markless(part[0]):
+        if j - i < 8 and markless(self.text[i]):
             return -2.0
         return -max(0.0, (j - i - 400) / 100)
 
@@ -405,12 +413,11 @@ def split_text(text: str | None, words: Words) -> list[tuple[int, int]]:
 _SEEN = re.compile(r"(\S*[^\W\d_])([.…]+|[!?]+)[\"”»)]*\s+[\"“„«(¿¡]*([^\W_])")
 
 
-def _count(text: str, close: Counter, opening: Counter) -> None:
-    """Count words that close and open sentences where case or a strong mark tells."""
+def _count(text: str, close: Counter, opening: Counter, total: Counter) -> None:
+    """Count words that close and open sentences where case or a strong mark tells, and all words in ``total``."""
     kind = style(text)
     for start, stop in paragraphs(text):
         part = text[start:stop]
-        first = True
         sure = {0}
         for m in _SEEN.finditer(part):
             token, marks, c = m.group(1), m.group(2), m.group(3)
@@ -431,32 +438,29 @@ def _count(text: str, close: Counter, opening: Counter) -> None:
                 token = _BEFORE.search(token)
                 if token:
                     close[_key(token.group().lstrip("¿¡'‘"), marks), 1] += 1
-        for m in _WORD.finditer(part):
-            if spaceless(m.group()[0]):
-                continue
-            w = m.group().casefold()
-            if len(w) > 24:
-                continue
-            opening[w, 1] += 1
-            if first or m.start() in sure:
-                opening[w, 0] += 1
-            first = False
+        found = [w for w in map(str.casefold, _SPACED_WORD.findall(part)) if len(w) <= LONGEST_WORD]
+        total.update(found)
+        for at in sure:
+            m = _SPACED_WORD.search(part, at) if at == 0 else _SPACED_WORD.match(part, at)
+            if m and m.end() - m.start() <= LONGEST_WORD:
+                opening[m.group().casefold()] += 1
 
 
 def word_statistics(df: DataFrame, text_col: str = "text") -> Words:
     """Count over all texts which words close and which open sentences; one small aggregation with map-side sums."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        close, opening = Counter(), Counter()
+        close, opening, total = Counter(), Counter(), Counter()
         for pdf in batches:
             for text in pdf["text"]:
                 if text:
-                    _count(text, close, opening)
-        rows = [(kind, w, c[w, 0], n) for kind, c in (("close", close), ("open", opening)) for (w, what), n in c.items() if what == 1]
+                    _count(text, close, opening, total)
+        rows = [("close", w, close[w, 0], n) for (w, what), n in close.items() if what == 1] + [("open", w, opening[w], n) for w, n in total.items()]
         yield pd.DataFrame(rows, columns=["kind", "word", "hits", "n"])
 
     texts = spread(df.select(df[text_col].cast("string").alias("text")).where("text IS NOT NULL"))
     counts = texts.mapInPandas(count, "kind string, word string, hits long, n long").groupBy("kind", "word").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
+    counts = cut(counts)  # read twice below; without this the texts would be counted twice
     # one total per kind, then only words above the share: at most 1 / MIN_SHARE rows of either kind
     totals = {r["kind"]: r["n"] for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     least = {k: max(MIN_COUNT, n * MIN_SHARE) for k, n in totals.items()}
