@@ -1,6 +1,7 @@
-"""Decoding of the binary alignment columns with built-in functions (no Python in the task).
+"""Decoding and encoding of the binary alignment columns with built-in functions (no Python in the task).
 
-``cigar`` holds little-endian 32-bit words (length << 4 | operation), ``sequence`` two 4-bit bases a byte.
+``cigar`` holds little-endian 32-bit words (length << 4 | operation), ``sequence`` two 4-bit bases a byte, ``quality_scores``
+raw numbers. The text forms are those of SAM.
 """
 
 from __future__ import annotations
@@ -13,46 +14,73 @@ OPERATIONS = "MIDNSHP=X"
 BASES = "=ACMGRSVTWYHKDBN"
 #: Operations that advance on the reference.
 ON_REFERENCE = "MDN=X"
+_CODES = "0123456789ABCDEF"
 
 
-def _ops(cigar: Column) -> Column:
-    """array<struct<op, len>> of a raw cigar."""
-    digits = F.hex(cigar)
-    byte = lambda i, k: F.conv(F.substring(digits, i * 8 + 2 * k + 1, F.lit(2)), 16, 10).cast("long")
+def _words(cigar: Column) -> Column:
+    """The words of a raw cigar as eight hex digits each, the most significant first."""
+    digits = F.regexp_replace(F.hex(cigar), "(..)(..)(..)(..)", "$4$3$2$1")
+    n = F.floor(F.length(digits) / 8).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(digits, i * 8 + 1, F.lit(8)))).otherwise(F.array().cast("array<string>"))
 
-    def word(i: Column) -> Column:
-        n = byte(i, 0) + byte(i, 1) * 256 + byte(i, 2) * 65536 + byte(i, 3) * 16777216
-        code = (n % 16).cast("int")
-        return F.struct(F.substring(F.lit(OPERATIONS), code + 1, F.lit(1)).alias("op"), F.floor(n / 16).cast("long").alias("len"))
 
-    n = F.floor(F.length(digits) / 8).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), word)).otherwise(F.array().cast("array<struct<op:string,len:bigint>>"))
+def _length(word: Column) -> Column:
+    return F.conv(F.substring(word, F.lit(1), F.lit(7)), 16, 10).cast("long")
+
+
+def _operation(word: Column) -> Column:
+    return F.translate(F.substring(word, F.lit(8), F.lit(1)), _CODES[: len(OPERATIONS)], OPERATIONS)
 
 
 def cigar_text(cigar: Column) -> Column:
     """``36M2D``; ``*`` for an empty cigar, null for null."""
-    text = F.array_join(F.transform(_ops(cigar), lambda x: F.concat(x["len"].cast("string"), x["op"])), "")
+    text = F.array_join(F.transform(_words(cigar), lambda w: F.concat(_length(w).cast("string"), _operation(w))), "")
     return F.when(cigar.isNotNull(), F.when(text == "", F.lit("*")).otherwise(text))
 
 
+def cigar_binary(text: Column) -> Column:
+    """The raw cigar of ``36M2D``; empty for ``*``."""
+    found = F.regexp_extract_all(text, F.lit("([0-9]+[MIDNSHP=X])"), 1)
+
+    def word(item: Column) -> Column:
+        op = F.instr(F.lit(OPERATIONS), F.right(item, F.lit(1))) - 1
+        n = F.regexp_extract(item, "^[0-9]+", 0).cast("long") * 16 + op
+        return F.regexp_replace(F.lpad(F.hex(n), 8, "0"), "(..)(..)(..)(..)", "$4$3$2$1")
+
+    return F.when(text.isNotNull(), F.unhex(F.array_join(F.transform(found, word), "")))
+
+
 def reference_length(cigar: Column) -> Column:
     """Positions of the reference that the alignment covers; 0 for an empty cigar."""
-    total = F.aggregate(_ops(cigar), F.lit(0).cast("long"), lambda a, x: a + F.when(F.lit(ON_REFERENCE).contains(x["op"]), x["len"]).otherwise(F.lit(0)))
-    return F.when(cigar.isNotNull(), total)
+    covers = F.filter(_words(cigar), lambda w: F.lit(ON_REFERENCE).contains(_operation(w)))
+    return F.when(cigar.isNotNull(), F.aggregate(covers, F.lit(0).cast("long"), lambda a, w: a + _length(w)))
 
 
 def sequence_text(sequence: Column, length: Column | None = None) -> Column:
     """Bases as letters; ``length`` drops the padding of an odd number of bases (else a trailing ``=`` is dropped)."""
-    letters = F.translate(F.hex(sequence), "0123456789ABCDEF", BASES)
+    letters = F.translate(F.hex(sequence), _CODES, BASES)
     return F.substring(letters, F.lit(1), length.cast("int")) if length is not None else F.regexp_replace(letters, "=$", "")
 
 
+def sequence_binary(text: Column) -> Column:
+    """Letters packed two a byte, an odd number padded by 0; unknown letters count as N, ``*`` is empty."""
+    known = F.regexp_replace(F.upper(F.when(text == "*", F.lit("")).otherwise(text)), f"[^{BASES}]", "N")
+    digits = F.translate(known, BASES, _CODES)
+    return F.unhex(F.concat(digits, F.when(F.length(digits) % 2 == 1, F.lit("0")).otherwise(F.lit(""))))
+
+
 def quality_text(quality: Column) -> Column:
     """Raw qualities as text with an offset of 33."""
     codes = F.split(F.regexp_replace(F.hex(quality), "(..)", "$1,"), ",")
     return F.array_join(F.transform(F.filter(codes, lambda x: x != ""), lambda x: F.char(F.conv(x, 16, 10).cast("int") + 33)), "")
 
 
+def quality_binary(text: Column) -> Column:
+    """Raw qualities of text with an offset of 33; ``*`` is empty."""
+    chars = F.filter(F.split(F.when(text == "*", F.lit("")).otherwise(text), ""), lambda c: c != "")
+    return F.unhex(F.array_join(F.transform(chars, lambda c: F.lpad(F.hex(F.ascii(c) - 33), 2, "0")), ""))
+
+
 def alignment_end(start: Column, cigar: Column) -> Column:
-    """Last covered position, 1-based; an empty cigar covers one position."""
+    """Last covered position, 1-based; an empty cigar covers one position, a null one has no end."""
     return F.when(cigar.isNotNull(), start + F.greatest(reference_length(cigar), F.lit(1)) - 1)
