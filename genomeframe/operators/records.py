@@ -198,7 +198,7 @@ def parse_text(text: str | None, fmt: str | None) -> list[tuple[int, str, dict |
     return out
 
 
-def parse_records(df: DataFrame, id_col: str = "line_id", fmt_col: str = "fmt", line_col: str = "line") -> DataFrame:
+def parse_records(df: DataFrame, id_col: str = "line_id", fmt_col: str = "fmt", line_col: str = "line", spread_rows: bool = True) -> DataFrame:
     """One row per header or record: ``id_col, fmt, record_no, kind, vcf, sam, errors``. No shuffle.
 
     ``kind`` is ``header``, ``record`` or ``bad``; a valid record has its typed values in ``vcf`` or ``sam``, a bad one has its
@@ -219,7 +219,7 @@ def parse_records(df: DataFrame, id_col: str = "line_id", fmt_col: str = "fmt",
             yield pd.DataFrame(rows, columns=["id", "fmt", "record_no", "kind", "vcf", "sam", "errors"])
 
     # ids travel as text: pandas would round large numbers beside nulls
-    out = spread(safe).mapInPandas(read, f"id string, fmt string, record_no int, kind string, vcf {VCF_TYPE}, sam {SAM_TYPE}, errors {ERROR_TYPE}")
+    out = (spread(safe) if spread_rows else safe).mapInPandas(read, f"id string, fmt string, record_no int, kind string, vcf {VCF_TYPE}, sam {SAM_TYPE}, errors {ERROR_TYPE}")
     return out.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
