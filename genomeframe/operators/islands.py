@@ -15,34 +15,37 @@ from pyspark.sql import functions as F
 from . import carry
 
 
-def distinct_starts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key and start with its largest end; this bounds a bin by its width in positions.
+def distinct_starts(df: DataFrame, keys: Sequence[str], empties: bool = True) -> DataFrame:
+    """``keys, s, e, n``: one row per key and start with its largest end; this bounds a bin by its width in positions.
 
-    Zero-length intervals (``empty``) stay apart from the others at the same start, with their number ``n``.
+    Zero-length intervals stay apart from the others at the same start, with their number ``n``; ``n`` is 1 for others.
+    Without ``empties`` the input has none, and ``n`` is 1 throughout.
     """
-    return df.groupBy(*keys, "s", (F.col("s") >= F.col("e")).alias("empty")).agg(F.max("e").alias("e"), F.count("*").alias("n"))
+    if not empties:
+        return df.groupBy(*keys, "s").agg(F.max("e").alias("e")).withColumn("n", F.lit(1).cast("long"))
+    empty = F.col("s") >= F.col("e")
+    out = df.groupBy(*keys, "s", empty.alias("empty")).agg(F.max("e").alias("e"), F.count("*").alias("n"))
+    return out.select(*keys, "s", "e", F.when(F.col("empty"), F.col("n")).otherwise(F.lit(1)).cast("long").alias("n"))
 
 
-def with_previous_end(df: DataFrame, keys: Sequence[str], *ties: str) -> DataFrame:
-    """Add ``prev_end``, the largest end of all rows of the key before this one, and ``opens``: the row starts an island.
+def flagged_starts(df: DataFrame, keys: Sequence[str], empties: bool = True) -> DataFrame:
+    """The distinct starts of ``df`` (keys, s, e without nulls) with ``prev_end`` and ``opens``.
 
+    ``prev_end`` is the largest end of all rows of the key before this one; ``opens`` tells that the row starts an island.
     Touching intervals (start = previous end) open a new island.
     """
-    df = carry.with_bin(df, "s")
-    df = carry.with_carry(
-        df,
-        keys,
-        {"bin_end": F.max("e")},
-        {"carried_end": lambda spec: F.max("bin_end").over(carry.before(spec))},
+    starts = carry.with_bin(distinct_starts(df, keys, empties), "s")
+    starts = carry.with_carry(
+        starts, keys, {"bin_end": F.max("e")}, {"carried_end": lambda spec: F.max("bin_end").over(carry.before(spec))}, source=carry.with_bin(df, "s")
     )
-    local = F.max("e").over(carry.before(carry.inside(keys, "s", "e", *ties)))
-    df = df.withColumn("prev_end", F.greatest(local, F.col("carried_end"))).drop("carried_end")
-    return df.withColumn("opens", F.col("prev_end").isNull() | (F.col("s") >= F.col("prev_end")))
+    local = F.max("e").over(carry.before(carry.inside(keys, "s", "e")))
+    starts = starts.withColumn("prev_end", F.greatest(local, F.col("carried_end"))).drop("carried_end")
+    return starts.withColumn("opens", F.col("prev_end").isNull() | (F.col("s") >= F.col("prev_end")))
 
 
 def with_island(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``island``, the start and end of the row that opened the island of each row."""
-    df = df.withColumn("opening", F.when(F.col("opens"), F.struct("s", "e")))
+    """Add ``island``, the start, end and number of the row that opened the island of each row."""
+    df = df.withColumn("opening", F.when(F.col("opens"), F.struct("s", "e", "n")))
     df = carry.with_carry(
         df,
         keys,
@@ -54,11 +57,11 @@ def with_island(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def periods(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``keys, s, e`` of each island of the rows that ``with_previous_end`` made from ``distinct_starts``."""
-    out = with_island(flagged, keys).groupBy(*keys, "island").agg(F.max("e").alias("e"), F.max(F.when(F.col("empty"), F.col("n"))).alias("n"))
+    """``keys, s, e`` of each island of ``flagged_starts``."""
+    out = with_island(flagged, keys).groupBy(*keys, "island").agg(F.max("e").alias("e"))
     # a zero-length interval that nothing covers is an island by itself, each time it occurs
-    alone = F.when(F.col("island.s") >= F.col("e"), F.coalesce("n", F.lit(1))).otherwise(F.lit(1))
-    out = out.select(*keys, F.col("island.s").alias("s"), "e", F.explode(F.sequence(F.lit(1).cast("long"), alone.cast("long"))).alias("copy"))
+    copies = F.when(F.col("island.s") >= F.col("e"), F.col("island.n")).otherwise(F.lit(1))
+    out = out.select(*keys, F.col("island.s").alias("s"), "e", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))).alias("copy"))
     return out.drop("copy")
 
 
@@ -74,7 +77,7 @@ def periods_and_gaps(df: DataFrame, entity: Sequence[str], start: str = "start",
     safe = df.select(*(df[c].alias(f"k{i}") for i, c in enumerate(entity)), df[start].alias("s"), df[end].alias("e"))
     keys = [f"k{i}" for i in range(len(entity))]
     safe = safe.where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, "s", "e"]) + " AND e > s")
-    flagged = with_previous_end(distinct_starts(safe, keys), keys)
+    flagged = flagged_starts(safe, keys, empties=False)
     names = [F.col(k).alias(c) for k, c in zip(keys, entity)]
     found = periods(flagged, keys).select(*names, F.lit("period").alias("kind"), F.col("s").alias("seg_start"), F.col("e").alias("seg_end"))
     gaps = flagged.where("opens AND prev_end < s").select(*names, F.lit("gap").alias("kind"), F.col("prev_end").alias("seg_start"), F.col("s").alias("seg_end"))

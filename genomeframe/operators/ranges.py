@@ -38,7 +38,7 @@ def setdiff_ranges(a: DataFrame, b: DataFrame, bin_width: int = DEFAULT_BIN_WIDT
     over a row's hits is needed. On a chromosome that b lacks, rows are kept as they are, empty ones too.
     """
     rows, other = bare(a), bare(b)
-    flagged = islands.with_previous_end(islands.distinct_starts(other, ["k0"]), ["k0"])
+    flagged = islands.flagged_starts(other, ["k0"])
     gaps = flagged.where("opens AND prev_end < s").select("k0", F.col("prev_end").alias("s"), F.col("s").alias("e"))
     inner = _pairs(rows, gaps, ["k0"], bin_width)
     inner = inner.select(F.col("a_k0").alias("k0"), F.greatest("a_s", "b_s").alias("s"), F.least("a_e", "b_e").alias("e"))

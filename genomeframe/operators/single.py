@@ -29,7 +29,7 @@ def _named(df: DataFrame, on_cols: Sequence[str], *more: str) -> DataFrame:
 def merge(df: DataFrame, on_cols: Sequence[str] | None = None) -> DataFrame:
     """Unions of overlapping intervals: ``chrom, start, end, on_cols...``."""
     on_cols, keys = check_on_cols(df, on_cols), key_names(on_cols)
-    flagged = islands.with_previous_end(islands.distinct_starts(bare(df, on_cols), keys), keys)
+    flagged = islands.flagged_starts(bare(df, on_cols), keys)
     return _named(islands.periods(flagged, keys), on_cols)
 
 
@@ -43,8 +43,8 @@ def cluster(df: DataFrame, on_cols: Sequence[str] | None = None) -> DataFrame:
     packed = pack(df, on_cols)
     whole = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, "s", "e"])
     # the numbering needs only distinct starts (zero-length intervals count each), the rows join it by their start
-    flagged = islands.with_previous_end(islands.distinct_starts(bare(df, on_cols), keys), keys)
-    flagged = flagged.withColumn("new", F.when(F.col("opens"), F.when(F.col("empty"), F.col("n")).otherwise(F.lit(1))).otherwise(F.lit(0)).cast("long"))
+    flagged = islands.flagged_starts(bare(df, on_cols), keys)
+    flagged = flagged.withColumn("new", F.when(F.col("opens"), F.col("n")).otherwise(F.lit(0)).cast("long"))
     numbered = carry.with_carry(
         flagged, keys, {"bin_new": F.sum("new")},
         {"carried_new": lambda spec: F.coalesce(F.sum("bin_new").over(carry.before(spec)), F.lit(0))},
@@ -60,7 +60,7 @@ def cluster(df: DataFrame, on_cols: Sequence[str] | None = None) -> DataFrame:
         offsets = sizes.withColumn("inner", inner).join(by_chrom, "k0").select(*keys, (F.col("inner") + F.col("offset")).alias("offset"))
     else:
         offsets = by_chrom
-    ids = numbered.join(offsets, keys).select(*keys, "s", "empty", (F.col("last_no") - 1 + F.col("offset")).alias("last_id"), "opens", "n")
+    ids = numbered.join(offsets, keys).select(*keys, "s", (F.col("s") >= F.col("e")).alias("empty"), (F.col("last_no") - 1 + F.col("offset")).alias("last_id"), "opens", "n")
     rows = packed.where(whole).withColumn("empty", F.col("s") >= F.col("e"))
     joined = rows.join(ids, [*keys, "s", "empty"])
     # uncovered zero-length intervals at one place have an id each
@@ -78,7 +78,7 @@ def complement(df: DataFrame, chrom_sizes: DataFrame | dict[str, int] | None = N
     ``chrom_sizes`` is a dict or a DataFrame with ``chrom`` and ``size``. A chromosome without intervals gives no rows.
     """
     on_cols, keys = check_on_cols(df, on_cols), key_names(on_cols)
-    flagged = islands.with_previous_end(islands.distinct_starts(bare(df, on_cols), keys), keys)
+    flagged = islands.flagged_starts(bare(df, on_cols), keys)
     free_from = F.greatest(F.lit(0), F.coalesce("prev_end", F.lit(0)))
     kind = flagged.schema["s"].dataType
     out = flagged.where(F.col("opens") & (F.col("s") > free_from)).select(*keys, free_from.cast(kind).alias("s"), F.col("s").alias("e"))
