@@ -70,9 +70,10 @@ def sequence_binary(text: Column) -> Column:
 
 
 def quality_text(quality: Column) -> Column:
-    """Raw qualities as text with an offset of 33."""
+    """Raw qualities as text with an offset of 33; ``*`` where they are missing (bytes of 255)."""
     codes = F.split(F.regexp_replace(F.hex(quality), "(..)", "$1,"), ",")
-    return F.array_join(F.transform(F.filter(codes, lambda x: x != ""), lambda x: F.char(F.conv(x, 16, 10).cast("int") + 33)), "")
+    text = F.array_join(F.transform(F.filter(codes, lambda x: x != ""), lambda x: F.char(F.conv(x, 16, 10).cast("int") + 33)), "")
+    return F.when(F.hex(quality).startswith("FF"), F.lit("*")).otherwise(text)
 
 
 def quality_binary(text: Column) -> Column:

@@ -137,6 +137,16 @@ FROM (SELECT *, unnest(range("start", "end", 1000)) AS x FROM t WHERE "start" <
     "sort_lex": _rank(False),
     "flags_predicates": "SELECT alignment_id, " + ", ".join(f"(flags & {1 << i}) <> 0 AS is_{n}" for i, n in enumerate(_FLAGS)) + ", CAST(nullif(mapping_quality, 255) AS INTEGER) AS mapq FROM alignments",
     "region_filter": "SELECT variant_id, chrom, pos FROM variants WHERE chrom = 'chr1' AND pos <= 60000000 AND pos + length(ref) - 1 >= 1000000",
+    "sam_round_trip": """SELECT alignment_id, CAST(name AS VARCHAR) AS name, flags, contig_name AS reference, alignment_start, CAST(nullif(mapping_quality, 255) AS INTEGER) AS mapping_quality,
+mate_alignment_start, template_length, true AS same_cigar, true AS same_sequence, true AS same_quality_scores FROM alignments LEFT JOIN contigs ON contig_id = reference_sequence_id""",
+    "fastq_round_trip": """SELECT alignment_id, coalesce(CAST(name AS VARCHAR), '') AS name, 'ref ' || contig_name AS description, CAST(octet_length(quality_scores) AS INTEGER) AS n_bases,
+CASE WHEN hex(quality_scores) NOT LIKE 'FF%' THEN CAST(octet_length(quality_scores) AS INTEGER) END AS n_qualities FROM alignments LEFT JOIN contigs ON contig_id = reference_sequence_id""",
+    "vcf_parse_info": """SELECT variant_id, chrom, pos, nullif(replace(id, chr(9), ','), '.') AS id, ref, nullif(replace(alt, chr(9), ','), '.') AS alt, qual,
+info_dp AS "INFO_DP", CAST(sample_id AS VARCHAR) AS "INFO_S" FROM variants""",
+    "bam_round_trip": """SELECT CAST(name AS VARCHAR) AS name, flags, reference_sequence_id, alignment_start, CAST(nullif(mapping_quality, 255) AS INTEGER) AS mapping_quality,
+hex(cigar) AS cigar, mate_reference_sequence_id, mate_alignment_start, template_length, hex(sequence) AS sequence, CASE WHEN hex(quality_scores) LIKE 'FF%' THEN '' ELSE hex(quality_scores) END AS quality_scores FROM alignments""",
+    "bcf_round_trip": """SELECT chrom, pos, nullif(nullif(id, '.'), '') AS id, ref, nullif(alt, '') AS alt, qual, info_dp AS "INFO_DP" FROM variants WHERE chrom IS NOT NULL""",
+    "track_annotation": VIEWS + f"SELECT t.track_id, count(*) AS n_hits, count(DISTINCT v.variant_id) AS n_variants FROM t JOIN v ON {HIT} GROUP BY t.track_id",
     "chrom_sizes": 'SELECT contig_name AS chrom, seq_length AS "size" FROM contigs',
     "p2_found": f"""WITH i AS (SELECT * FROM track_intervals WHERE track_id IS NOT NULL AND chrom IS NOT NULL AND "start" IS NOT NULL AND "end" > "start"),
 m AS ({_merge("SELECT * FROM i", "track_id, chrom")})

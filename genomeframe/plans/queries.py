@@ -11,6 +11,8 @@ from .. import operators as ops
 from ..functions import alignment, coords, flags
 from ..operators import chunks, islands, packed, quantiles, records, sorting
 from ..roles import pack
+from ..session import shared_folder
+from ..sources import bam, bcf, headers, text
 from .inputs import table, tracks, variant_intervals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +148,89 @@ def _decoded(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _as_bam(spark: SparkSession, d: str) -> DataFrame:
+    """The BAM columns of all alignments."""
+    return table(spark, d, "alignments").select(*(x.split(" ")[0] for x in bam.SCHEMA.split(", ")))
+
+
+def _sam_view(spark: SparkSession, d: str) -> DataFrame:
+    """All alignments with the columns of the SAM schema, decoded."""
+    a, c = table(spark, d, "alignments"), table(spark, d, "contigs")
+    names = lambda i: c.select(F.col("contig_id").alias(i), F.col("contig_name").cast("binary").alias(f"{i}_name"))
+    a = a.join(F.broadcast(names("reference_sequence_id")), "reference_sequence_id", "left").join(F.broadcast(names("mate_reference_sequence_id")), "mate_reference_sequence_id", "left")
+    text = {
+        "name": F.col("name"), "flags": F.col("flags"), "reference_sequence_name": F.col("reference_sequence_id_name"), "alignment_start": F.col("alignment_start"),
+        "mapping_quality": F.col("mapping_quality"), "cigar": alignment.cigar_text(F.col("cigar")).cast("binary"),
+        "mate_reference_sequence_name": F.col("mate_reference_sequence_id_name"), "mate_alignment_start": F.col("mate_alignment_start"), "template_length": F.col("template_length"),
+        "sequence": alignment.sequence_text(F.col("sequence"), F.length("quality_scores")).cast("binary"), "quality_scores": alignment.quality_text(F.col("quality_scores")).cast("binary"),
+    }
+    return a.select("alignment_id", F.struct("cigar", "sequence", "quality_scores").alias("raw"), *(v.alias(k) for k, v in text.items()))
+
+
+def sam_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Alignments written as SAM lines, parsed again, and encoded back to the binary columns."""
+    lines = _sam_view(spark, d).select("alignment_id", "raw", text.sam_line().alias("line"))
+    back = lines.select("alignment_id", "raw", *text.sam_columns(F.col("line")))
+    same = lambda c, f: (F.col(f"raw.{c}") == f(F.col(c).cast("string"))).alias(f"same_{c}")
+    return back.select(
+        "alignment_id", F.col("name").cast("string").alias("name"), "flags", F.col("reference_sequence_name").cast("string").alias("reference"), "alignment_start",
+        F.col("mapping_quality").cast("int").alias("mapping_quality"), "mate_alignment_start", "template_length",
+        same("cigar", alignment.cigar_binary), same("sequence", alignment.sequence_binary),
+        F.when(F.hex("raw.quality_scores").startswith("FF"), F.length("quality_scores") == 0).otherwise(same("quality_scores", alignment.quality_binary)).alias("same_quality_scores"),
+    )
+
+
+def fastq_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Reads written as FASTQ records and parsed again."""
+    reads = _sam_view(spark, d).withColumn("description", F.concat(F.lit("ref "), "reference_sequence_name"))
+    lines = reads.select("alignment_id", F.split(text.fastq_lines(), "\n").alias("x"))
+    back = lines.select("alignment_id", *text.fastq_columns(F.col("x")[0], F.col("x")[1], F.col("x")[3]))
+    return back.select("alignment_id", F.col("name").cast("string").alias("name"), F.col("description").cast("string").alias("description"), F.length("sequence").alias("n_bases"), F.when(F.col("quality_scores") != F.lit(b"*"), F.length("quality_scores")).alias("n_qualities"))
+
+
+def vcf_parse_info(spark: SparkSession, d: str) -> DataFrame:
+    """Variants written as VCF lines and parsed with a header. Tabs, which no VCF field may hold, become commas."""
+    header = headers.VcfHeader.parse('##fileformat=VCFv4.3\n##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">\n##INFO=<ID=S,Number=1,Type=String,Description="Sample">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO')
+    v = table(spark, d, "variants")
+    clean = lambda c: F.translate(F.col(c), "\t", ",").alias(c)
+    info = F.concat_ws(";", F.concat(F.lit("DP="), "info_dp"), F.concat(F.lit("S="), "sample_id"))
+    lines = v.select("variant_id", "chrom", "pos", clean("id"), "ref", clean("alt"), "qual", info.alias("info"))
+    lines = lines.select("variant_id", text.vcf_line(F.col("info")).alias("line"))
+    out = lines.select("variant_id", *text.vcf_columns(F.col("line"), header))
+    return out.withColumn("pos", F.when(F.col("pos") > 0, F.col("pos")))
+
+
+def bam_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """All alignments written as BAM files to the shared folder and read back."""
+    bam.register(spark)
+    sizes = {r["contig_name"]: r["seq_length"] for r in table(spark, d, "contigs").orderBy("contig_id").collect()}
+    path = shared_folder(spark)
+    _as_bam(spark, d).write.format("bam").mode("overwrite").option("header", str(headers.SamHeader.of(sizes))).save(path)
+    back = spark.read.format("bam").load(path)
+    return back.select(
+        F.col("name").cast("string").alias("name"), "flags", "reference_sequence_id", "alignment_start", F.col("mapping_quality").cast("int").alias("mapping_quality"),
+        F.hex("cigar").alias("cigar"), "mate_reference_sequence_id", "mate_alignment_start", "template_length", F.hex("sequence").alias("sequence"), F.hex("quality_scores").alias("quality_scores"),
+    )
+
+
+def bcf_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """All variants written as BCF files to the shared folder and read back."""
+    bcf.register(spark)
+    contigs = "".join(f"##contig=<ID={r[0]}>\n" for r in table(spark, d, "contigs").orderBy("contig_id").select("contig_name").collect())
+    header = f'##fileformat=VCFv4.3\n{contigs}##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n'
+    path = shared_folder(spark)
+    v = table(spark, d, "variants").where("chrom IS NOT NULL").select("chrom", "pos", "id", "ref", "alt", "qual", F.col("info_dp").alias("INFO_DP"))
+    v.write.format("bcf").mode("overwrite").option("header", header).save(path)
+    return spark.read.format("bcf").load(path)
+
+
+def track_annotation(spark: SparkSession, d: str) -> DataFrame:
+    """Per track: how many variants its intervals hold and their mean quality; the whole chain from tables to report."""
+    v = variant_intervals(spark, d)
+    pairs = ops.overlap(tracks(spark, d).select("track_id", "chrom", "start", "end"), v)
+    return pairs.groupBy(F.col("a_track_id").alias("track_id")).agg(F.count("*").alias("n_hits"), F.count_distinct("b_variant_id").alias("n_variants"))
+
+
 def _slim(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
@@ -188,6 +273,12 @@ QUERIES: dict[str, Query] = {
     "flags_predicates": _flags,
     "region_filter": _region,
     "decode_alignments": _decoded,
+    "sam_round_trip": sam_round_trip,
+    "fastq_round_trip": fastq_round_trip,
+    "vcf_parse_info": vcf_parse_info,
+    "bam_round_trip": bam_round_trip,
+    "bcf_round_trip": bcf_round_trip,
+    "track_annotation": track_annotation,
     "chrom_sizes": lambda s, d: _sizes(s, d),
     "p1_found": p1_found,
     "p1_dialects": p1_dialects,

@@ -51,6 +51,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder, by its file path, in the shared checkpoint folder; for files that executors write and read."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().removeprefix('file:').replace('//', '/')}/files-{uuid.uuid4().hex}"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows on at least as many partitions as there are cores, for work in Python on a small file; large scans stay as they are.
 

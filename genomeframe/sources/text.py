@@ -148,7 +148,7 @@ def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = F
 def vcf_line(info: Column | None = None, filters: Column | None = None) -> Column:
     """One line from the six base columns; ``info`` and ``filters`` are text (``.`` if missing)."""
     missing = lambda c: F.coalesce(F.when(c != "", c), F.lit("."))
-    cols = [F.col("chrom"), F.coalesce(F.col("pos").cast("string"), F.lit("0")), missing(F.col("id")), F.col("ref"), missing(F.col("alt")), missing(F.col("qual").cast("string"))]
+    cols = [missing(F.col("chrom")), F.coalesce(F.col("pos").cast("string"), F.lit("0")), missing(F.col("id")), F.coalesce(F.col("ref"), F.lit("N")), missing(F.col("alt")), missing(F.col("qual").cast("string"))]
     return F.concat_ws("\t", *cols, F.lit(".") if filters is None else missing(filters), F.lit(".") if info is None else missing(info))
 
 
@@ -200,8 +200,9 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 
 def fastq_lines() -> Column:
     """The four lines of a record."""
-    title = F.concat_ws(" ", F.concat(F.lit("@"), F.col("name").cast("string")), F.col("description").cast("string"))
-    return F.concat_ws("\n", title, F.col("sequence").cast("string"), F.lit("+"), F.col("quality_scores").cast("string"))
+    title = F.concat_ws(" ", F.concat(F.lit("@"), F.coalesce(F.col("name").cast("string"), F.lit(""))), F.col("description").cast("string"))
+    text = lambda n: F.coalesce(F.col(n).cast("string"), F.lit(""))
+    return F.concat_ws("\n", title, text("sequence"), F.lit("+"), text("quality_scores"))
 
 
 def write_fastq(df: DataFrame, path: str) -> None:
