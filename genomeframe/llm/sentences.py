@@ -66,6 +66,7 @@ _EMOJI = "[\U0001f000-\U0001faff☀-➿⬀-⯿️‍⃣\U000e0020-\U000e007f]"
 _BLANK = re.compile(r"(?:\r\n|[\n\r ])[^\S\n\r ]*(?:(?:\r\n|[\n\r ])\s*)+| \s*")
 _END = re.compile(rf"[{re.escape(STRONG + WEAK)}]+|{_EMOJI}+")
 _TRAIL = re.compile(rf"[^\S\n]*{_EMOJI}+")
+_LETTER_POINT = re.compile(r"(?<![^\W\d_])[^\W\d_]\.\s+\Z")
 _INITIALS = re.compile(r"(?:[^\W\d_]\.)+[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _BEFORE = re.compile(r"[^\s\"“”„«»‹›()（）\[\]「」]+\Z")
@@ -276,7 +277,9 @@ class Paragraph:
                 numbered = text[max(self.start, at - 2) : at - 1].isspace() and text[max(self.start, at - 3) : at - 2].isdigit()
                 if not (numbered and c.isupper()):
                     if before.isupper() or not is_cased(before) or learned is None:
-                        score = -2.0 if not before.isupper() and c.isupper() and opening > 1.0 else -4.0
+                        # the last of several single letters ("u. a.") may end a sentence
+                        pair = before.islower() and _LETTER_POINT.search(text, max(self.start, at - 6), at - 1)
+                        score = -2.0 if c.isupper() and (pair or opening > 1.0 and before.islower()) else -4.0
             elif plain.isdigit() and _LIST_NO.search(text, max(self.start, at - 5), mark_end) and self.opens_list(at - len(plain), out):
                 return None
             elif plain.isdigit() and len(plain) <= 2 and word and word.group().casefold() in MONTHS:
@@ -303,6 +306,8 @@ class Paragraph:
                 score -= 2.0 if quoted_next else 9.0
         else:
             score += 1.0 + (max(opening, -1.0) if quoted_next else opening) * (0.3 if strong and not kind else 1.0)
+        if text[nxt] in "¿¡" and not adjacent:
+            score = max(score, 4.0)
         if text[nxt] in "(（" and self.whole_bracket(nxt):
             score = max(score, 4.0)  # a bracket that is a sentence by itself
         found = Candidate(end, nxt, score, opener, kind)
