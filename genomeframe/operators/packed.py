@@ -87,8 +87,18 @@ def parse(text: str, separator: str, quotes: str) -> list[tuple[str, str, bool]]
             return out
 
 
+_TRIVIAL = re.compile(r"(?:[^\W]|[-:.*<>\[\]])(?:[^\W]|[-:.*'<>\[\]])*")
+
+
+def is_trivial(text: str) -> bool:
+    """Characters of values only and no quote mark in front: every dialect finds the same single place."""
+    return _TRIVIAL.fullmatch(text) is not None
+
+
 def candidates(text: str) -> list[tuple[str, str]]:
     """The dialects that can differ on this field: those of separators and quote marks that occur in it."""
+    if is_trivial(text):
+        return [(SEPARATORS[0], "")]
     found = set(text.strip(" "))
     seps = [s for s in SEPARATORS if s in found]
     if any(not is_value_char(c) for c in found):
@@ -154,13 +164,25 @@ def code_lengths(fields: DataFrame) -> Code:
     """Learn the code from all rows of ``field_name, text`` (distributed counts; the result has a fixed bound)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # characters of a batch are joined by position class, so that counting them is one call a class
         counts: Counter = Counter()
         for pdf in batches:
-            for (field, text), n in Counter(zip(pdf["field_name"], pdf["text"])).items():
+            joined: dict[tuple[str, str], list[str]] = {}
+            for field, text in zip(pdf["field_name"], pdf["text"]):
                 # values are first taken from the dialect that separates most and knows most marks
-                for value, _, quoted in parse(text, *finest(text)):
-                    for kind, s in _slots(value, quoted):
-                        counts[field, kind, s] += n
+                for value, _, quoted in [(text, "", False)] if is_trivial(text) else parse(text, *finest(text)):
+                    if quoted:
+                        joined.setdefault((field, "q1"), []).append(value)
+                        counts[field, "q1", "end"] += 1
+                    elif value:
+                        joined.setdefault((field, "b0"), []).append(value[0])
+                        joined.setdefault((field, "b1"), []).append(value[1:])
+                        counts[field, "b1", "end"] += 1
+                    else:
+                        counts[field, "b0", "end"] += 1
+            for (field, kind), parts in joined.items():
+                for c, n in Counter("".join(parts)).items():
+                    counts[field, kind, symbol(c)] += n
         rows = [(*k, n) for k, n in counts.items()]
         yield pd.DataFrame(rows, columns=["field_name", "kind", "symbol", "n"])
 
@@ -187,7 +209,7 @@ def split_packed(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFram
                 best = None
                 options = candidates(text)
                 for d in options:
-                    places = parse(text, *d)
+                    places = [(text, "", False)] if len(options) == 1 and is_trivial(text) else parse(text, *d)
                     cost = code.cost(field, places, *d) if len(options) > 1 else 0.0
                     if best is None or cost < best[0]:
                         best = (cost, d, places)

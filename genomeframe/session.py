@@ -35,7 +35,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     named = sc.getConf().get("spark.checkpoint.dir")
     if not named:
-        if not sc.master.startswith("local["):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-checkpoint-")
     sc.setCheckpointDir(named)
