@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (a path that the executors have as well).
+
+    Workers that have the package installed, or on their PYTHONPATH, do not need it.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([*paths, root])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder, by its file path, in the shared checkpoint folder; for files that executors write and read."""
     import uuid
