@@ -94,7 +94,21 @@ UNION ALL SELECT line_id, 'qual' FROM vq WHERE whole AND qual <> '.' AND NOT reg
 UNION ALL SELECT line_id, 'template_length' FROM sq WHERE whole
   AND NOT (regexp_full_match(f[9], '-?[0-9]+') AND coalesce(try_cast(f[9] AS HUGEINT) BETWEEN -2147483648 AND 2147483647, false))"""
 
+#: Raw cigars as lists of 32-bit words.
+_WORDS = """SELECT *, list_transform(range(0, octet_length(cigar) // 4), lambda i: CAST('0x' || substr(hex(cigar), 8 * i + 7, 2) || substr(hex(cigar), 8 * i + 5, 2)
+  || substr(hex(cigar), 8 * i + 3, 2) || substr(hex(cigar), 8 * i + 1, 2) AS BIGINT)) AS words FROM alignments"""
+_COVERED = "coalesce(list_sum(list_transform(words, lambda x: CASE WHEN (x & 15) IN (0, 2, 3, 7, 8) THEN x >> 4 ELSE 0 END)), 0)"
+_READS = f"""SELECT alignment_id, contig_name AS chrom, alignment_start - 1 AS "start", CAST(alignment_start - 1 + greatest({_COVERED}, 1) AS INTEGER) AS "end"
+  FROM ({_WORDS}) JOIN contigs ON contig_id = reference_sequence_id WHERE alignment_start IS NOT NULL"""
+
 ORACLE: dict[str, str] = {
+    "decode_alignments": f"""SELECT alignment_id, CAST(name AS VARCHAR) AS name,
+CASE WHEN len(words) = 0 THEN '*' ELSE array_to_string(list_transform(words, lambda x: CAST(x >> 4 AS VARCHAR) || substr('MIDNSHP=X', CAST((x & 15) + 1 AS BIGINT), 1)), '') END AS cigar_text,
+CAST({_COVERED} AS BIGINT) AS reference_length,
+substr(translate(hex(sequence), '0123456789ABCDEF', '=ACMGRSVTWYHKDBN'), 1, octet_length(quality_scores)) AS sequence_text FROM ({_WORDS})""",
+    "coverage_alignments": _coverage(_READS, "chrom", True, "depth > 2"),
+    "count_overlaps_reads": VIEWS + f""", r AS ({_READS})
+SELECT r.alignment_id, r.chrom, r."start", r."end", count(v.variant_id) AS "count" FROM r LEFT JOIN v ON v.chrom = r.chrom AND v."start" < r."end" AND r."start" < v."end" GROUP BY ALL""",
     "overlap_join": VIEWS + f'SELECT v.variant_id AS a_variant_id, t.interval_id AS b_interval_id, v.chrom AS a_chrom, v."start" AS a_start, t."end" AS b_end FROM v JOIN t ON {HIT}',
     "overlap_join_on_cols": VIEWS + f"SELECT v.variant_id AS a_variant_id, t.interval_id AS b_interval_id, v.sample_id AS a_sample_id FROM v JOIN t ON {HIT} AND v.sample_id = t.sample_id",
     "overlap_semi": VIEWS + f"SELECT v.* FROM v WHERE EXISTS (SELECT 1 FROM t WHERE {HIT})",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_right
 from typing import BinaryIO
 
 from ..functions.coords import VirtualPosition
@@ -112,6 +113,44 @@ class Reader:
         return out
 
 
+class OffsetIndex:
+    """A GZI file: compressed and uncompressed offsets of the blocks behind the first."""
+
+    def __init__(self, entries: list[tuple[int, int]]):
+        self.entries = entries
+
+    @classmethod
+    def from_path(cls, path: str) -> OffsetIndex:
+        with open(path, "rb") as f:
+            n = struct.unpack("<Q", f.read(8))[0]
+            return cls([struct.unpack("<QQ", f.read(16)) for _ in range(n)])
+
+    @classmethod
+    def of_file(cls, path: str) -> OffsetIndex:
+        """Walk the blocks of a file."""
+        entries, at, total = [], 0, 0
+        with open(path, "rb") as f:
+            while True:
+                data, after = read_block(f, at)
+                if after == at:
+                    return cls(entries)
+                total, at = total + len(data), after
+                entries.append((at, total))
+
+    def write(self, path: str) -> None:
+        with open(path, "wb") as f:
+            f.write(struct.pack("<Q", len(self.entries)) + b"".join(struct.pack("<QQ", *e) for e in self.entries))
+
+    def __len__(self) -> int:
+        return len(self.entries)
+
+    def query(self, position: int) -> VirtualPosition:
+        """Where the byte at an uncompressed offset is."""
+        i = bisect_right(self.entries, position, key=lambda e: e[1])
+        block, begin = self.entries[i - 1] if i else (0, 0)
+        return VirtualPosition(block, position - begin)
+
+
 class Writer:
     def __init__(self, path: str, level: int = 6):
         if not 0 <= level <= 9:

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from genomeframe.functions import alignment
-from genomeframe.sources import bam, bgzf
+from genomeframe.sources import bam, bgzf, convert
 from genomeframe.sources.headers import SamHeader
+from genomeframe.sources.text import SAM_COLUMNS
 
 
 @pytest.mark.parametrize("data", [b"", b"hello bgzf", b"A" * 65536 + b"B" * 1000, random.Random(1).randbytes(200_000), b"line\nnext\nend"])
@@ -31,6 +32,19 @@ def test_bgzf(tmp_path, data, level):
         bgzf.Writer(path, 10)
 
 
+def test_offset_index(tmp_path):
+    path, data = str(tmp_path / "x.gz"), random.Random(5).randbytes(200_000)
+    with bgzf.Writer(path) as w:
+        w.write(data)
+    bgzf.OffsetIndex.of_file(path).write(path + ".gzi")
+    index = bgzf.OffsetIndex.from_path(path + ".gzi")
+    assert len(index) == 5
+    with bgzf.Reader(path) as r:
+        for at in (0, 1, 65279, 65280, 65281, 150_000, 199_999):
+            r.seek(index.query(at))
+            assert r.read(3) == data[at : at + 3]
+
+
 @pytest.fixture(scope="module")
 def reads(spark, tmp_path_factory):
     r = random.Random(3)
@@ -81,3 +95,12 @@ def test_index_splits_and_regions(spark, reads):
     assert len(index.bins) == 2 and index.starts() == sorted(index.starts())
     few = sum((b >> 16) - (a >> 16) for a, b in index.chunks(0, 1000, 20000))
     assert few < 0.5 * bam.os.path.getsize(file)
+
+
+def test_conversions(spark, reads):
+    df, path, header = reads
+    text = convert.bam_to_sam(df, header)
+    assert text.columns == list(SAM_COLUMNS)
+    assert text.where("reference_sequence_name = 'chr2'").count() == df.where("reference_sequence_id = 1").count()
+    back = convert.sam_to_bam(text, header)
+    assert back.columns == df.columns and back.exceptAll(df).count() == 0 and back.count() == df.count()
