@@ -86,6 +86,9 @@ _SPACELESS_LETTERS = _MARKLESS_LETTERS + "\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9
 _MARKLESS = re.compile(f"[{_MARKLESS_LETTERS}]")
 _SPACELESS = re.compile(f"[{_SPACELESS_LETTERS}]")
 _SPACED_WORD = re.compile(rf"[^\W\d_{_SPACELESS_LETTERS}]+(?:['’\-][^\W\d_{_SPACELESS_LETTERS}]+)*")
+_SPACE = re.compile(r"\s")
+#: A point without a space behind it is looked at if a space follows within so many characters.
+LONGEST_TAIL = 200
 _ALNUM = re.compile(r"[^\W_]")
 
 
@@ -165,11 +168,19 @@ class Paragraph:
         self.marks: dict[str, list[int]] = {}
         self.round: list[int] = []
         self.depth = [0]
+        #: matching brackets, either way
+        self.partner: dict[int, int] = {}
+        opened: list[int] = []
         for m in _ANY_MARK.finditer(text, start, stop):
             c, p = m.group(), m.start()
             if c in _ROUND:
                 self.round.append(p)
                 self.depth.append(self.depth[-1] + _ROUND[c])
+                if _ROUND[c] > 0:
+                    opened.append(p)
+                elif opened:
+                    q = opened.pop()
+                    self.partner[p], self.partner[q] = q, p
             else:
                 self.marks.setdefault(_QUOTES[c], []).append(p)
         self.candidates = self.find()
@@ -189,13 +200,8 @@ class Paragraph:
                 marks = self.marks[_QUOTES[c]]
                 opener, kind = marks[bisect_left(marks, p) - 1], "quote"
             elif c in ")）":
-                depth, i = 0, bisect_left(self.round, p)
-                while i >= 0 and i < len(self.round):
-                    depth += 1 if text[self.round[i]] in ")）" else -1
-                    if depth == 0:
-                        opener, kind = self.round[i], "bracket"
-                        break
-                    i -= 1
+                if p in self.partner:
+                    opener, kind = self.partner[p], "bracket"
             elif c not in CLOSERS or c in _QUOTES:
                 break
             at = p + 1
@@ -269,17 +275,19 @@ class Paragraph:
                 return None
             elif plain in NEVER or (plain in BEFORE_NUMBER and c.isdigit()):
                 return None
-            elif plain == "no" and opening > 0.0:
+            elif plain == "no" and opening > -1.0:
                 score = 3.0  # the answer, not the abbreviation
             elif plain in INSIDE and word and word.group().casefold() in INSIDE and text.startswith(".", word.end()):
                 return None  # an abbreviation of several words
             elif len(plain) == 1 and plain.isalpha() and not spaceless(plain):
                 numbered = text[max(self.start, at - 2) : at - 1].isspace() and text[max(self.start, at - 3) : at - 2].isdigit()
                 if not (numbered and c.isupper()):
-                    if before.isupper() or not is_cased(before) or learned is None:
-                        # the last of several single letters ("u. a.") may end a sentence
-                        pair = before.islower() and _LETTER_POINT.search(text, max(self.start, at - 6), at - 1)
-                        score = -2.0 if c.isupper() and (pair or opening > 1.0 and before.islower()) else -4.0
+                    # the last of several single letters ("u. a.") may end a sentence
+                    pair = before.islower() and _LETTER_POINT.search(text, max(self.start, at - 6), at - 1)
+                    if c.isupper() and (pair or opening > 1.0 and before.islower()):
+                        score = max(score, -2.0)
+                    elif before.isupper() or not is_cased(before) or learned is None:
+                        score = -4.0
             elif plain.isdigit() and _LIST_NO.search(text, max(self.start, at - 5), mark_end) and self.opens_list(at - len(plain), out):
                 return None
             elif plain.isdigit() and len(plain) <= 2 and word and word.group().casefold() in MONTHS:
@@ -329,20 +337,18 @@ class Paragraph:
 
     def whole_bracket(self, at: int) -> bool:
         """The bracket that opens at ``at`` ends with an end mark inside."""
-        i = bisect_left(self.round, at)
-        for j in range(i + 1, len(self.round)):
-            if self.depth[j + 1] <= self.depth[i]:
-                return self.text[self.round[j] - 1] in STRONG + WEAK
-        return False
+        end = self.partner.get(at)
+        return end is not None and self.text[end - 1] in STRONG + WEAK
 
     def unspaced(self, before: str, token: str, c: str, follow: int, nxt: int, end: int, opening: float) -> Candidate | None:
         """A point with no space behind it: most often part of a name or number, at times a forgotten space."""
         text, stop = self.text, self.stop
         if follow != nxt:  # an opening mark follows
             return Candidate(end, nxt, 2.0 if c.isupper() else -2.0)
-        rest = end
-        while rest < stop and not text[rest].isspace():
-            rest += 1
+        space = _SPACE.search(text, end, min(stop, end + LONGEST_TAIL))
+        rest = space.start() if space else min(stop, end + LONGEST_TAIL)
+        if rest == end + LONGEST_TAIL:
+            return None  # no word is that long
         tail = text[end:rest].rstrip(STRONG + WEAK + CLOSERS + ",;:\"")
         if "/" in tail or "." in tail or "@" in tail or not c.isalpha() or len(token) < 2 or "." in token or "/" in token:
             return None
@@ -415,7 +421,7 @@ def split_text(text: str | None, words: Words) -> list[tuple[int, int]]:
     return out
 
 
-_SEEN = re.compile(r"(\S*[^\W\d_])([.…]+|[!?]+)[\"”»)]*\s+[\"“„«(¿¡]*([^\W_])")
+_SEEN = re.compile(r"(?<=[^\W\d_])([.…]+|[!?]+)[\"”»)]*\s+[\"“„«(¿¡]*([^\W_])")
 
 
 def _count(text: str, close: Counter, opening: Counter, total: Counter) -> None:
@@ -425,24 +431,20 @@ def _count(text: str, close: Counter, opening: Counter, total: Counter) -> None:
         part = text[start:stop]
         sure = {0}
         for m in _SEEN.finditer(part):
-            token, marks, c = m.group(1), m.group(2), m.group(3)
+            marks, c = m.group(1), m.group(2)
             strong = marks[0] in "!?"
             if strong and (kind != "mixed" or c.isupper()):
-                sure.add(m.start(3))
-            elif not strong and kind == "mixed" and is_cased(c):
-                token = _BEFORE.search(token)
-                key = _key(token.group().lstrip("¿¡'‘"), marks) if token else ""
+                sure.add(m.start(2))
+            elif not strong and kind == "mixed" and (is_cased(c) or c.isdigit()):
+                token = _token_before(part, 0, m.start())
+                key = _key(token, marks) if token else ""
                 plain = key.rstrip(".")
-                if not plain or plain in TITLES or (len(plain) == 1 and c.isupper()):
+                if not plain or not c.isdigit() and (plain in TITLES or (len(plain) == 1 and c.isupper())):
                     continue
                 close[key, 1] += 1
                 if c.isupper():
                     close[key, 0] += 1
-                    sure.add(m.start(3))
-            elif not strong and kind == "mixed" and c.isdigit():
-                token = _BEFORE.search(token)
-                if token:
-                    close[_key(token.group().lstrip("¿¡'‘"), marks), 1] += 1
+                    sure.add(m.start(2))
         found = [w for w in map(str.casefold, _SPACED_WORD.findall(part)) if len(w) <= LONGEST_WORD]
         total.update(found)
         for at in sure:

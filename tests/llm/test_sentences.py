@@ -79,6 +79,20 @@ def test_long_text():
     properties("(" * 300 + "a. B" * 300)
 
 
+@pytest.mark.parametrize("unit", ["a.b", "a. (", ") ", "“A! ", "了", "了。", "! ", "x", "1. ", "😀", ".", "a.B ", "\n"])
+def test_work_is_linear(unit):
+    import time
+    from collections import Counter
+
+    took = []
+    for n in (20_000, 80_000):
+        text, began = unit * n, time.process_time()
+        S.split_text(text, WORDS)
+        S._count(text, Counter(), Counter(), Counter())
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * max(took[0], 0.1)
+
+
 def test_table(spark):
     rows = [(1, "One. Two! 😀 Three", 5), (1, "One. Two! 😀 Three", 5), (2, None, 5), (3, "", 5), (4, " \n\n ", 5), (None, "Four.", 5), (2**62 + 1, "Five.", 5), (6, "Fünf 𝔘 neu. Sechs.", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, sent_start int")
