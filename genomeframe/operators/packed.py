@@ -48,40 +48,39 @@ def is_value_char(c: str) -> bool:
     return c.isalnum() or c in VALUE_MARKS
 
 
-@lru_cache(maxsize=64)
-def _pattern(separator: str, quotes: str) -> re.Pattern:
-    """One place and the separator behind it."""
+@lru_cache(maxsize=128)
+def _pattern(separator: str, quotes: str, angles: bool) -> re.Pattern:
+    """One place and the separator behind it. Every part is read once, so long fields cost linear time."""
     bare = r"[^\W]|[-:.*'<>\[\]]"
     if separator == ANY:
         known = '|"' if '"' in quotes else ""
-        split, unit = rf"(?!{bare}| {known}).", rf"<[^>]*>|{bare}"
+        between, unit = rf" *(?!{bare}| {known}). *| +", bare
     elif separator == " ":
-        split, unit = r"(?!)", r"<[^>]*>|[^ ]"
+        between, unit = " +", "[^ ]"
     else:
-        split, unit = re.escape(separator), rf"<[^>]*>|[^{re.escape(separator)}]"
-    between = rf" *{split} *| +" if separator in (ANY, " ") else rf" *{split} *"
+        between, unit = rf" *{re.escape(separator)} *", f"[^{re.escape(separator)}]"
     if separator == ANY and '"' in quotes:  # a mark that opens nothing separates like any other character
         between += '|"'
     marks = "|".join(f"{q}(?P<q{i}>(?:[^{q}]|{q}{q})*){q}(?=(?:{between})|\\Z)" for i, q in enumerate(quotes))
-    marks = f"(?:{marks})|" if quotes else ""
-    run = rf"(?P<bare>(?:(?!{between})(?:{unit}))*)" if separator in (ANY, " ") else rf"(?P<bare>(?:(?! *{split})(?:{unit}))*)"
-    return re.compile(rf"(?:{marks}{run})(?P<sep>{between}|\Z)", re.DOTALL)
+    run = rf"(?P<bare>(?:{'<[^>]*>|' if angles else ''}{unit})*)"
+    return re.compile(rf"(?:{marks + '|' if quotes else ''}{run})(?P<sep>{between}|\Z)", re.DOTALL)
 
 
 def parse(text: str, separator: str, quotes: str) -> list[tuple[str, str, bool]]:
     """Places of a field as (value, separator behind it, quoted)."""
-    out, at, pattern, text = [], 0, _pattern(separator, quotes), text.strip(" ")
+    text = text.strip(" ")
+    out, at, pattern = [], 0, _pattern(separator, quotes, ">" in text)
     while True:
         m = pattern.match(text, at)
         if m is None:  # a character that this dialect cannot place: the rest is one bare value
             out.append((text[at:], "", False))
             return out
         quoted = False
-        value = m["bare"]
+        value = (m["bare"] or "").rstrip(" ")  # blanks before a separator
         for i, q in enumerate(quotes):
             if m[f"q{i}"] is not None:
                 value, quoted = m[f"q{i}"].replace(q + q, q), True
-        out.append((value or "", m["sep"].strip(" ") or m["sep"][:1], quoted))
+        out.append((value, m["sep"].strip(" ") or m["sep"][:1], quoted))
         at = m.end()
         if m["sep"] == "":
             return out
@@ -144,13 +143,14 @@ class Code:
         for value, sep, quoted in places:
             bits += 1.0 if separator != ANY or not sep else math.log2(len(SEPARATORS))
             bits += QUOTE_BITS if quoted else 0.0
+            angled = not quoted and "<" in value
             bits += ESCAPE_BITS if sep == '"' else 0.0  # a quote mark that only separates
             for i, (kind, s) in enumerate(_slots(value, quoted)):
                 bits += self.bits.get((field, kind, s)) or self.unseen.get((field, kind), ESCAPE_BITS / 4)
                 # a mark that could have opened a quotation, or a character that no bare value has
                 if not quoted and i < len(value) and (not is_value_char(value[i]) or (i == 0 and value[0] in "\"'" and len(value) > 1 and value[-1] == value[0])):
                     # inside <...> every character belongs to the value
-                    if not _inside_angle(value, i):
+                    if not (angled and _inside_angle(value, i)):
                         bits += ESCAPE_BITS
         return bits
 

@@ -112,3 +112,16 @@ def test_table(spark):
             assert sorted(got.get(i, [])) == (sorted(plain(t)) if t else []), t
     assert all(r["n_values"] == len(got[r["variant_id"] or 0]) for r in out)
     assert P.split_packed(df.limit(0), "variant_id", ["id", "alt"]).collect() == []
+
+
+@pytest.mark.parametrize("unit", ["a", " ", "a,", '"', "'", "<", "<a", "a b ", '",', ";;", "(", ", "])
+def test_work_is_linear(unit):
+    import time
+
+    code, took = learn(["a,b", "'x;y'"]), []
+    for n in (5_000, 20_000):
+        text, began = "a," + unit * n + "b", time.process_time()
+        for d in P.candidates(text):
+            code.cost("f", P.parse(text, *d), *d)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * max(took[0], 0.1)
