@@ -38,17 +38,16 @@ def with_carry(
     keys: Sequence[str],
     per_bin: dict[str, Column],
     carried: dict[str, Callable[[W.WindowSpec], Column]],
-    descending: bool = False,
     source: DataFrame | None = None,
+    backward: dict[str, Callable[[W.WindowSpec], Column]] | None = None,
 ) -> DataFrame:
     """Add to each row what the other bins of its key hold.
 
     ``per_bin`` aggregates each (key, bin); ``carried`` maps a new column to an expression over a window of these
-    aggregates in the order of the bins. Keys must not be null. ``source`` has rows whose aggregates are the same as those of
+    aggregates in the order of the bins, ``backward`` the same in reverse order. Keys must not be null. ``source`` has rows whose aggregates are the same as those of
     ``df`` but that cost less to reach: the aggregation then begins in the scan's tasks and shuffles one row per bin.
     """
-    order = F.col("bin").desc() if descending else F.col("bin").asc()
-    spec = W.Window.partitionBy(*keys).orderBy(order)
+    ahead, back = (W.Window.partitionBy(*keys).orderBy(order) for order in (F.col("bin").asc(), F.col("bin").desc()))
     bins = (df if source is None else source).groupBy(*keys, "bin").agg(*(c.alias(n) for n, c in per_bin.items()))
-    bins = bins.select(*keys, "bin", *(f(spec).alias(n) for n, f in carried.items()))
+    bins = bins.select(*keys, "bin", *(f(ahead).alias(n) for n, f in carried.items()), *(f(back).alias(n) for n, f in (backward or {}).items()))
     return df.join(bins, [*keys, "bin"])

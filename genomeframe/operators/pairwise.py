@@ -2,12 +2,17 @@
 
 Two intervals overlap when they have the same chromosome and ``on_cols`` and ``a.start < b.end AND b.start < a.end``.
 
-*Pairs* come from an equi-join on fixed-width bins: each interval is listed under the bins it touches, and a pair counts
-in its first common bin only, so no shuffle for duplicates is needed. Wide intervals take more bins; ``bin_width``
-should lie near a high percentile of the widths (``suggest_bin_width``).
+*Pairs* come from an equi-join on bins whose width grows with the interval: one of width w lies in at most two bins of its
+own level, and is listed under at most two bins of every coarser level that the other side has. A pair counts at the
+coarser of its two levels, in its first common bin there, so no shuffle for duplicates is needed and an interval as long as
+a chromosome makes a few rows.
 
-*Counts, semi and anti joins* never form pairs: the number of hits of a row is the number of starts before its end less
-the number of ends up to its start, both running sums carried from bin to bin (``carry``).
+*Counts, semi and anti joins* never form pairs: the number of hits is the number of starts before an interval's end less the
+number of ends up to its start, two running sums of one sweep, carried from bin to bin (``carry``). The sweep sees each
+distinct interval once, without the rest of its row; rows join their count by their coordinates, the hottest ones salted.
+
+*Nearest* never forms pairs either: neighbours by end, start and middle come from one sweep over distinct intervals, and
+targets that hold a query's border in one of their halves from a join on blocks of positions (``_stabbed``).
 """
 
 from __future__ import annotations
@@ -16,14 +21,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..roles import check_on_cols, complete, key_names, pack, unpack
 from . import carry
 
+#: Width of the narrowest bins; a power of two. Each level's bins are 2 ** LEVEL_BITS times as wide as the one before.
 DEFAULT_BIN_WIDTH = 1024
+LEVEL_BITS = 3
+#: A group of rows may be salted if it has more rows than HOT_ROWS; of these the HOT_GROUPS largest are, so the list that is
+#: broadcast has a fixed bound and any other group holds less than one row in HOT_GROUPS.
+HOT_ROWS, HOT_GROUPS, MOST_SALTS = 5_000, 1_000, 4_096
 
 
-def suggest_bin_width(*frames: DataFrame, share: float = 0.95) -> int:
+def suggest_bin_width(*frames: DataFrame, share: float = 0.5) -> int:
     """The power of two above the given quantile of all widths, from one aggregation of two columns (an action)."""
     widths = [complete(pack(f), ["k0"]).select((F.col("e") - F.col("s")).cast("long").alias("w")) for f in frames]
     union = widths[0]
@@ -33,20 +44,44 @@ def suggest_bin_width(*frames: DataFrame, share: float = 0.95) -> int:
     return 1 << max(6, int(w or 1).bit_length())
 
 
-def _binned(packed: DataFrame, width: int) -> DataFrame:
-    """One row per bin that the interval touches. ``floor`` keeps negative positions apart."""
-    low, high = (F.floor(c / width).cast("long") for c in (F.col("s"), F.greatest(F.col("s"), F.col("e") - 1)))
-    return packed.withColumn("bin", F.explode(F.sequence(low, high)))
+def _shifts(width: int, kind: T.DataType) -> list[int]:
+    """Bits of the bins of each level."""
+    return list(range(max(0, width - 1).bit_length(), (31 if isinstance(kind, T.IntegerType) else 63) + LEVEL_BITS, LEVEL_BITS))
+
+
+def _with_level(packed: DataFrame, shifts: Sequence[int]) -> DataFrame:
+    """Add ``own``, the bits of the narrowest bins that are at least as wide as the interval."""
+    w = F.col("e").cast("long") - F.col("s").cast("long")
+    steps = [F.when(w > F.lit(1 << b).cast("long"), LEVEL_BITS).otherwise(0) for b in shifts[:-1] if b < 63]
+    own = F.lit(shifts[0])
+    for step in steps:
+        own = own + step
+    return packed.withColumn("own", own)
+
+
+def _binned(packed: DataFrame, other: DataFrame, shifts: Sequence[int]) -> DataFrame:
+    """One row per level and bin: the interval's own level and all coarser ones that ``other`` has."""
+    if other.isStreaming:
+        there = F.array(*map(F.lit, shifts))
+    else:
+        # at most one number a level
+        there = F.coalesce(other.select("own").distinct().agg(F.collect_set("own")).scalar(), F.array().cast("array<int>"))
+    rows = packed.withColumn("level", F.explode(F.array_union(F.array("own"), there))).where("level >= own")
+    low, high = (F.call_function("shiftright", c.cast("long"), F.col("level")) for c in (F.col("s"), F.greatest(F.col("s"), F.col("e") - 1)))
+    return rows.withColumn("bin", F.explode(F.sequence(low, high)))
 
 
 def _pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
     """Overlapping pairs of two packed frames, columns prefixed ``a_`` and ``b_``."""
-    left, right = _binned(complete(a, keys), width), _binned(complete(b, keys), width)
+    kinds = [x.schema[c].dataType for x in (a, b) for c in "se"]
+    shifts = _shifts(width, max(kinds, key=lambda k: isinstance(k, T.LongType)))
+    a, b = _with_level(complete(a, keys), shifts), _with_level(complete(b, keys), shifts)
+    left, right = _binned(a, b, shifts), _binned(b, a, shifts)
     left = left.select(*(F.col(c).alias(f"a_{c}") for c in left.columns))
     right = right.select(*(F.col(c).alias(f"b_{c}") for c in right.columns))
-    on = [F.col(f"a_{k}") == F.col(f"b_{k}") for k in [*keys, "bin"]]
-    on += [F.col("a_s") < F.col("b_e"), F.col("b_s") < F.col("a_e")]
-    first = F.floor(F.greatest("a_s", "b_s") / width).cast("long")
+    on = [F.col(f"a_{k}") == F.col(f"b_{k}") for k in [*keys, "level", "bin"]]
+    on += [F.col("a_s") < F.col("b_e"), F.col("b_s") < F.col("a_e"), F.col("a_level") == F.greatest("a_own", "b_own")]
+    first = F.call_function("shiftright", F.greatest("a_s", "b_s").cast("long"), F.col("a_level"))
     return left.join(right, [*on, F.col("a_bin") == first])
 
 
@@ -60,39 +95,74 @@ def overlap(a: DataFrame, b: DataFrame, how: str = "join", on_cols: Sequence[str
     check_on_cols(a, on_cols), check_on_cols(b, on_cols)
     keys = key_names(on_cols)
     if how == "semi":
-        return _counted(complete(pack(a, on_cols), keys), pack(b, on_cols), keys).where("hits > 0").select(*unpack(a.columns))
+        return _counted(complete(pack(a, on_cols), keys), pack(b, on_cols), keys, "hits > 0").select(*unpack(a.columns))
     pairs = _pairs(pack(a, on_cols), pack(b, on_cols), keys, bin_width)
     return pairs.select(*unpack(a.columns, "a_", "a_row"), *unpack(b.columns, "b_", "b_row"))
 
 
+def _salted_join(rows: DataFrame, values: DataFrame, on: Sequence[str], counts: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows JOIN values USING (on)``, where ``counts`` (on, n_rows) tells how many rows have each key.
+
+    The rows of the HOT_GROUPS largest keys are spread over salts, and these keys' values copied to each salt. The list of
+    hot keys is short, so it is broadcast.
+    """
+    hot = counts.where(f"n_rows > {HOT_ROWS}").orderBy(F.desc("n_rows"), *on).limit(HOT_GROUPS)
+    hot = F.broadcast(hot.select(*on, F.least(F.lit(MOST_SALTS), F.ceil(F.col("n_rows") / HOT_ROWS)).cast("int").alias("salts")))
+    rows = rows.withColumn("at", F.monotonically_increasing_id()).join(hot, list(on), "left")
+    rows = rows.withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.col("at"), F.col("salts"))).cast("int")).drop("at", "salts")
+    values = values.join(hot, list(on), "left")
+    values = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return rows.join(values, [*on, "salt"], how).drop("salt")
+
+
 #: Order of events at one position: a row's end is met before the starts there, its start after the ends there; a
 #: zero-length row of a does not meet the zero-length rows of b at its place.
 _A_END, _B_EDGE, _A_START_EMPTY, _B_EDGE_EMPTY, _A_START = range(5)
 
 
-def _running(rows: DataFrame, edges: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Add to ``rows`` (keys, pos, rank, row, ...) the number of ``edges`` (keys, pos, rank, n) before them."""
-    edges = edges.groupBy(*keys, "pos", "rank").agg(F.count("*").alias("n"))
-    both = carry.with_bin(rows.unionByName(edges, allowMissingColumns=True), "pos")
-    both = carry.with_carry(
-        both, keys, {"bin_n": F.sum("n")},
-        {"carried": lambda spec: F.coalesce(F.sum("bin_n").over(carry.before(spec)), F.lit(0))},
-    )
-    local = F.coalesce(F.sum("n").over(carry.upto(carry.inside(keys, "pos", "rank"))), F.lit(0))
-    return both.withColumn(name, local + F.coalesce("carried", F.lit(0))).where("from_a").drop("n", "bin", "carried", "pos", "rank")
+def _groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct intervals of packed rows with their number ``n_rows``."""
+    return rows.groupBy(*keys, "s", "e").agg(F.count("*").alias("n_rows"))
+
+
+def _events(rows: DataFrame, keys: Sequence[str], points: Sequence[dict[str, Column]], *more: str) -> DataFrame:
+    """One row per point of each row."""
+    fields = F.array(*(F.struct(*(c.alias(n) for n, c in p.items())) for p in points))
+    return rows.select(*keys, *more, F.explode(fields).alias("x")).select(*keys, *more, "x.*")
 
 
-def _counted(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """a's complete packed rows with ``hits``, the number of rows of b that overlap each."""
-    b, is_empty = complete(b, keys), F.col("s") >= F.col("e")
-    rank = F.when(is_empty, F.lit(_B_EDGE_EMPTY)).otherwise(F.lit(_B_EDGE))
-    a = a.withColumn("from_a", F.lit(True))
-    starts = b.select(*keys, F.col("s").alias("pos"), F.lit(_B_EDGE).alias("rank"))
-    ends = b.select(*keys, F.col("e").alias("pos"), rank.alias("rank"))
-    a = _running(a.withColumns({"pos": F.col("e"), "rank": F.lit(_A_END)}), starts, keys, "begun")
-    at = F.when(is_empty, F.lit(_A_START_EMPTY)).otherwise(F.lit(_A_START))
-    a = _running(a.withColumns({"pos": F.col("s"), "rank": at}), ends, keys, "over")
-    return a.withColumn("hits", F.col("begun") - F.col("over"))
+def _counted(a: DataFrame, b: DataFrame, keys: Sequence[str], keep: str | None = None) -> DataFrame:
+    """a's complete packed rows with ``hits``, the number of rows of b that overlap each; only those for which ``keep`` holds."""
+    is_empty, one, zero = F.col("s") >= F.col("e"), F.lit(1).cast("long"), F.lit(0).cast("long")
+    edges = _events(
+        complete(b, keys).select(*keys, "s", "e"), keys,
+        [
+            {"pos": F.col("s"), "rank": F.lit(_B_EDGE), "begun": one, "over": zero},
+            {"pos": F.col("e"), "rank": F.when(is_empty, _B_EDGE_EMPTY).otherwise(_B_EDGE), "begun": zero, "over": one},
+        ],
+    )
+    edges = edges.groupBy(*keys, "pos", "rank").agg(F.sum("begun").alias("begun"), F.sum("over").alias("over"))
+    groups = _groups(a, keys)
+    probes = _events(
+        groups, keys,
+        [
+            {"pos": F.col("e"), "rank": F.lit(_A_END), "at_end": F.lit(True)},
+            {"pos": F.col("s"), "rank": F.when(is_empty, _A_START_EMPTY).otherwise(_A_START), "at_end": F.lit(False)},
+        ],
+        "s", "e",
+    )
+    both = carry.with_bin(probes.unionByName(edges, allowMissingColumns=True), "pos")
+    total = lambda c: lambda spec: F.coalesce(F.sum(c).over(carry.before(spec)), F.lit(0))
+    both = carry.with_carry(
+        both, keys, {"bin_begun": F.sum("begun"), "bin_over": F.sum("over")},
+        {"carried_begun": total("bin_begun"), "carried_over": total("bin_over")},
+    )
+    spec = carry.upto(carry.inside(keys, "pos", "rank"))
+    seen = lambda c: F.coalesce(F.sum(c).over(spec), F.lit(0)) + F.coalesce(f"carried_{c}", F.lit(0))
+    part = F.when(F.col("at_end"), F.col("n_begun")).otherwise(-F.col("n_over"))
+    hits = both.withColumns({"n_begun": seen("begun"), "n_over": seen("over")}).where("at_end IS NOT NULL")
+    hits = hits.groupBy(*keys, "s", "e").agg(F.sum(part).alias("hits"))
+    return _salted_join(a, hits.where(keep) if keep else hits, [*keys, "s", "e"], groups)
 
 
 def count_overlaps(a: DataFrame, b: DataFrame, on_cols: Sequence[str] | None = None) -> DataFrame:
@@ -112,37 +182,103 @@ def subtract(a: DataFrame, b: DataFrame, on_cols: Sequence[str] | None = None) -
     """The rows of a that overlap no row of b, whole. Rows of a with a null key or coordinate are dropped."""
     check_on_cols(a, on_cols), check_on_cols(b, on_cols)
     keys = key_names(on_cols)
-    return _counted(complete(pack(a, on_cols), keys), pack(b, on_cols), keys).where("hits = 0").select(*unpack(a.columns))
+    return _counted(complete(pack(a, on_cols), keys), pack(b, on_cols), keys, "hits = 0").select(*unpack(a.columns))
 
 
 def _half(c: Column) -> Column:
     return F.when(c < 0, -F.shiftright(-c, 1)).otherwise(F.shiftright(c, 1))
 
 
+def _middle() -> Column:
+    return _half(F.col("s").cast("long") + F.col("e").cast("long"))
+
+
 def _identified(df: DataFrame, packed: DataFrame, id_col: str | None) -> DataFrame:
     if id_col is None:
         return packed.withColumn("id", F.monotonically_increasing_id())
     return packed.withColumn("id", F.col(f"row.c{df.columns.index(id_col)}").cast("long"))
 
 
-def _as_of(queries: DataFrame, targets: DataFrame, keys: Sequence[str], best: str, upstream: bool) -> DataFrame:
-    """Add ``best`` (the struct of the target) of the closest target that ends before, or begins after, each query."""
-    both = queries.unionByName(targets, allowMissingColumns=True)
-    both = carry.with_bin(both, "pos")
-    pick = F.max if upstream else F.min
-    both = carry.with_carry(
-        both, keys, {"bin_t": pick("t")},
-        {"carried": lambda spec: pick("bin_t").over(carry.before(spec))}, descending=not upstream,
+#: Positions are grouped into blocks of 4 ** level.
+BLOCK_BITS = 2
+
+
+def _stabbed(points: DataFrame, sets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each of ``points`` (keys, side, p) the best target whose range holds it: ``keys, side, p, best``.
+
+    ``sets`` has ``keys, side, x, y, t``: a target's range [x, y) and its struct, the smaller the better. A range is the union of
+    a few whole blocks of every size up to its own; the best target of each block is found by one aggregation, and a point
+    looks at the blocks that hold it, one of each size. So the work grows with the number of ranges and points, however
+    deep they overlap.
+    """
+    shift = lambda c, bits: F.call_function("shiftright", c, bits)
+    bits = F.length(F.bin(F.col("y") - F.col("x"))) - 1
+    rows = sets.where("x < y").withColumn("level", F.explode(F.sequence(F.lit(0), F.floor(bits / BLOCK_BITS).cast("int"))))
+    size = F.col("level") * BLOCK_BITS
+    rows = rows.select(*keys, "side", "t", "level", (-shift(-F.col("x"), size)).alias("lo"), shift(F.col("y"), size).alias("hi")).where("lo < hi")
+    # blocks in front of the first whole block of the next size, and those behind the last
+    left_end = F.least(-shift(-F.col("lo"), F.lit(BLOCK_BITS)) * (1 << BLOCK_BITS), F.col("hi"))
+    rows = rows.withColumn("left_end", left_end)
+    right = F.greatest(shift(F.col("hi"), F.lit(BLOCK_BITS)) * (1 << BLOCK_BITS), F.col("left_end"))
+    none = F.array().cast("array<bigint>")
+    run = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
+    rows = rows.withColumn("block", F.explode(F.concat(run(F.col("lo"), F.col("left_end")), run(right, F.col("hi")))))
+    blocks = rows.groupBy(*keys, "side", "level", "block").agg(F.min("t").alias("t"))
+    # at most 32 levels
+    deepest = F.coalesce(sets.where("x < y").agg(F.max(F.col("y") - F.col("x"))).scalar(), F.lit(1).cast("long"))
+    levels = F.sequence(F.lit(0), F.floor((F.length(F.bin(deepest)) - 1) / BLOCK_BITS).cast("int"))
+    probes = points.withColumn("level", F.explode(levels)).withColumn("block", shift(F.col("p"), F.col("level") * BLOCK_BITS))
+    return probes.join(blocks, [*keys, "side", "level", "block"]).groupBy(*keys, "side", "p").agg(F.min("t").alias("best"))
+
+
+def _neighbours(groups: DataFrame, targets: DataFrame, keys: Sequence[str], adjacent: bool) -> DataFrame:
+    """Distinct queries with the structs ``up``, ``down``, ``before``, ``behind``, ``empty_before``, ``empty_behind``.
+
+    ``up`` and ``down`` are the targets next to the query on either side, the others those whose middle is next to the query's.
+    """
+    s, e, mid, no = F.col("s").cast("long"), F.col("e").cast("long"), _middle(), F.col("id")
+    null = F.lit(None)
+    edge = lambda c, n, *more: F.struct(c.alias("edge"), n.alias("no"), *more)
+    empty = F.col("s") >= F.col("e")
+    if adjacent:  # neighbours in the order of (start, id)
+        far = e.alias("far")
+        ups = [{"pos": s, "up": edge(s, no, far), "down": edge(s, no, far)}]
+    else:
+        ups = [{"pos": e, "up": edge(e, -no), "down": null}, {"pos": s, "up": null, "down": edge(s, no)}]
+    first, second = edge(mid, -no), edge(mid, no)
+    middle = {
+        "pos": mid, "before": F.when(~empty, first), "behind": F.when(~empty, second),
+        "empty_before": F.when(empty, first), "empty_behind": F.when(empty, second),
+    }
+    kinds = {"up": "max", "down": "min", "before": "max", "behind": "min", "empty_before": "max", "empty_behind": "min"}
+    types = {n: targets.select((ups[0]["up"] if n == "up" else ups[-1]["down"] if n == "down" else first).alias(n)).schema[n].dataType for n in kinds}
+    full = lambda p: {n: p.get(n, null).cast(t) if n != "pos" else p[n] for n, t in {"pos": None, **types}.items()}
+    known = _events(targets, keys, [full(p) for p in [*ups, middle]])
+    known = known.groupBy(*keys, "pos").agg(*(getattr(F, f)(n).alias(n) for n, f in kinds.items()))
+    # a start at the query's own start does not precede it: there the query is met one position earlier
+    probes = _events(
+        groups, keys,
+        [{"pos": s - 1 if adjacent else s, "role": F.lit(0)}, {"pos": s if adjacent else e, "role": F.lit(1)}, {"pos": mid, "role": F.lit(2)}],
+        "s", "e",
     )
-    pos = F.col("pos").asc() if upstream else F.col("pos").desc()
-    local = pick("t").over(carry.upto(carry.inside(keys, pos, F.col("from_q").asc_nulls_first())))
-    found = F.greatest(local, F.col("carried")) if upstream else F.least(local, F.col("carried"))
-    return both.withColumn(best, found).where("from_q").drop("t", "bin", "carried", "pos")
+    both = carry.with_bin(probes.unionByName(known, allowMissingColumns=True), "pos")
+    pick = lambda n: getattr(F, kinds[n])
+    ahead, back = [n for n in kinds if kinds[n] == "max"], [n for n in kinds if kinds[n] == "min"]
+    over = lambda n: lambda spec: pick(n)(f"bin_{n}").over(carry.before(spec))
+    both = carry.with_carry(
+        both, keys, {f"bin_{n}": pick(n)(n) for n in kinds}, {f"carried_{n}": over(n) for n in ahead}, backward={f"carried_{n}": over(n) for n in back}
+    )
+    forth = carry.upto(carry.inside(keys, F.col("pos").asc(), F.col("role").asc_nulls_first()))
+    behind = carry.upto(carry.inside(keys, F.col("pos").desc(), F.col("role").asc_nulls_first()))
+    both = both.withColumns({n: F.greatest(F.max(n).over(forth), F.col(f"carried_{n}")) for n in ahead})
+    both = both.withColumns({n: F.least(F.min(n).over(behind), F.col(f"carried_{n}")) for n in back})
+    role = {"up": 0, "down": 1}
+    return both.where("role IS NOT NULL").groupBy(*keys, "s", "e").agg(*(F.max(F.when(F.col("role") == role.get(n, 2), F.col(n))).alias(n) for n in kinds))
 
 
 def nearest(
     query: DataFrame, target: DataFrame, on_cols: Sequence[str] | None = None, candidate: str = "nearest",
-    query_id: str | None = None, target_id: str | None = None, bin_width: int = DEFAULT_BIN_WIDTH,
+    query_id: str | None = None, target_id: str | None = None,
 ) -> DataFrame:
     """One row per query row with its nearest target: ``a_*, b_*, distance``.
 
@@ -151,43 +287,57 @@ def nearest(
     Without a target of the same key, or with a null in the query's key or coordinates, ``b_*`` and ``distance`` are null.
 
     ``candidate='start_adjacent'`` looks, of the targets that do not overlap, only at the last that starts before the
-    query and the first that does not. ``query_id`` must be unique; without it the input must read the same each time.
+    query and the first that does not. ``target_id`` must be unique; without it the target must read the same each time.
+    ``query_id`` is accepted for symmetry: equal queries have equal answers.
     """
     if candidate not in ("nearest", "start_adjacent"):
         raise ValueError("candidate must be 'nearest' or 'start_adjacent'")
-    check_on_cols(query, on_cols), check_on_cols(target, on_cols)
-    keys = key_names(on_cols)
-    a = _identified(query, pack(query, on_cols), query_id)
-    b = complete(_identified(target, pack(target, on_cols), target_id), keys).withColumnRenamed("row", "t_row")
+    check_on_cols(query, on_cols), check_on_cols(target, on_cols), check_on_cols(query, [query_id] if query_id else [])
+    keys, adjacent = key_names(on_cols), candidate == "start_adjacent"
+    a = pack(query, on_cols)
+    b = complete(_identified(target, pack(target, on_cols), target_id), keys)
     whole = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, "s", "e"])
-    q = a.where(whole).select("id", *keys, "s", "e", F.lit(True).alias("from_q"))
-    long = lambda c: F.col(c).cast("long")
-    if candidate == "nearest":
-        # of the targets that end before the query, the last end; of those that begin after it, the first start
-        ends = b.select(*keys, F.col("e").alias("pos"), F.struct(long("e").alias("edge"), (-F.col("id")).alias("no")).alias("t"))
-        begins = b.select(*keys, F.col("s").alias("pos"), F.struct(long("s").alias("edge"), F.col("id").alias("no")).alias("t"))
-        q = _as_of(q.withColumn("pos", F.col("s")), ends, keys, "up", True)
-        q = _as_of(q.withColumn("pos", F.col("e")), begins, keys, "down", False)
-        up_id, up_edge = -F.col("up.no"), F.col("up.edge")
-    else:
-        # neighbours in the order of (start, id)
-        begins = b.select(*keys, F.col("s").alias("pos"), F.struct(long("s").alias("edge"), F.col("id").alias("no"), long("e").alias("far")).alias("t"))
-        # a start at the query's own start does not precede it: the query is met one position earlier
-        q = _as_of(q.withColumn("pos", F.col("s") - 1), begins, keys, "up", True)
-        q = _as_of(q.withColumn("pos", F.col("s")), begins, keys, "down", False)
-        up_id, up_edge = F.col("up.no"), F.col("up.far")
+    groups = _groups(a.where(whole), keys)
+    slim = b.select(*keys, F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"), "id")
+    found = _neighbours(groups, slim, keys, adjacent)
+    # targets whose middle lies outside the query but that hold the query's start in their second half, or its end in the first
+    mid = _middle()
+    halves = _events(
+        slim.where("s < e"), keys,
+        [
+            {"side": F.lit("left"), "x": mid + 1, "y": F.col("e"), "t": F.struct((-mid).alias("mid"), F.col("id").alias("no"))},
+            {"side": F.lit("right"), "x": F.col("s") + 1, "y": mid + 1, "t": F.struct(mid.alias("mid"), F.col("id").alias("no"))},
+        ],
+    )
+    points = _events(
+        groups, keys, [{"side": F.lit("left"), "p": F.col("s").cast("long")}, {"side": F.lit("right"), "p": F.col("e").cast("long")}], "s", "e"
+    )
+    stabbed = _stabbed(points.select(*keys, "side", "p").distinct(), halves, keys)
+    stabbed = points.join(stabbed, [*keys, "side", "p"]).groupBy(*keys, "s", "e").agg(
+        F.max(F.when(F.col("side") == "left", F.col("best"))).alias("left"), F.max(F.when(F.col("side") == "right", F.col("best"))).alias("right")
+    )
+    q = found.join(stabbed, [*keys, "s", "e"], "left")
+    s, e, m, real = F.col("s").cast("long"), F.col("e").cast("long"), _middle(), F.col("s") < F.col("e")
+    case = lambda ok, far, no: F.when(ok, F.struct(far.alias("far"), no.alias("no")))
+    hit = F.least(
+        case(real & (F.col("before.edge") >= s), m - F.col("before.edge"), -F.col("before.no")),
+        case(real & (F.col("behind.edge") < e), F.col("behind.edge") - m, F.col("behind.no")),
+        case(real & (F.col("empty_before.edge") > s), m - F.col("empty_before.edge"), -F.col("empty_before.no")),
+        case(real & (F.col("empty_behind.edge") < e), F.col("empty_behind.edge") - m, F.col("empty_behind.no")),
+        case(F.col("left").isNotNull(), m + F.col("left.mid"), F.col("left.no")),
+        case(F.col("right").isNotNull(), F.col("right.mid") - m, F.col("right.no")),
+    )
     zero = F.lit(0).cast("long")
+    up_edge, up_no = (F.col("up.far"), F.col("up.no")) if adjacent else (F.col("up.edge"), -F.col("up.no"))
     apart = F.least(
-        F.when(F.col("up").isNotNull(), F.struct(F.greatest(long("s") - up_edge, zero).alias("distance"), up_id.alias("no"))),
-        F.when(F.col("down").isNotNull(), F.struct(F.greatest(F.col("down.edge") - long("e"), zero).alias("distance"), F.col("down.no").alias("no"))),
-    )
-    q = q.select("id", apart.alias("apart"))
-    slim = lambda x, i: x.select(*keys, "s", "e", F.col("id").alias(i))
-    hits = _pairs(slim(a, "id"), slim(b, "id"), keys, bin_width)
-    mid = F.abs(_half(F.col("a_s").cast("long") + F.col("a_e")) - _half(F.col("b_s").cast("long") + F.col("b_e")))
-    hits = hits.groupBy(F.col("a_id").alias("id")).agg(F.min(F.struct(mid.alias("mid"), F.col("b_id").alias("no"))).alias("hit"))
-    chosen = q.join(hits, "id", "left").select(
-        "id", F.coalesce("hit.no", "apart.no").alias("t_id"), F.when(F.col("hit").isNotNull(), zero).otherwise(F.col("apart.distance")).alias("distance")
+        case(F.col("up").isNotNull(), F.greatest(s - up_edge, zero), up_no), case(F.col("down").isNotNull(), F.greatest(F.col("down.edge") - e, zero), F.col("down.no"))
     )
-    out = a.select("id", "row").join(chosen, "id", "left").join(b.select(F.col("id").alias("t_id"), "t_row"), "t_id", "left")
+    q = q.select(*keys, "s", "e", hit.alias("hit"), apart.alias("apart"))
+    q = q.select(*keys, "s", "e", F.coalesce("hit.no", "apart.no").alias("id"), F.when(F.col("hit").isNotNull(), zero).otherwise(F.col("apart.far")).alias("distance"))
+    q = q.where("id IS NOT NULL")
+    # one target may be nearest to most queries, and one interval may be that of most rows
+    chosen = _salted_join(q, b.select("id", F.col("row").alias("t_row")), ["id"], q.groupBy("id").agg(F.count("*").alias("n_rows")))
+    matched = _salted_join(a.where(whole), chosen.drop("id"), [*keys, "s", "e"], groups, "left").select("row", "t_row", "distance")
+    none = a.where(f"NOT ({whole})").select("row", F.lit(None).cast(b.schema["row"].dataType).alias("t_row"), F.lit(None).cast("long").alias("distance"))
+    out = matched.unionAll(none)
     return out.select(*unpack(query.columns, "a_", new=["distance"]), *unpack(target.columns, "b_", "t_row", new=["distance"]), "distance")

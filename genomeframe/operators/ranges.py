@@ -18,9 +18,11 @@ def _positions(df: DataFrame) -> DataFrame:
 def intersect_ranges(a: DataFrame, b: DataFrame, bin_width: int = DEFAULT_BIN_WIDTH) -> DataFrame:
     """Overlapping pairs clipped to what they share, then merged; touching pieces stay apart.
 
-    Both sides are first reduced to distinct rows, which does not change the merged result but bounds the pairs.
+    Both sides are merged first, which does not change the result: a position inside a merged interval of a side is inside one
+    of its rows. Merged intervals do not overlap, so there are fewer pairs than intervals on both sides together. Zero-length
+    pieces at one place come out once.
     """
-    slim = lambda x: bare(x).distinct()
+    slim = lambda x: islands.periods(islands.flagged_starts(bare(x).distinct(), ["k0"]), ["k0"])
     pairs = _pairs(slim(a), slim(b), ["k0"], bin_width)
     return merge(pairs.select(F.col("a_k0").alias("chrom"), F.greatest("a_s", "b_s").alias("start"), F.least("a_e", "b_e").alias("end")))
 
