@@ -9,10 +9,11 @@ a chromosome makes a few rows.
 
 *Counts, semi and anti joins* never form pairs: the number of hits is the number of starts before an interval's end less the
 number of ends up to its start, two running sums of one sweep, carried from bin to bin (``carry``). The sweep sees each
-distinct interval once, without the rest of its row; rows join their count by their coordinates, the hottest ones salted.
+distinct interval once, without the rest of its row; rows join their count by their coordinates in an equi-join, whose
+skewed partitions adaptive execution splits.
 
-*Nearest* never forms pairs either: neighbours by end, start and middle come from one sweep over distinct intervals, and
-targets that hold a query's border in one of their halves from a join on blocks of positions (``_stabbed``).
+*Nearest* takes the neighbours on either side from one sweep over distinct intervals, and the best overlapping target from
+pairs of distinct intervals that are reduced where they arise; rows and targets are joined at the end.
 """
 
 from __future__ import annotations
@@ -29,9 +30,6 @@ from . import carry
 #: Width of the narrowest bins; a power of two. Each level's bins are 2 ** LEVEL_BITS times as wide as the one before.
 DEFAULT_BIN_WIDTH = 1024
 LEVEL_BITS = 3
-#: A group of rows may be salted if it has more rows than HOT_ROWS; of these the HOT_GROUPS largest are, so the list that is
-#: broadcast has a fixed bound and any other group holds less than one row in HOT_GROUPS.
-HOT_ROWS, HOT_GROUPS, MOST_SALTS = 5_000, 1_000, 4_096
 
 
 def suggest_bin_width(*frames: DataFrame, share: float = 0.5) -> int:
@@ -100,29 +98,14 @@ def overlap(a: DataFrame, b: DataFrame, how: str = "join", on_cols: Sequence[str
     return pairs.select(*unpack(a.columns, "a_", "a_row"), *unpack(b.columns, "b_", "b_row"))
 
 
-def _salted_join(rows: DataFrame, values: DataFrame, on: Sequence[str], counts: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows JOIN values USING (on)``, where ``counts`` (on, n_rows) tells how many rows have each key.
-
-    The rows of the HOT_GROUPS largest keys are spread over salts, and these keys' values copied to each salt. The list of
-    hot keys is short, so it is broadcast.
-    """
-    hot = counts.where(f"n_rows > {HOT_ROWS}").orderBy(F.desc("n_rows"), *on).limit(HOT_GROUPS)
-    hot = F.broadcast(hot.select(*on, F.least(F.lit(MOST_SALTS), F.ceil(F.col("n_rows") / HOT_ROWS)).cast("int").alias("salts")))
-    rows = rows.withColumn("at", F.monotonically_increasing_id()).join(hot, list(on), "left")
-    rows = rows.withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.col("at"), F.col("salts"))).cast("int")).drop("at", "salts")
-    values = values.join(hot, list(on), "left")
-    values = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-    return rows.join(values, [*on, "salt"], how).drop("salt")
-
-
 #: Order of events at one position: a row's end is met before the starts there, its start after the ends there; a
 #: zero-length row of a does not meet the zero-length rows of b at its place.
 _A_END, _B_EDGE, _A_START_EMPTY, _B_EDGE_EMPTY, _A_START = range(5)
 
 
 def _groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct intervals of packed rows with their number ``n_rows``."""
-    return rows.groupBy(*keys, "s", "e").agg(F.count("*").alias("n_rows"))
+    """The distinct intervals of packed rows."""
+    return rows.select(*keys, "s", "e").distinct()
 
 
 def _events(rows: DataFrame, keys: Sequence[str], points: Sequence[dict[str, Column]], *more: str) -> DataFrame:
@@ -162,7 +145,7 @@ def _counted(a: DataFrame, b: DataFrame, keys: Sequence[str], keep: str | None =
     part = F.when(F.col("at_end"), F.col("n_begun")).otherwise(-F.col("n_over"))
     hits = both.withColumns({"n_begun": seen("begun"), "n_over": seen("over")}).where("at_end IS NOT NULL")
     hits = hits.groupBy(*keys, "s", "e").agg(F.sum(part).alias("hits"))
-    return _salted_join(a, hits.where(keep) if keep else hits, [*keys, "s", "e"], groups)
+    return a.join(hits.where(keep) if keep else hits, [*keys, "s", "e"])
 
 
 def count_overlaps(a: DataFrame, b: DataFrame, on_cols: Sequence[str] | None = None) -> DataFrame:
@@ -189,96 +172,41 @@ def _half(c: Column) -> Column:
     return F.when(c < 0, -F.shiftright(-c, 1)).otherwise(F.shiftright(c, 1))
 
 
-def _middle() -> Column:
-    return _half(F.col("s").cast("long") + F.col("e").cast("long"))
-
-
 def _identified(df: DataFrame, packed: DataFrame, id_col: str | None) -> DataFrame:
     if id_col is None:
         return packed.withColumn("id", F.monotonically_increasing_id())
     return packed.withColumn("id", F.col(f"row.c{df.columns.index(id_col)}").cast("long"))
 
 
-#: Positions are grouped into blocks of 4 ** level.
-BLOCK_BITS = 2
-
-
-def _stabbed(points: DataFrame, sets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """For each of ``points`` (keys, side, p) the best target whose range holds it: ``keys, side, p, best``.
-
-    ``sets`` has ``keys, side, x, y, t``: a target's range [x, y) and its struct, the smaller the better. A range is the union of
-    a few whole blocks of every size up to its own; the best target of each block is found by one aggregation, and a point
-    looks at the blocks that hold it, one of each size. So the work grows with the number of ranges and points, however
-    deep they overlap.
-    """
-    shift = lambda c, bits: F.call_function("shiftright", c, bits)
-    bits = F.length(F.bin(F.col("y") - F.col("x"))) - 1
-    rows = sets.where("x < y").withColumn("level", F.explode(F.sequence(F.lit(0), F.floor(bits / BLOCK_BITS).cast("int"))))
-    size = F.col("level") * BLOCK_BITS
-    rows = rows.select(*keys, "side", "t", "level", (-shift(-F.col("x"), size)).alias("lo"), shift(F.col("y"), size).alias("hi")).where("lo < hi")
-    # blocks in front of the first whole block of the next size, and those behind the last
-    left_end = F.least(-shift(-F.col("lo"), F.lit(BLOCK_BITS)) * (1 << BLOCK_BITS), F.col("hi"))
-    rows = rows.withColumn("left_end", left_end)
-    right = F.greatest(shift(F.col("hi"), F.lit(BLOCK_BITS)) * (1 << BLOCK_BITS), F.col("left_end"))
-    none = F.array().cast("array<bigint>")
-    run = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
-    rows = rows.withColumn("block", F.explode(F.concat(run(F.col("lo"), F.col("left_end")), run(right, F.col("hi")))))
-    blocks = rows.groupBy(*keys, "side", "level", "block").agg(F.min("t").alias("t"))
-    # at most 32 levels
-    deepest = F.coalesce(sets.where("x < y").agg(F.max(F.col("y") - F.col("x"))).scalar(), F.lit(1).cast("long"))
-    levels = F.sequence(F.lit(0), F.floor((F.length(F.bin(deepest)) - 1) / BLOCK_BITS).cast("int"))
-    probes = points.withColumn("level", F.explode(levels)).withColumn("block", shift(F.col("p"), F.col("level") * BLOCK_BITS))
-    return probes.join(blocks, [*keys, "side", "level", "block"]).groupBy(*keys, "side", "p").agg(F.min("t").alias("best"))
-
-
 def _neighbours(groups: DataFrame, targets: DataFrame, keys: Sequence[str], adjacent: bool) -> DataFrame:
-    """Distinct queries with the structs ``up``, ``down``, ``before``, ``behind``, ``empty_before``, ``empty_behind``.
-
-    ``up`` and ``down`` are the targets next to the query on either side, the others those whose middle is next to the query's.
-    """
-    s, e, mid, no = F.col("s").cast("long"), F.col("e").cast("long"), _middle(), F.col("id")
-    null = F.lit(None)
+    """Distinct queries with ``up`` and ``down``, the structs of the targets next to them on either side."""
+    s, e, no = F.col("s").cast("long"), F.col("e").cast("long"), F.col("id")
     edge = lambda c, n, *more: F.struct(c.alias("edge"), n.alias("no"), *more)
-    empty = F.col("s") >= F.col("e")
     if adjacent:  # neighbours in the order of (start, id)
-        far = e.alias("far")
-        ups = [{"pos": s, "up": edge(s, no, far), "down": edge(s, no, far)}]
+        points = [{"pos": s, "up": edge(s, no, e.alias("far")), "down": edge(s, no, e.alias("far"))}]
     else:
-        ups = [{"pos": e, "up": edge(e, -no), "down": null}, {"pos": s, "up": null, "down": edge(s, no)}]
-    first, second = edge(mid, -no), edge(mid, no)
-    middle = {
-        "pos": mid, "before": F.when(~empty, first), "behind": F.when(~empty, second),
-        "empty_before": F.when(empty, first), "empty_behind": F.when(empty, second),
-    }
-    kinds = {"up": "max", "down": "min", "before": "max", "behind": "min", "empty_before": "max", "empty_behind": "min"}
-    types = {n: targets.select((ups[0]["up"] if n == "up" else ups[-1]["down"] if n == "down" else first).alias(n)).schema[n].dataType for n in kinds}
-    full = lambda p: {n: p.get(n, null).cast(t) if n != "pos" else p[n] for n, t in {"pos": None, **types}.items()}
-    known = _events(targets, keys, [full(p) for p in [*ups, middle]])
-    known = known.groupBy(*keys, "pos").agg(*(getattr(F, f)(n).alias(n) for n, f in kinds.items()))
+        none = F.lit(None).cast("struct<edge:bigint,no:bigint>")
+        points = [{"pos": e, "up": edge(e, -no), "down": none}, {"pos": s, "up": none, "down": edge(s, no)}]
+    known = _events(targets, keys, points)
     # a start at the query's own start does not precede it: there the query is met one position earlier
-    probes = _events(
-        groups, keys,
-        [{"pos": s - 1 if adjacent else s, "role": F.lit(0)}, {"pos": s if adjacent else e, "role": F.lit(1)}, {"pos": mid, "role": F.lit(2)}],
-        "s", "e",
-    )
+    places = (s - 1, s) if adjacent else (s, e)
+    probes = _events(groups, keys, [{"pos": p, "role": F.lit(i)} for i, p in enumerate(places)], "s", "e")
     both = carry.with_bin(probes.unionByName(known, allowMissingColumns=True), "pos")
-    pick = lambda n: getattr(F, kinds[n])
-    ahead, back = [n for n in kinds if kinds[n] == "max"], [n for n in kinds if kinds[n] == "min"]
-    over = lambda n: lambda spec: pick(n)(f"bin_{n}").over(carry.before(spec))
     both = carry.with_carry(
-        both, keys, {f"bin_{n}": pick(n)(n) for n in kinds}, {f"carried_{n}": over(n) for n in ahead}, backward={f"carried_{n}": over(n) for n in back}
-    )
+        both, keys, {"bin_up": F.max("up"), "bin_down": F.min("down")},
+        {"carried_up": lambda spec: F.max("bin_up").over(carry.before(spec))},
+        backward={"carried_down": lambda spec: F.min("bin_down").over(carry.before(spec))},
+    )
     forth = carry.upto(carry.inside(keys, F.col("pos").asc(), F.col("role").asc_nulls_first()))
-    behind = carry.upto(carry.inside(keys, F.col("pos").desc(), F.col("role").asc_nulls_first()))
-    both = both.withColumns({n: F.greatest(F.max(n).over(forth), F.col(f"carried_{n}")) for n in ahead})
-    both = both.withColumns({n: F.least(F.min(n).over(behind), F.col(f"carried_{n}")) for n in back})
-    role = {"up": 0, "down": 1}
-    return both.where("role IS NOT NULL").groupBy(*keys, "s", "e").agg(*(F.max(F.when(F.col("role") == role.get(n, 2), F.col(n))).alias(n) for n in kinds))
+    back = carry.upto(carry.inside(keys, F.col("pos").desc(), F.col("role").asc_nulls_first()))
+    both = both.withColumns({"up": F.greatest(F.max("up").over(forth), "carried_up"), "down": F.least(F.min("down").over(back), "carried_down")})
+    pick = lambda c, role: F.max(F.when(F.col("role") == role, F.col(c))).alias(c)
+    return both.where("role IS NOT NULL").groupBy(*keys, "s", "e").agg(pick("up", 0), pick("down", 1))
 
 
 def nearest(
     query: DataFrame, target: DataFrame, on_cols: Sequence[str] | None = None, candidate: str = "nearest",
-    query_id: str | None = None, target_id: str | None = None,
+    query_id: str | None = None, target_id: str | None = None, bin_width: int = DEFAULT_BIN_WIDTH,
 ) -> DataFrame:
     """One row per query row with its nearest target: ``a_*, b_*, distance``.
 
@@ -298,46 +226,26 @@ def nearest(
     b = complete(_identified(target, pack(target, on_cols), target_id), keys)
     whole = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, "s", "e"])
     groups = _groups(a.where(whole), keys)
-    slim = b.select(*keys, F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"), "id")
+    slim = b.select(*keys, "s", "e", "id")
     found = _neighbours(groups, slim, keys, adjacent)
-    # targets whose middle lies outside the query but that hold the query's start in their second half, or its end in the first
-    mid = _middle()
-    halves = _events(
-        slim.where("s < e"), keys,
-        [
-            {"side": F.lit("left"), "x": mid + 1, "y": F.col("e"), "t": F.struct((-mid).alias("mid"), F.col("id").alias("no"))},
-            {"side": F.lit("right"), "x": F.col("s") + 1, "y": mid + 1, "t": F.struct(mid.alias("mid"), F.col("id").alias("no"))},
-        ],
-    )
-    points = _events(
-        groups, keys, [{"side": F.lit("left"), "p": F.col("s").cast("long")}, {"side": F.lit("right"), "p": F.col("e").cast("long")}], "s", "e"
-    )
-    stabbed = _stabbed(points.select(*keys, "side", "p").distinct(), halves, keys)
-    stabbed = points.join(stabbed, [*keys, "side", "p"]).groupBy(*keys, "s", "e").agg(
-        F.max(F.when(F.col("side") == "left", F.col("best"))).alias("left"), F.max(F.when(F.col("side") == "right", F.col("best"))).alias("right")
-    )
-    q = found.join(stabbed, [*keys, "s", "e"], "left")
-    s, e, m, real = F.col("s").cast("long"), F.col("e").cast("long"), _middle(), F.col("s") < F.col("e")
+    # of equal targets only the first can be chosen
+    pairs = _pairs(groups, slim.groupBy(*keys, "s", "e").agg(F.min("id").alias("id")), keys, bin_width)
+    far = F.abs(_half(F.col("a_s").cast("long") + F.col("a_e")) - _half(F.col("b_s").cast("long") + F.col("b_e")))
+    own = [*(F.col(f"a_{k}").alias(k) for k in keys), F.col("a_s").alias("s"), F.col("a_e").alias("e")]
+    hits = pairs.groupBy(*own).agg(F.min(F.struct(far.alias("far"), F.col("b_id").alias("no"))).alias("hit"))
+    q = found.join(hits, [*keys, "s", "e"], "left")
+    s, e = F.col("s").cast("long"), F.col("e").cast("long")
     case = lambda ok, far, no: F.when(ok, F.struct(far.alias("far"), no.alias("no")))
-    hit = F.least(
-        case(real & (F.col("before.edge") >= s), m - F.col("before.edge"), -F.col("before.no")),
-        case(real & (F.col("behind.edge") < e), F.col("behind.edge") - m, F.col("behind.no")),
-        case(real & (F.col("empty_before.edge") > s), m - F.col("empty_before.edge"), -F.col("empty_before.no")),
-        case(real & (F.col("empty_behind.edge") < e), F.col("empty_behind.edge") - m, F.col("empty_behind.no")),
-        case(F.col("left").isNotNull(), m + F.col("left.mid"), F.col("left.no")),
-        case(F.col("right").isNotNull(), F.col("right.mid") - m, F.col("right.no")),
-    )
     zero = F.lit(0).cast("long")
     up_edge, up_no = (F.col("up.far"), F.col("up.no")) if adjacent else (F.col("up.edge"), -F.col("up.no"))
     apart = F.least(
         case(F.col("up").isNotNull(), F.greatest(s - up_edge, zero), up_no), case(F.col("down").isNotNull(), F.greatest(F.col("down.edge") - e, zero), F.col("down.no"))
     )
-    q = q.select(*keys, "s", "e", hit.alias("hit"), apart.alias("apart"))
+    q = q.select(*keys, "s", "e", "hit", apart.alias("apart"))
     q = q.select(*keys, "s", "e", F.coalesce("hit.no", "apart.no").alias("id"), F.when(F.col("hit").isNotNull(), zero).otherwise(F.col("apart.far")).alias("distance"))
     q = q.where("id IS NOT NULL")
-    # one target may be nearest to most queries, and one interval may be that of most rows
-    chosen = _salted_join(q, b.select("id", F.col("row").alias("t_row")), ["id"], q.groupBy("id").agg(F.count("*").alias("n_rows")))
-    matched = _salted_join(a.where(whole), chosen.drop("id"), [*keys, "s", "e"], groups, "left").select("row", "t_row", "distance")
+    chosen = q.join(b.select("id", F.col("row").alias("t_row")), "id").drop("id")
+    matched = a.where(whole).join(chosen, [*keys, "s", "e"], "left").select("row", "t_row", "distance")
     none = a.where(f"NOT ({whole})").select("row", F.lit(None).cast(b.schema["row"].dataType).alias("t_row"), F.lit(None).cast("long").alias("distance"))
     out = matched.unionAll(none)
     return out.select(*unpack(query.columns, "a_", new=["distance"]), *unpack(target.columns, "b_", "t_row", new=["distance"]), "distance")
