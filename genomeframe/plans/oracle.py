@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import formats
 from .inputs import VIEWS
 
 
@@ -54,6 +55,17 @@ SELECT v.variant_id AS a_variant_id, r.interval_id AS b_interval_id, CAST(CASE W
 FROM v LEFT JOIN r ON r.variant_id = v.variant_id AND r.k = 1"""
 
 
+def _start_adjacent() -> str:
+    return VIEWS + f""", s AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY "start", interval_id) AS no FROM tn),
+p AS (SELECT v.variant_id, v.chrom, v."start", v."end", count(s.no) FILTER (s."start" < v."start") AS before, max(s.no) AS n FROM vn v JOIN s ON v.chrom = s.chrom GROUP BY ALL),
+h AS (SELECT v.variant_id, t.interval_id, 0 AS far, abs((v."start" + v."end") // 2 - (t."start" + t."end") // 2) AS mid FROM vn v JOIN tn t ON {HIT}),
+c AS (SELECT p.variant_id, s.interval_id, 1 AS apart, greatest(s."start" - p."end", p."start" - s."end", 0) AS far FROM p JOIN s ON s.chrom = p.chrom AND s.no IN (p.before, p.before + 1)
+  WHERE p.variant_id NOT IN (SELECT variant_id FROM h) UNION ALL SELECT variant_id, interval_id, 0, mid FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY variant_id ORDER BY far, interval_id) AS k FROM c)
+SELECT v.variant_id AS a_variant_id, r.interval_id AS b_interval_id, CAST(CASE WHEN apart = 0 THEN 0 ELSE far END AS BIGINT) AS distance
+FROM v LEFT JOIN r ON r.variant_id = v.variant_id AND r.k = 1"""
+
+
 def _geometry(start: str, end: str) -> str:
     return VIEWS + f"""SELECT interval_id, track_id, sample_id, chrom, CAST({start} AS INTEGER) AS "start", CAST({end} AS INTEGER) AS "end", strand FROM t"""
 
@@ -63,12 +75,12 @@ def _clamp(x: str) -> str:
 
 
 def _rank(natural: bool) -> str:
-    key = "regexp_replace(chrom, '[0-9]+$', ''), coalesce(try_cast(regexp_extract(chrom, '([0-9]+)$', 1) AS BIGINT), 9223372036854775807)" if natural else "chrom"
-    order = ", ".join(f"{k} NULLS LAST" for k in ([key.split(", coalesce")[0], "coalesce" + key.split(", coalesce")[1]] if natural else [key]))
-    return VIEWS + f""", k AS (SELECT chrom, "start", count(*) AS n_rows FROM t GROUP BY chrom, "start"),
-c AS (SELECT chrom, row_number() OVER (ORDER BY {order}) AS chrom_rank FROM (SELECT DISTINCT chrom FROM k))
-SELECT k.chrom, k."start", n_rows, chrom_rank, row_number() OVER (PARTITION BY k.chrom ORDER BY k."start" NULLS LAST) AS start_rank
-FROM k JOIN c ON k.chrom IS NOT DISTINCT FROM c.chrom"""
+    order = "chrom NULLS LAST"
+    if natural:
+        number = "coalesce(try_cast(regexp_extract(chrom, '([0-9]+)$', 1) AS BIGINT), 9223372036854775807)"
+        order = f"regexp_replace(chrom, '[0-9]+$', '') NULLS LAST, CASE WHEN chrom IS NULL THEN NULL ELSE {number} END NULLS LAST"
+    return VIEWS + f"""SELECT chrom, "start", count(*) AS n_rows, min(r) AS first_rank, max(r) AS last_rank
+FROM (SELECT chrom, "start", row_number() OVER (ORDER BY {order}, "start" NULLS LAST) AS r FROM t) GROUP BY chrom, "start" """
 
 
 _FLAGS = ("segmented", "properly_segmented", "unmapped", "mate_unmapped", "reverse_complemented", "mate_reverse_complemented",
@@ -101,7 +113,7 @@ _COVERED = "coalesce(list_sum(list_transform(words, lambda x: CASE WHEN (x & 15)
 _READS = f"""SELECT alignment_id, contig_name AS chrom, alignment_start - 1 AS "start", CAST(alignment_start - 1 + greatest({_COVERED}, 1) AS INTEGER) AS "end"
   FROM ({_WORDS}) JOIN contigs ON contig_id = reference_sequence_id WHERE alignment_start IS NOT NULL"""
 
-ORACLE: dict[str, str] = {
+ORACLE: dict[str, str] = formats.oracle(_COVERED, _WORDS) | {
     "decode_alignments": f"""SELECT alignment_id, CAST(name AS VARCHAR) AS name,
 CASE WHEN len(words) = 0 THEN '*' ELSE array_to_string(list_transform(words, lambda x: CAST(x >> 4 AS VARCHAR) || substr('MIDNSHP=X', CAST((x & 15) + 1 AS BIGINT), 1)), '') END AS cigar_text,
 CAST({_COVERED} AS BIGINT) AS reference_length,
@@ -155,13 +167,22 @@ FROM (SELECT *, unnest(range("start", "end", 1000)) AS x FROM t WHERE "start" <
 mate_alignment_start, template_length, true AS same_cigar, true AS same_sequence, true AS same_quality_scores FROM alignments LEFT JOIN contigs ON contig_id = reference_sequence_id""",
     "fastq_round_trip": """SELECT alignment_id, coalesce(CAST(name AS VARCHAR), '') AS name, 'ref ' || contig_name AS description, CAST(octet_length(quality_scores) AS INTEGER) AS n_bases,
 CASE WHEN hex(quality_scores) NOT LIKE 'FF%' THEN CAST(octet_length(quality_scores) AS INTEGER) END AS n_qualities FROM alignments LEFT JOIN contigs ON contig_id = reference_sequence_id""",
-    "vcf_parse_info": """SELECT variant_id, chrom, pos, nullif(replace(id, chr(9), ','), '.') AS id, ref, nullif(replace(alt, chr(9), ','), '.') AS alt, qual,
-info_dp AS "INFO_DP", CAST(sample_id AS VARCHAR) AS "INFO_S" FROM variants""",
+    "vcf_parse_info": """SELECT variant_id, chrom, pos, nullif(nullif(id, '.'), '') AS id, ref, nullif(nullif(alt, '.'), '') AS alt, qual,
+info_dp AS "INFO_NREADS", CAST(sample_id AS VARCHAR) AS "INFO_ORIGIN" FROM variants""",
     "bam_round_trip": """SELECT CAST(name AS VARCHAR) AS name, flags, reference_sequence_id, alignment_start, CAST(nullif(mapping_quality, 255) AS INTEGER) AS mapping_quality,
 hex(cigar) AS cigar, mate_reference_sequence_id, mate_alignment_start, template_length, hex(sequence) AS sequence, CASE WHEN hex(quality_scores) LIKE 'FF%' THEN '' ELSE hex(quality_scores) END AS quality_scores FROM alignments""",
     "bcf_round_trip": """SELECT chrom, pos, nullif(nullif(id, '.'), '') AS id, ref, nullif(alt, '') AS alt, qual, info_dp AS "INFO_DP" FROM variants WHERE chrom IS NOT NULL""",
-    "track_annotation": VIEWS + f"SELECT t.track_id, count(*) AS n_hits, count(DISTINCT v.variant_id) AS n_variants FROM t JOIN v ON {HIT} GROUP BY t.track_id",
-    "chrom_sizes": 'SELECT contig_name AS chrom, seq_length AS "size" FROM contigs',
+    "track_annotation": VIEWS + f"SELECT t.track_id, count(*) AS n_hits, count(DISTINCT v.variant_id) AS n_variants, max(v.info_dp) AS most_reads FROM t JOIN v ON {HIT} GROUP BY t.track_id",
+    "chrom_sizes": 'SELECT contig_name AS chrom, CAST(seq_length AS BIGINT) AS "size" FROM contigs',
+    "overlap_reads": VIEWS + f""", r AS ({_READS})
+SELECT t.interval_id, count(*) AS n_reads, min(r.alignment_id) AS first_read, max(r.alignment_id) AS last_read FROM t JOIN r ON {HIT.replace("v.", "r.")} GROUP BY t.interval_id""",
+    "nearest_start_adjacent": _start_adjacent(),
+    "subtract_on_cols": VIEWS + f"SELECT v.* FROM vn v WHERE sample_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE {HIT} AND v.sample_id = t.sample_id)",
+    "complement_on_cols": VIEWS + f""", m AS ({_merge("SELECT * FROM tn WHERE strand IS NOT NULL", "chrom, strand")}),
+g AS (SELECT chrom, strand, greatest(coalesce(lag("end") OVER (PARTITION BY chrom, strand ORDER BY "start"), 0), 0) AS "start", "start" AS "end" FROM m)
+SELECT chrom, "start", "end", strand FROM g WHERE "start" < "end" UNION ALL SELECT chrom, l AS "start", seq_length AS "end", strand
+FROM (SELECT chrom, strand, max("end") AS l FROM m GROUP BY chrom, strand) JOIN contigs ON contig_name = chrom WHERE l < seq_length""",
+    "disjoin_on_cols": VIEWS + _coverage("SELECT * FROM tn WHERE strand IS NOT NULL", "chrom, strand", False),
     "p2_found": f"""WITH i AS (SELECT * FROM track_intervals WHERE track_id IS NOT NULL AND chrom IS NOT NULL AND "start" IS NOT NULL AND "end" > "start"),
 m AS ({_merge("SELECT * FROM i", "track_id, chrom")})
 SELECT track_id, chrom, 'period' AS kind, "start" AS seg_start, "end" AS seg_end FROM m

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from .. import operators as ops
 from ..functions import alignment, coords, flags
-from ..operators import chunks, islands, packed, quantiles, records, sorting
-from ..roles import pack
-from ..session import shared_folder
-from ..sources import bam, bcf, headers, text
+from ..operators import chunks, islands, packed, quantiles, records
+from ..session import cut, shared_folder
+from ..sources import bam, bcf, convert, headers, text
+from . import formats
 from .inputs import table, tracks, variant_intervals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,22 +25,15 @@ def _sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ranked(df: DataFrame, natural: bool) -> DataFrame:
-    """The distinct sort keys of the rows with their rank: order made visible to a comparison of row sets.
-
-    Ranks are counted per distinct (chromosome, start), so the ranking window sees no repeated rows.
-    """
-    from pyspark.sql import window as W
-
-    order = sorting.order_columns(natural)[:-1]
-    keys = pack(df).groupBy("k0", "s").agg(F.count("*").alias("n_rows"))
-    prefix = sorting.natural_key(F.col("k0"))[0] if natural else F.col("k0")
-    # the rank inside a chromosome and the chromosome's own rank: no window over everything
-    chroms = keys.select("k0").distinct().withColumn("s", F.lit(0))
-    chroms = chroms.withColumn("chrom_rank", F.row_number().over(W.Window.orderBy(*order))).drop("s")
-    inner = F.row_number().over(W.Window.partitionBy("k0").orderBy(F.col("s").asc_nulls_last()))
-    keys = keys.withColumn("start_rank", inner).withColumn("name", prefix)
-    out = keys.join(chroms, keys["k0"].eqNullSafe(chroms["k0"]))
-    return out.select(keys["k0"].alias("chrom"), F.col("s").alias("start"), "n_rows", F.col("chrom_rank").cast("long"), F.col("start_rank").cast("long"))
+    """Where ``sort_bedframe`` puts the rows of each chromosome and start: the first and last place, counted over all rows."""
+    at = F.monotonically_increasing_id()
+    ordered = cut(ops.sort_bedframe(df, natural).select("chrom", "start", F.shiftright(at, 33).alias("part"), at.bitwiseAND((1 << 33) - 1).alias("place")))
+    # one row per partition of the result
+    sizes = ordered.groupBy("part").agg(F.count("*").alias("n"))
+    before = W.Window.orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
+    ordered = ordered.join(sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "part")
+    rank = F.col("offset") + F.col("place") + 1
+    return ordered.groupBy("chrom", "start").agg(F.count("*").alias("n_rows"), F.min(rank).alias("first_rank"), F.max(rank).alias("last_rank"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -150,14 +144,14 @@ def _decoded(spark: SparkSession, d: str) -> DataFrame:
 
 def _as_bam(spark: SparkSession, d: str) -> DataFrame:
     """The BAM columns of all alignments."""
-    return table(spark, d, "alignments").select(*(x.split(" ")[0] for x in bam.SCHEMA.split(", ")))
+    return table(spark, d, "alignments").select(*(c for c in convert.BAM_COLUMNS if c != "data"))
 
 
 def _sam_view(spark: SparkSession, d: str) -> DataFrame:
     """All alignments with the columns of the SAM schema, decoded."""
     a, c = table(spark, d, "alignments"), table(spark, d, "contigs")
     names = lambda i: c.select(F.col("contig_id").alias(i), F.col("contig_name").cast("binary").alias(f"{i}_name"))
-    a = a.join(F.broadcast(names("reference_sequence_id")), "reference_sequence_id", "left").join(F.broadcast(names("mate_reference_sequence_id")), "mate_reference_sequence_id", "left")
+    a = a.join(names("reference_sequence_id"), "reference_sequence_id", "left").join(names("mate_reference_sequence_id"), "mate_reference_sequence_id", "left")
     text = {
         "name": F.col("name"), "flags": F.col("flags"), "reference_sequence_name": F.col("reference_sequence_id_name"), "alignment_start": F.col("alignment_start"),
         "mapping_quality": F.col("mapping_quality"), "cigar": alignment.cigar_text(F.col("cigar")).cast("binary"),
@@ -189,15 +183,16 @@ def fastq_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vcf_parse_info(spark: SparkSession, d: str) -> DataFrame:
-    """Variants written as VCF lines and parsed with a header. Tabs, which no VCF field may hold, become commas."""
-    header = headers.VcfHeader.parse('##fileformat=VCFv4.3\n##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">\n##INFO=<ID=S,Number=1,Type=String,Description="Sample">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO')
+    """Variants written as VCF lines and parsed with a header. Tabs in a field are written as their code."""
+    header = headers.VcfHeader.parse("\n".join([
+        "##fileformat=VCFv4.3", '##INFO=<ID=NREADS,Number=1,Type=Integer,Description="Reads at the place">',
+        '##INFO=<ID=ORIGIN,Number=1,Type=String,Description="Sample">', "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO",
+    ]))
     v = table(spark, d, "variants")
-    clean = lambda c: F.translate(F.col(c), "\t", ",").alias(c)
-    info = F.concat_ws(";", F.concat(F.lit("DP="), "info_dp"), F.concat(F.lit("S="), "sample_id"))
-    lines = v.select("variant_id", "chrom", "pos", clean("id"), "ref", clean("alt"), "qual", info.alias("info"))
-    lines = lines.select("variant_id", text.vcf_line(F.col("info")).alias("line"))
-    out = lines.select("variant_id", *text.vcf_columns(F.col("line"), header))
-    return out.withColumn("pos", F.when(F.col("pos") > 0, F.col("pos")))
+    rows = v.select("chrom", "pos", "id", "ref", "alt", "qual", F.col("info_dp").alias("INFO_NREADS"), F.col("sample_id").cast("string").alias("INFO_ORIGIN"))
+    lines = v.select("variant_id", *rows.columns[:6], F.col("info_dp").alias("INFO_NREADS"), F.col("sample_id").cast("string").alias("INFO_ORIGIN"))
+    lines = lines.select("variant_id", text.vcf_record_line(rows, header).alias("line"))
+    return lines.select("variant_id", *text.vcf_columns(F.col("line"), header))
 
 
 def bam_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -225,10 +220,20 @@ def bcf_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def track_annotation(spark: SparkSession, d: str) -> DataFrame:
-    """Per track: how many variants its intervals hold and their mean quality; the whole chain from tables to report."""
+    """Per track: pairs of its intervals with variants, how many variants these are, and the largest depth among them."""
     v = variant_intervals(spark, d)
     pairs = ops.overlap(tracks(spark, d).select("track_id", "chrom", "start", "end"), v)
-    return pairs.groupBy(F.col("a_track_id").alias("track_id")).agg(F.count("*").alias("n_hits"), F.count_distinct("b_variant_id").alias("n_variants"))
+    return pairs.groupBy(F.col("a_track_id").alias("track_id")).agg(
+        F.count("*").alias("n_hits"), F.count_distinct("b_variant_id").alias("n_variants"), F.max("b_info_dp").alias("most_reads")
+    )
+
+
+def overlap_reads(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of alignments and track intervals, per interval: how many, and the first and last alignment."""
+    pairs = ops.overlap(tracks(spark, d).select("interval_id", "chrom", "start", "end"), _alignment_view(spark, d).select("alignment_id", "chrom", "start", "end"))
+    return pairs.groupBy(F.col("a_interval_id").alias("interval_id")).agg(
+        F.count("*").alias("n_reads"), F.min("b_alignment_id").alias("first_read"), F.max("b_alignment_id").alias("last_read")
+    )
 
 
 def _slim(df: DataFrame, *names: str) -> DataFrame:
@@ -279,7 +284,13 @@ QUERIES: dict[str, Query] = {
     "bam_round_trip": bam_round_trip,
     "bcf_round_trip": bcf_round_trip,
     "track_annotation": track_annotation,
-    "chrom_sizes": lambda s, d: _sizes(s, d),
+    "chrom_sizes": lambda s, d: formats.chrom_sizes(s, d),
+    "overlap_reads": overlap_reads,
+    "nearest_start_adjacent": lambda s, d: _slim(ops.nearest(variant_intervals(s, d), tracks(s, d), None, "start_adjacent", "variant_id", "interval_id"), "a_variant_id", "b_interval_id", "distance"),
+    "subtract_on_cols": lambda s, d: ops.subtract(variant_intervals(s, d), tracks(s, d), ["sample_id"]),
+    "complement_on_cols": lambda s, d: ops.complement(tracks(s, d), _sizes(s, d), ["strand"]),
+    "disjoin_on_cols": lambda s, d: ops.disjoin(tracks(s, d), ["strand"]),
+    **formats.QUERIES,
     "p1_found": p1_found,
     "p1_dialects": p1_dialects,
     "p2_found": p2_found,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,23 +55,27 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def reach(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it (a path that the executors have as well).
+    """Let Python workers import this package: its source travels to the executors once a session, as an archive.
 
-    Workers that have the package installed, or on their PYTHONPATH, do not need it.
+    Workers that have the package installed use their own.
     """
-    root = str(Path(__file__).resolve().parent.parent)
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
-    if root not in paths:
-        environment["PYTHONPATH"] = ":".join([*paths, root])
+    sc = spark.sparkContext
+    if getattr(sc, "_genomeframe_sent", False):
+        return
+    root = Path(__file__).resolve().parent
+    # the driver serves the archive as long as the session lives, so it is not removed here
+    archive = f"{tempfile.mkdtemp(prefix='spark-genomeframe-')}/genomeframe.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    sc.addPyFile(archive)
+    sc._genomeframe_sent = True
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder, by its file path, in the shared checkpoint folder; for files that executors write and read."""
-    import uuid
-
+    """The path of a new folder in the shared checkpoint folder, for files that executors write and read."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir().removeprefix('file:').replace('//', '/')}/files-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame) -> DataFrame:

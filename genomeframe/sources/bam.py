@@ -1,50 +1,41 @@
 """BAM files as a Spark data source: ``spark.read.format("bam")`` and ``df.write.format("bam")``.
 
-Reading: each file is cut at record starts that its index (``<path>.bai``) knows, so one large file is read by many tasks;
-without an index a file is one task. With the option ``region`` ("chr1:1000-2000") only the chunks that the index names
-for the region are read, and only records that overlap it come out. Writing: each task writes a complete file into
-the folder, which appears under its name when the job commits. Paths must be readable as files on all executors.
+Columns are the eleven of the BAM schema and ``data``, the further fields as the record holds them; the option ``tags`` adds
+them typed (see ``tags``). Reading: files are cut by their size into ranges of blocks; each task finds the first record of its
+range in the file's index (``<path>.bai``) or, without one, by looking for a place from which valid records follow each other.
+With the option ``region`` ("chr1:1000-2000") only the chunks that the index names are read, and only records that overlap it
+come out. Writing: each task writes a complete file, with the option ``index`` also its index; a column ``tags`` or else ``data`` gives the further
+fields. Nothing is planned or indexed by reading files on the driver. Paths may be on any file system that Arrow reaches.
 """
 
 from __future__ import annotations
 
-import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..functions.coords import Region
+from . import files, parts, tags
 from .bgzf import Reader, Writer
 from .headers import SamHeader
 
 SCHEMA = (
     "name binary, flags int, reference_sequence_id int, alignment_start int, mapping_quality smallint, cigar binary, "
-    "mate_reference_sequence_id int, mate_alignment_start int, template_length int, sequence binary, quality_scores binary"
+    "mate_reference_sequence_id int, mate_alignment_start int, template_length int, sequence binary, quality_scores binary, data binary"
 )
 _ARROW = pa.schema(
     [(n, {"binary": pa.binary(), "int": pa.int32(), "smallint": pa.int16()}[t]) for n, t in (x.split(" ") for x in SCHEMA.split(", "))]
 )
 _FIXED = struct.Struct("<iiBBHHHiiii")
 BATCH = 8192
-#: Compressed bytes that a task reads about.
-SPLIT_BYTES = 64 << 20
 #: Operations (codes of M, D, N, =, X) that advance on the reference.
 _ON_REFERENCE = (0, 2, 3, 7, 8)
-
-
-@dataclass
-class Split(InputPartition):
-    path: str
-    start: int
-    end: int
-    reference: int = -1
-    first: int = 0
-    last: int = 1 << 60
+_TAGS = pa.list_(pa.struct([("tag", pa.string()), ("type", pa.string()), ("value", pa.string()), ("i", pa.int64()), ("f", pa.float64()), ("a", pa.list_(pa.float64()))]))
 
 
 def read_header(path: str) -> tuple[SamHeader, list[str], int]:
@@ -77,7 +68,7 @@ def covered(cigar: bytes) -> int:
 
 
 def decode(body: bytes) -> tuple:
-    """The columns of one record; further tags are left aside."""
+    """The columns of one record."""
     ref, pos, l_name, mapq, _, n_ops, flags, l_seq, mate_ref, mate_pos, length = _FIXED.unpack_from(body)
     at = _FIXED.size
     name = body[at : at + l_name - 1]
@@ -89,7 +80,7 @@ def decode(body: bytes) -> tuple:
     return (
         None if name == b"*" else name, flags, None if ref < 0 else ref, None if pos < 0 else pos + 1, None if mapq == 255 else mapq, cigar,
         None if mate_ref < 0 else mate_ref, None if mate_pos < 0 else mate_pos + 1, length, body[at : at + half],
-        b"" if quality.startswith(b"\xff") else quality,
+        b"" if quality.startswith(b"\xff") else quality, body[at + half + l_seq :],
     )
 
 
@@ -122,7 +113,8 @@ def encode(row: dict) -> bytes:
         ident("reference_sequence_id"), pos, len(name), 255 if row["mapping_quality"] is None else row["mapping_quality"], _bin(pos, pos + max(1, covered(cigar))) if pos >= 0 else 4680,
         len(cigar) // 4, row["flags"] or 0, l_seq, ident("mate_reference_sequence_id"), minus("mate_alignment_start"), row["template_length"] or 0,
     )
-    body += name + cigar + seq + (qual or b"\xff" * l_seq)
+    further = tags.encode(row["tags"]) if row.get("tags") is not None else bytes(row.get("data") or b"")
+    body += name + cigar + seq + (qual or b"\xff" * l_seq) + further
     return struct.pack("<i", len(body)) + body
 
 
@@ -136,41 +128,80 @@ def records(path: str, start: int, end: int) -> Iterator[tuple[int, bytes]]:
             yield at, r.read(struct.unpack("<i", size)[0])
 
 
-def write_index(path: str) -> str:
-    """Write ``<path>.bai`` for a file sorted by reference and start."""
-    _, names, first = read_header(path)
-    bins: list[dict[int, list[list[int]]]] = [{} for _ in names]
-    linear: list[list[int]] = [[] for _ in names]
-    held = None
+def record_length(sizes: list[int]):
+    """Tells whether a record may begin at a place, for a file with these references (see ``parts.record_start``)."""
+
+    def length(data: bytes, i: int) -> int:
+        if i + 36 > len(data):
+            return 0
+        size = struct.unpack_from("<i", data, i)[0]
+        ref, pos, l_name, _, _, n_ops, _, l_seq, mate_ref, mate_pos, _ = _FIXED.unpack_from(data, i + 4)
+        n = len(sizes)
+        if not (-1 <= ref < n and -1 <= mate_ref < n and pos >= -1 and mate_pos >= -1 and l_name >= 1 and l_seq >= 0):
+            return -1
+        if size < 32 + l_name + 4 * n_ops + (l_seq + 1) // 2 + l_seq or ref >= 0 and pos > sizes[ref] or mate_ref >= 0 and mate_pos > sizes[mate_ref]:
+            return -1
+        name = data[i + 36 : i + 36 + l_name]
+        if len(name) == l_name and (name[-1] != 0 or any(not 33 <= c <= 126 for c in name[:-1])):
+            return -1
+        return size + 4
+
+    return length
+
+
+class IndexBuilder:
+    """Chunks by bin and the linear index, filled record by record in the order of the file."""
 
-    def add(ref: int, pos: int, cigar: bytes, begin: int, stop: int) -> None:
+    def __init__(self, n_references: int):
+        self.bins: list[dict[int, list[list[int]]]] = [{} for _ in range(n_references)]
+        self.linear: list[list[int]] = [[] for _ in range(n_references)]
+
+    def add(self, ref: int | None, start: int | None, cigar: bytes, begin: int, stop: int) -> None:
+        """A record at virtual positions from ``begin`` to ``stop``; ``start`` is 1-based. Unplaced records have no entry."""
+        if ref is None or start is None:
+            return
+        pos = start - 1
         last = pos + max(1, covered(cigar))
-        chunks = bins[ref].setdefault(_bin(pos, last), [])
+        chunks = self.bins[ref].setdefault(_bin(pos, last), [])
         if chunks and chunks[-1][1] == begin:
             chunks[-1][1] = stop
         else:
             chunks.append([begin, stop])
-        slots = linear[ref]
+        slots = self.linear[ref]
         for w in range(pos >> 14, (last - 1 >> 14) + 1):
             slots += [0] * (w + 1 - len(slots))
             slots[w] = min(slots[w] or begin, begin)
 
-    for at, body in records(path, first, 1 << 62):
+    def to_bytes(self) -> bytes:
+        out = b"BAI\1" + struct.pack("<i", len(self.bins))
+        for b, slots in zip(self.bins, self.linear):
+            out += struct.pack("<i", len(b))
+            for k in sorted(b):
+                out += struct.pack("<Ii", k, len(b[k])) + b"".join(struct.pack("<QQ", *c) for c in b[k])
+            out += struct.pack("<i", len(slots)) + struct.pack(f"<{len(slots)}Q", *slots)
+        return out
+
+
+def index_file(path: str) -> int:
+    """Write ``<path>.bai`` for one file sorted by reference and start; the number of its records. It runs where it is called."""
+    _, names, first = read_header(path)
+    builder, held, n = IndexBuilder(len(names)), None, 0
+    for at, body in records(path, first, parts.END):
         if held is not None:
-            add(*held, at)
+            builder.add(*held, at)
         row = decode(body)
-        held = None if row[2] is None or row[3] is None else (row[2], row[3] - 1, row[5], at)
+        held, n = (row[2], row[3], row[5], at), n + 1
     if held is not None:
-        add(*held, os.path.getsize(path) << 16)
-    out = b"BAI\1" + struct.pack("<i", len(names))
-    for b, slots in zip(bins, linear):
-        out += struct.pack("<i", len(b))
-        for k in sorted(b):
-            out += struct.pack("<Ii", k, len(b[k])) + b"".join(struct.pack("<QQ", *c) for c in b[k])
-        out += struct.pack("<i", len(slots)) + struct.pack(f"<{len(slots)}Q", *slots)
-    with open(f"{path}.bai", "wb") as f:
-        f.write(out)
-    return f"{path}.bai"
+        with Reader(path) as r:
+            builder.add(*held, r.size() << 16)
+    with files.open_output(f"{path}.bai") as out:
+        out.write(builder.to_bytes())
+    return n
+
+
+def write_indexes(spark: SparkSession, path: str) -> DataFrame:
+    """Index all BAM files of a folder, one task a file: ``path, n_records`` (the work is done when the result is)."""
+    return parts.for_each_file(spark, path, ".bam", index_file)
 
 
 @dataclass
@@ -182,7 +213,7 @@ class Index:
 
     @classmethod
     def read(cls, path: str) -> Index:
-        with open(path, "rb") as f:
+        with files.open_input(path) as f:
             if f.read(4) != b"BAI\1":
                 raise ValueError(f"{path} is no BAI file")
             take = lambda fmt: struct.unpack(fmt, f.read(struct.calcsize(fmt)))
@@ -214,97 +245,74 @@ class Index:
         return out
 
 
-def _files(path: str, suffix: str) -> list[str]:
-    path = path.removeprefix("file://")
-    if os.path.isdir(path):
-        return sorted(os.path.join(path, x) for x in os.listdir(path) if x.endswith(suffix) and x[0] not in "._")
-    return [path]
-
-
 class BamReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.path, self.region = options["path"], options.get("region")
-        self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
+        self.path, self.region, self.typed = options["path"], options.get("region"), options.get("tags", "false").lower() == "true"
+        self.split_bytes = int(options.get("split_bytes", parts.SPLIT_BYTES))
 
     def partitions(self) -> list[InputPartition]:
-        out: list[InputPartition] = []
-        for path in _files(self.path, ".bam"):
-            _, names, first = read_header(path)
-            index = Index.read(f"{path}.bai") if os.path.exists(f"{path}.bai") else None
-            if self.region:
-                region = Region.parse(self.region)
-                if region.name not in names:
-                    continue
+        return parts.ranges(self.path, ".bam", self.split_bytes)
+
+    def _places(self, part: parts.Range) -> Iterator[tuple[bytes, int, int, int]]:
+        """Records of a part with the region asked for as (body, reference, first, last)."""
+        header, names, first = read_header(part.path)
+        index = Index.read(f"{part.path}.bai") if files.exists(f"{part.path}.bai") else None
+        sizes = list(header.reference_sequences().values())
+        if self.region and index is not None:
+            region = Region.parse(self.region)
+            if region.name in names:
                 ref, a, b = names.index(region.name), region.start or 1, region.end or 1 << 60
-                ranges = index.chunks(ref, a - 1, min(b, 1 << 29)) if index else [(first, 1 << 62)]
-                out += [Split(path, x, y, ref, a, b) for x, y in ranges]
-                continue
-            cuts = [first]
-            for v in index.starts() if index else ():
-                if (v >> 16) - (cuts[-1] >> 16) >= self.split_bytes:
-                    cuts.append(v)
-            out += [Split(path, x, y) for x, y in zip(cuts, [*cuts[1:], 1 << 62])]
-        return out or [Split("", 0, 0)]
-
-    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        if not partition.path:
+                for low, high in parts.chunk_parts(part, index.chunks(ref, a - 1, min(b, 1 << 29)), first, record_length(sizes)):
+                    for _, body in records(part.path, low, high):
+                        yield body, ref, a, b
             return
-        for _, body in records(partition.path, partition.start, partition.end):
+        low, high = parts.bounds(part, index.starts() if index else (), first, record_length(sizes))
+        ref, a, b = -1, 0, 0
+        if self.region:
+            region = Region.parse(self.region)
+            if region.name not in names:
+                return
+            ref, a, b = names.index(region.name), region.start or 1, region.end or 1 << 60
+        for _, body in records(part.path, low, high) if low < high else ():
+            yield body, ref, a, b
+
+    def read(self, partition: parts.Range) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for body, ref, a, b in self._places(partition) if partition.path else ():
             row = decode(body)
-            if partition.reference >= 0:
-                if row[2] != partition.reference or row[3] is None or row[3] > partition.last or row[3] + max(1, covered(row[5])) - 1 < partition.first:
-                    continue
+            if ref >= 0 and (row[2] != ref or row[3] is None or row[3] > b or row[3] + max(1, covered(row[5])) - 1 < a):
+                continue
             rows.append(row)
             if len(rows) == BATCH:
-                yield _batch(rows)
+                yield self._batch(rows)
                 rows = []
         if rows:
-            yield _batch(rows)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-
-
-@dataclass
-class Written(WriterCommitMessage):
-    temporary: str
-    final: str
-
-
-class BamWriter(DataSourceWriter):
-    def __init__(self, options: dict[str, str], overwrite: bool):
-        self.path, self.header, self.level, self.overwrite = options["path"].removeprefix("file://"), options.get("header", ""), int(options.get("level", 6)), overwrite
-
-    def write(self, iterator: Iterator) -> Written:
-        from pyspark import TaskContext
-
-        task = TaskContext.get()
-        os.makedirs(self.path, exist_ok=True)
-        name = f"part-{task.partitionId():05d}.bam"
-        temporary = os.path.join(self.path, f"_{name}.{task.taskAttemptId()}")
-        with Writer(temporary, self.level) as w:
-            w.write(header_bytes(SamHeader.parse(self.header)))
-            w.flush()
-            for row in iterator:
-                w.write(encode(row.asDict()))
-        return Written(temporary, os.path.join(self.path, name))
-
-    def commit(self, messages: list[Written]) -> None:
-        done = {m.final for m in messages if m}
-        if self.overwrite:
-            for old in _files(self.path, ".bam"):
-                if old not in done:
-                    os.remove(old)
-        for m in messages:
-            if m:
-                os.replace(m.temporary, m.final)
-
-    def abort(self, messages: list[Written]) -> None:
-        for m in messages:
-            if m and os.path.exists(m.temporary):
-                os.remove(m.temporary)
+            yield self._batch(rows)
+
+    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)]
+        schema = _ARROW
+        if self.typed:
+            names = [f.name for f in _TAGS.value_type]
+            columns.append(pa.array([[dict(zip(names, t)) for t in tags.decode(r[-1])] for r in rows], _TAGS))
+            schema = _ARROW.append(pa.field("tags", _TAGS))
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+class BamWriter(parts.FileWriter):
+    suffix, index_suffix = ".bam", ".bai"
+
+    def fill(self, writer: Writer, rows: Iterator) -> bytes | None:
+        header = SamHeader.parse(self.options.get("header", ""))
+        builder = IndexBuilder(len(header.reference_sequences())) if self.options.get("index", "false").lower() == "true" else None
+        writer.write(header_bytes(header))
+        writer.flush()
+        for row in rows:
+            record, at = row.asDict(), writer.tell()
+            writer.write(encode(record))
+            if builder is not None:
+                builder.add(record["reference_sequence_id"], record["alignment_start"], bytes(record["cigar"] or b""), at, writer.tell())
+        return builder.to_bytes() if builder is not None else None
 
 
 class BamSource(DataSource):
@@ -313,7 +321,7 @@ class BamSource(DataSource):
         return "bam"
 
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA + (f", tags {tags.TAG_TYPE}" if self.options.get("tags", "false").lower() == "true" else "")
 
     def reader(self, schema: StructType) -> BamReader:
         return BamReader(dict(self.options))

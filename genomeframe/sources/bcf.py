@@ -1,27 +1,28 @@
 """BCF files as a Spark data source: ``spark.read.format("bcf")`` and ``df.write.format("bcf")``.
 
 The columns are those of VCF text (``vcf_columns``): six base columns, one ``INFO_<KEY>`` per INFO of the header and, with
-samples, one ``FMT_<KEY>`` per FORMAT. With a CSI index (``<path>.csi``) a file is cut at record starts that the index knows, and
-the option ``region`` reads only the chunks named for it; without one a file is one task. Writing gives one complete file per
-task. Paths must be readable as files on all executors.
+samples, one ``FMT_<KEY>`` per FORMAT. The option ``filters`` adds ``filter``, an array of names; with ``info_arrays`` an INFO of
+more than one number is an array, otherwise its first value. With both, a file that is read and written again loses nothing.
+Splits, regions (by a CSI index, ``<path>.csi``) and writing work as for BAM (``bam``, ``parts``).
 """
 
 from __future__ import annotations
 
-import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..functions.coords import Region
-from .bam import SPLIT_BYTES, Split, Written, _files
-from .bgzf import Reader, Writer
+from . import files, parts
+from .bgzf import BLOCK, EOF, Reader, Writer, pack_block
 from .headers import VcfHeader
+from .numbers import short
 
 _KINDS = {"Integer": ("int", pa.int32()), "Float": ("float", pa.float32()), "Flag": ("boolean", pa.bool_()), "String": ("string", pa.string()), "Character": ("string", pa.string())}
 #: Fixed values of the format: codes of types with width, missing value and end of vector.
@@ -31,16 +32,19 @@ _FIXED = struct.Struct("<iiifHHI")
 BATCH = 4096
 
 
-def columns(header: VcfHeader) -> list[tuple[str, str, pa.DataType]]:
+def columns(header: VcfHeader, filters: bool = False, info_arrays: bool = False) -> list[tuple[str, str, pa.DataType]]:
     base = [("chrom", "string", pa.string()), ("pos", "int", pa.int32()), ("id", "string", pa.string()), ("ref", "string", pa.string()), ("alt", "string", pa.string()), ("qual", "float", pa.float32())]
-    base += [(f"INFO_{k}", *_KINDS.get(t, _KINDS["String"])) for k, t in header.info_fields()]
+    if filters:
+        base.append(("filter", "array<string>", pa.list_(pa.string())))
+    several = header.info_lists() if info_arrays else ()
+    for key, kind in header.info_fields():
+        name, arrow = _KINDS.get(kind, _KINDS["String"])
+        base.append((f"INFO_{key}", f"array<{name}>", pa.list_(arrow)) if key in several else (f"INFO_{key}", name, arrow))
     return base + ([(f"FMT_{k}", "string", pa.string()) for k, _ in header.format_fields()] if header.sample_names() else [])
 
 
 def dictionary(header: VcfHeader) -> list[str]:
     """Names of filters and keys by number: PASS first, then in the order of the header."""
-    import re
-
     out = ["PASS"]
     for line in header.lines:
         m = re.match(r"##(?:FILTER|INFO|FORMAT)=<ID=([^,>]+)", line)
@@ -93,11 +97,8 @@ def _take(data: bytes, at: int) -> tuple[list | str, int]:
 def _shown(x: object) -> str:
     if x is None:
         return "."
-    if isinstance(x, float):  # the shortest text that gives the same 32-bit number
-        for p in range(1, 10):
-            if struct.pack("<f", float(f"{x:.{p}g}")) == struct.pack("<f", x):
-                t = f"{x:.{p}g}"
-                return t if "e" not in t else f"{float(t):f}".rstrip("0").rstrip(".") or t
+    if isinstance(x, float):
+        return short(x)
     return str(x)
 
 
@@ -115,13 +116,16 @@ class Codec:
     """Rows of one header; keeps what is looked up for each record."""
 
     header: VcfHeader
+    filters: bool = False
+    info_arrays: bool = False
     words: list[str] = field(init=False)
     contigs: list[str] = field(init=False)
     names: list[str] = field(init=False)
 
     def __post_init__(self) -> None:
         self.words, self.contigs = dictionary(self.header), list(self.header.contigs())
-        self.names = [c[0] for c in columns(self.header)]
+        self.names = [c[0] for c in columns(self.header, self.filters)]
+        self.several = self.header.info_lists() if self.info_arrays else frozenset()
         self.info, self.format = dict(self.header.info_fields()), dict(self.header.format_fields())
         self.samples = len(self.header.sample_names())
 
@@ -134,8 +138,10 @@ class Codec:
         for _ in range(n_allele):
             a, at = _take(shared, at)
             alleles.append(a or "")
-        _, at = _take(shared, at)  # filters are not among the columns
+        marks, at = _take(shared, at)
         row: dict = dict.fromkeys(self.names)
+        if self.filters:
+            row["filter"] = [self.words[i] for i in marks] or None
         row |= {f"INFO_{k}": False for k, t in self.info.items() if t == "Flag"}
         row |= {
             "chrom": self.contigs[chrom] if 0 <= chrom < len(self.contigs) else "", "pos": pos + 1 if pos >= 0 else None, "id": ident if ident and ident != "." else None,
@@ -148,6 +154,8 @@ class Codec:
             kind = self.info.get(name)
             if kind == "Flag":
                 row[f"INFO_{name}"] = True
+            elif name in self.several:
+                row[f"INFO_{name}"] = list(value) or None
             elif kind in ("Integer", "Float"):
                 row[f"INFO_{name}"] = value[0] if value else None
             elif kind and value:
@@ -179,7 +187,13 @@ class Codec:
                 continue
             n_info += 1
             info += _put_ints([self.words.index(key)])
-            info += b"\0" if kind == "Flag" else _put_ints([v]) if kind == "Integer" else _put_floats([v]) if kind == "Float" else _put_text(str(v))
+            values = list(v) if isinstance(v, (list, tuple)) else [v]
+            if kind == "Flag":
+                info += b"\0"
+            elif kind in ("Integer", "Float"):
+                info += _put_ints(values) if kind == "Integer" else _put_floats(values)
+            else:
+                info += _put_text(str(v))
         single, n_format = b"", 0
         for key, kind in self.format.items() if self.samples else ():
             text = row.get(f"FMT_{key}")
@@ -192,9 +206,16 @@ class Codec:
         qual = struct.pack("<I", _FLOAT_MISSING) if row["qual"] is None else struct.pack("<f", row["qual"])
         shared = struct.pack("<iii", self.contigs.index(chrom), (row["pos"] or 0) - 1, len(ref)) + qual
         shared += struct.pack("<HHI", n_info, 1 + len(alts), n_format << 24 | self.samples) + _put_text(row["id"] or ".")
-        shared += b"".join(map(_put_text, [ref, *alts])) + b"\0" + info
+        shared += b"".join(map(_put_text, [ref, *alts])) + self._marks(row.get("filter")) + info
         return struct.pack("<II", len(shared), len(single)) + shared + single
 
+    def _marks(self, names: list[str] | None) -> bytes:
+        """Filters as numbers of the dictionary; no filter at all is a missing value."""
+        unknown = [n for n in names or () if n not in self.words]
+        if unknown:
+            raise ValueError(f"the header has no filter {unknown[0]!r}")
+        return _put_ints([self.words.index(n) for n in names]) if names else b"\0"
+
 
 def _head(kind: int, n: int) -> bytes:
     return bytes([n << 4 | kind]) if n < 15 else bytes([15 << 4 | kind]) + _put_ints([n])
@@ -275,29 +296,67 @@ def _bin(start: int, end: int, min_shift: int, depth: int) -> int:
     return 0
 
 
-def write_index(path: str) -> str:
-    """Write ``<path>.csi`` for a file sorted by contig and position."""
+class IndexBuilder:
+    """Chunks by bin, filled record by record in the order of the file."""
+
+    def __init__(self, n_contigs: int):
+        self.bins: list[dict[int, list[list[int]]]] = [{} for _ in range(n_contigs)]
+
+    def add(self, record: bytes, begin: int, stop: int) -> None:
+        """The shared part of a record that lies at virtual positions from ``begin`` to ``stop``."""
+        contig, pos, span = struct.unpack_from("<iii", record)
+        chunks = self.bins[contig].setdefault(_bin(max(pos, 0), max(pos, 0) + max(1, span), MIN_SHIFT, DEPTH), [])
+        if chunks and chunks[-1][1] == begin:
+            chunks[-1][1] = stop
+        else:
+            chunks.append([begin, stop])
+
+    def to_bytes(self) -> bytes:
+        out = b"CSI\1" + struct.pack("<iiii", MIN_SHIFT, DEPTH, 0, len(self.bins))
+        for own in self.bins:
+            out += struct.pack("<i", len(own))
+            for k in sorted(own):
+                out += struct.pack("<IQi", k, own[k][0][0], len(own[k])) + b"".join(struct.pack("<QQ", *c) for c in own[k])
+        return out
+
+
+def record_length(header: VcfHeader):
+    """Tells whether a record may begin at a place, for a file with this header (see ``parts.record_start``)."""
+    n_contigs, n_words, n_samples = len(header.contigs()), len(dictionary(header)), len(header.sample_names())
+
+    def length(data: bytes, i: int) -> int:
+        if i + 33 > len(data):
+            return 0
+        shared, single = struct.unpack_from("<II", data, i)
+        contig, pos, span, _, n_info, n_allele, counts = _FIXED.unpack_from(data, i + 8)
+        if shared < 25 or shared > 1 << 28 or single > 1 << 30 or not (0 <= contig < n_contigs and pos >= -1 and span >= 0):
+            return -1
+        if counts & 0xFFFFFF != n_samples or n_allele < 1 or n_info > n_words or counts >> 24 > n_words or data[i + 32] & 15 not in (0, 7):
+            return -1
+        return shared + single + 8
+
+    return length
+
+
+def index_file(path: str) -> int:
+    """Write ``<path>.csi`` for one file sorted by contig and position; the number of its records. It runs where it is called."""
     header, first = read_header(path)
-    bins: list[dict[int, list[list[int]]]] = [{} for _ in header.contigs()]
-    held = None
-    for at, shared, _ in [*records(path, first, 1 << 62), (os.path.getsize(path) << 16, b"", b"")]:
+    builder, held, n = IndexBuilder(len(header.contigs())), None, 0
+    for at, shared, _ in records(path, first, parts.END):
         if held is not None:
-            chrom, b, begin = held
-            chunks = bins[chrom].setdefault(b, [])
-            if chunks and chunks[-1][1] == begin:
-                chunks[-1][1] = at
-            else:
-                chunks.append([begin, at])
-        if shared:
-            chrom, pos, span = struct.unpack_from("<iii", shared)
-            held = (chrom, _bin(max(pos, 0), max(pos, 0) + max(1, span), MIN_SHIFT, DEPTH), at)
+            builder.add(*held, at)
+        held, n = (shared, at), n + 1
+    if held is not None:
+        with Reader(path) as r:
+            builder.add(*held, r.size() << 16)
     with Writer(f"{path}.csi") as w:
-        w.write(b"CSI\1" + struct.pack("<iiii", MIN_SHIFT, DEPTH, 0, len(bins)))
-        for own in bins:
-            w.write(struct.pack("<i", len(own)))
-            for k in sorted(own):
-                w.write(struct.pack("<IQi", k, own[k][0][0], len(own[k])) + b"".join(struct.pack("<QQ", *c) for c in own[k]))
-    return f"{path}.csi"
+        w.write(builder.to_bytes())
+    return n
+
+
+def write_indexes(spark: SparkSession, path: str) -> DataFrame:
+    """Index all BCF files of a folder, one task a file: ``path, n_records`` (the work is done when the result is)."""
+    return parts.for_each_file(spark, path, ".bcf", index_file)
 
 
 @dataclass
@@ -346,41 +405,56 @@ class Index:
         return out
 
 
+def _flag(options: dict[str, str], name: str) -> bool:
+    return options.get(name, "false").lower() == "true"
+
+
+def _first_header(path: str) -> VcfHeader:
+    found = files.listing(path, ".bcf")
+    if not found:
+        raise ValueError(f"no BCF file at {path}")
+    return read_header(found[0][0])[0]
+
+
 class BcfReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.region = options["path"], options.get("region")
-        self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
-        self.codec = Codec(read_header(_files(self.path, ".bcf")[0])[0])
+        self.split_bytes = int(options.get("split_bytes", parts.SPLIT_BYTES))
+        self.extras = _flag(options, "filters"), _flag(options, "info_arrays")
+        self.codec = Codec(_first_header(self.path), *self.extras)
 
     def partitions(self) -> list[InputPartition]:
-        out: list[InputPartition] = []
-        for path in _files(self.path, ".bcf"):
-            first = read_header(path)[1]
-            index = Index.read(f"{path}.csi") if os.path.exists(f"{path}.csi") else None
-            if self.region:
-                region = Region.parse(self.region)
-                if region.name in self.codec.contigs:
-                    contig, a, b = self.codec.contigs.index(region.name), region.start or 1, region.end or 1 << 60
-                    out += [Split(path, x, y, contig, a, b) for x, y in (index.chunks(contig, a - 1, b) if index else [(first, 1 << 62)])]
-                continue
-            cuts = [first]
-            for v in index.starts() if index else ():
-                if (v >> 16) - (cuts[-1] >> 16) >= self.split_bytes:
-                    cuts.append(v)
-            out += [Split(path, x, y) for x, y in zip(cuts, [*cuts[1:], 1 << 62])]
-        return out or [Split("", 0, 0)]
-
-    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
-        cols = columns(self.codec.header)
+        return parts.ranges(self.path, ".bcf", self.split_bytes)
+
+    def _places(self, part: parts.Range) -> Iterator[tuple[bytes, bytes, int, int, int]]:
+        """Records of a part with the region asked for as (shared, single, contig, first, last)."""
+        header, first = read_header(part.path)
+        if list(header.contigs()) != self.codec.contigs or dictionary(header) != self.codec.words:
+            raise ValueError(f"{part.path} numbers its contigs or keys otherwise than the first file")
+        index = Index.read(f"{part.path}.csi") if files.exists(f"{part.path}.csi") else None
+        contig, a, b = -1, 0, 0
+        if self.region:
+            region = Region.parse(self.region)
+            if region.name not in self.codec.contigs:
+                return
+            contig, a, b = self.codec.contigs.index(region.name), region.start or 1, region.end or 1 << 60
+        if index is not None and self.region:
+            stretches = parts.chunk_parts(part, index.chunks(contig, a - 1, b), first, record_length(header))
+        else:
+            stretches = [parts.bounds(part, index.starts() if index else (), first, record_length(header))]
+        for low, high in stretches:
+            for _, shared, single in records(part.path, low, high) if low < high else ():
+                yield shared, single, contig, a, b
+
+    def read(self, partition: parts.Range) -> Iterator[pa.RecordBatch]:
+        cols = columns(self.codec.header, *self.extras)
         schema = pa.schema([(n, t) for n, _, t in cols])
         batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, _, t in cols], schema=schema)
         rows: list[dict] = []
-        for _, shared, single in records(partition.path, partition.start, partition.end):
-            if partition.reference >= 0:
+        for shared, single, wanted, a, b in self._places(partition) if partition.path else ():
+            if wanted >= 0:
                 contig, pos, span = struct.unpack_from("<iii", shared)
-                if contig != partition.reference or pos + 1 > partition.last or pos + max(1, span) < partition.first:
+                if contig != wanted or pos + 1 > b or pos + max(1, span) < a:
                     continue
             rows.append(self.codec.decode(shared, single)[0])
             if len(rows) == BATCH:
@@ -390,38 +464,35 @@ class BcfReader(DataSourceReader):
             yield batch(rows)
 
 
-class BcfWriter(DataSourceWriter):
-    def __init__(self, options: dict[str, str], overwrite: bool):
-        self.path, self.header, self.overwrite = options["path"].removeprefix("file://"), options["header"], overwrite
-
-    def write(self, iterator: Iterator) -> Written:
-        from pyspark import TaskContext
-
-        task = TaskContext.get()
-        os.makedirs(self.path, exist_ok=True)
-        name = f"part-{task.partitionId():05d}.bcf"
-        temporary = os.path.join(self.path, f"_{name}.{task.taskAttemptId()}")
-        codec, text = Codec(VcfHeader.parse(self.header)), self.header.encode() + b"\0"
-        with Writer(temporary) as w:
-            w.write(b"BCF\2\2" + struct.pack("<I", len(text)) + text)
-            w.flush()
-            for row in iterator:
-                w.write(codec.encode(row.asDict()))
-        return Written(temporary, os.path.join(self.path, name))
-
-    def commit(self, messages: list[Written]) -> None:
-        done = {m.final for m in messages if m}
-        for old in _files(self.path, ".bcf") if self.overwrite else ():
-            if old not in done:
-                os.remove(old)
-        for m in messages:
-            if m:
-                os.replace(m.temporary, m.final)
-
-    def abort(self, messages: list[Written]) -> None:
-        for m in messages:
-            if m and os.path.exists(m.temporary):
-                os.remove(m.temporary)
+class BcfWriter(parts.FileWriter):
+    """Columns that the header does not know are an error, so nothing is lost unseen."""
+
+    suffix, index_suffix = ".bcf", ".csi"
+
+    def __init__(self, options: dict[str, str], overwrite: bool, names: list[str]):
+        super().__init__(options, overwrite)
+        header = VcfHeader.parse(options["header"])
+        known = {c[0] for c in columns(header, True)} | {f"FMT_{k}" for k, _ in header.format_fields()}
+        unknown = [n for n in names if n not in known]
+        if unknown:
+            raise ValueError(f"the header has no place for the column {unknown[0]!r}")
+
+    def fill(self, writer: Writer, rows: Iterator) -> bytes | None:
+        text = self.options["header"].encode() + b"\0"
+        codec = Codec(VcfHeader.parse(self.options["header"]))
+        builder = IndexBuilder(len(codec.contigs)) if _flag(self.options, "index") else None
+        writer.write(b"BCF\2\2" + struct.pack("<I", len(text)) + text)
+        writer.flush()
+        for row in rows:
+            record, at = codec.encode(row.asDict()), writer.tell()
+            writer.write(record)
+            if builder is not None:
+                builder.add(record[8:20], at, writer.tell())
+        if builder is None:
+            return None
+        raw = builder.to_bytes()
+        blocks = [pack_block(raw[i : i + BLOCK]) for i in range(0, len(raw), BLOCK)]
+        return b"".join(blocks) + EOF
 
 
 class BcfSource(DataSource):
@@ -430,14 +501,14 @@ class BcfSource(DataSource):
         return "bcf"
 
     def schema(self) -> str:
-        header = read_header(_files(self.options["path"], ".bcf")[0])[0]
-        return ", ".join(f"`{n}` {t}" for n, t, _ in columns(header))
+        cols = columns(_first_header(self.options["path"]), _flag(dict(self.options), "filters"), _flag(dict(self.options), "info_arrays"))
+        return ", ".join(f"`{n}` {t}" for n, t, _ in cols)
 
     def reader(self, schema: StructType) -> BcfReader:
         return BcfReader(dict(self.options))
 
     def writer(self, schema: StructType, overwrite: bool) -> BcfWriter:
-        return BcfWriter(dict(self.options), overwrite)
+        return BcfWriter(dict(self.options), overwrite, schema.names)
 
 
 def register(spark: SparkSession) -> None:

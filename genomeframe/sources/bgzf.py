@@ -8,6 +8,7 @@ from bisect import bisect_right
 from typing import BinaryIO
 
 from ..functions.coords import VirtualPosition
+from . import files
 
 #: Fixed values of the format: the empty member that ends a file, the header up to the size, and the data in one member.
 EOF = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
@@ -54,7 +55,7 @@ class Reader:
     """Sequential and random reading; positions are virtual."""
 
     def __init__(self, path: str, start: int = 0):
-        self.file = open(path, "rb")  # noqa: SIM115
+        self.file = files.open_input(path)
         self.block, self.data, self.at, self.next = 0, b"", 0, 0
         self.seek(start)
 
@@ -64,6 +65,10 @@ class Reader:
     def __exit__(self, *_: object) -> None:
         self.file.close()
 
+    def size(self) -> int:
+        """Compressed bytes of the file."""
+        return self.file.seek(0, 2)
+
     def seek(self, position: int | VirtualPosition) -> None:
         v = int(position)
         self.block = v >> 16
@@ -155,7 +160,7 @@ class Writer:
     def __init__(self, path: str, level: int = 6):
         if not 0 <= level <= 9:
             raise ValueError("the level must be from 0 to 9")
-        self.file, self.level, self.rest = open(path, "wb"), level, b""  # noqa: SIM115
+        self.file, self.level, self.rest = files.open_output(path), level, b""
         self.written = 0
 
     def __enter__(self) -> Writer:
@@ -168,6 +173,10 @@ class Writer:
         """Compressed bytes so far."""
         return self.written
 
+    def tell(self) -> int:
+        """The virtual position of the next byte, as a number."""
+        return self.written << 16 | len(self.rest)
+
     def virtual_position(self) -> VirtualPosition:
         return VirtualPosition(self.written, len(self.rest))
 

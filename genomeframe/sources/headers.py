@@ -71,6 +71,10 @@ class VcfHeader:
     def info_fields(self) -> list[tuple[str, str]]:
         return [(e["ID"], e["Type"]) for e in self._entries("INFO")]
 
+    def info_lists(self) -> frozenset[str]:
+        """Keys of INFO fields that may hold several numbers."""
+        return frozenset(e["ID"] for e in self._entries("INFO") if e["Type"] in ("Integer", "Float") and e.get("Number", "1") not in ("0", "1"))
+
     def format_fields(self) -> list[tuple[str, str]]:
         return [(e["ID"], e["Type"]) for e in self._entries("FORMAT")]
 

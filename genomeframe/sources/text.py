@@ -6,12 +6,15 @@ DataFrame, batch or stream; ``read_*`` and ``write_*`` add the files.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
+from . import tags as aux
 from .headers import SamHeader, VcfHeader
 
 #: The columns of the SAM batch schema, in order.
@@ -45,31 +48,35 @@ def sam_columns(line: Column) -> list[Column]:
 
 
 def sam_tags(line: Column) -> Column:
-    """``array<struct<tag, type, value>>`` of the further fields; arrays (type ``B``) keep their text."""
-    rest = F.slice(F.split(F.regexp_replace(line, "\r$", ""), "\t"), 12, 100_000)
-    part = lambda t: F.struct(F.substring(t, 1, 2).alias("tag"), F.substring(t, 4, 1).alias("type"), F.substr(t, F.lit(6)).alias("value"))
-    return F.transform(rest, part)
+    """The further fields, typed (see ``tags``)."""
+    return aux.from_fields(F.slice(F.split(F.regexp_replace(line, "\r$", ""), "\t"), 12, 1 << 30))
 
 
 def sam_line(tags: Column | None = None) -> Column:
-    """One line from the columns of the SAM schema."""
+    """One line from the columns of the SAM schema and, if given, the typed tags."""
     text = lambda n: F.when(F.length(n) > 0, F.col(n).cast("string")).otherwise(F.lit("*"))
     number = lambda n, missing: F.coalesce(F.col(n).cast("string"), F.lit(missing))
     cols = [
         text("name"), number("flags", "0"), text("reference_sequence_name"), number("alignment_start", "0"), number("mapping_quality", "255"), text("cigar"),
         text("mate_reference_sequence_name"), number("mate_alignment_start", "0"), number("template_length", "0"), text("sequence"), text("quality_scores"),
     ]
-    return F.concat_ws("\t", *cols, *([] if tags is None else [tags]))
+    return F.concat_ws("\t", *cols, *([] if tags is None else [aux.to_fields(tags)]))
 
 
 def header_lines(spark: SparkSession, path: str, mark: str) -> list[str]:
-    """The header of a text file (or of the first file of a folder that has one); reading stops behind it."""
-    lines = spark.read.text(path).where(F.substring("value", 1, 1) == mark)
-    first = lines.select(F.min(F.col("_metadata.file_path"))).first()[0]
-    if first is None:
-        return []
-    own = lines.where(F.col("_metadata.file_path") == first).select("value", F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
-    return [r["value"] for r in own.orderBy("b", "i").collect()]
+    """The header of a text file, or of the first file of a folder that is not empty; only that file's start is read."""
+    for name in sorted(spark.read.text(path).inputFiles()):
+        lines, n = spark.read.text(name), 256
+        while True:
+            # the first rows of a file are those of its first split: this reads no further than it must
+            found = [r["value"] for r in lines.take(n)]
+            header = next((i for i, x in enumerate(found) if not x.startswith(mark)), len(found))
+            if header < len(found) or len(found) < n:
+                break
+            n *= 16
+        if found:
+            return found[:header]
+    return []
 
 
 def read_sam_header(spark: SparkSession, path: str) -> SamHeader:
@@ -92,7 +99,32 @@ def _write_lines(lines: DataFrame, header: str, path: str) -> None:
 
 
 def write_sam(df: DataFrame, path: str, header: SamHeader) -> None:
-    _write_lines(df.select(sam_line()), str(header), path)
+    """The columns of the SAM schema and, if there is one, the column ``data`` of typed tags; others are an error."""
+    unknown = [c for c in df.columns if c not in (*SAM_COLUMNS, "data")]
+    if unknown:
+        raise ValueError(f"a SAM line has no place for the column {unknown[0]!r}")
+    _write_lines(df.select(sam_line(F.col("data") if "data" in df.columns else None)), str(header), path)
+
+
+#: Fixed values of the format: characters that VCF text holds as a percent sign and their code.
+_ENCODED = {"\t": "%09", "\n": "%0A", "\r": "%0D"}
+_DECODED = {"%3A": ":", "%3B": ";", "%3D": "=", "%2C": ",", "%0D": "\r", "%0A": "\n", "%09": "\t", "%25": "%"}
+
+
+def _chain(c: Column, pairs: dict[str, str]) -> Column:
+    for old, new in pairs.items():
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+def vcf_encoded(c: Column, more: str = "") -> Column:
+    """Text with the characters that would break a line (and those of ``more``) written as their codes."""
+    return _chain(c, {"%": "%25", **_ENCODED, **{x: f"%{ord(x):02X}" for x in more}})
+
+
+def vcf_decoded(c: Column) -> Column:
+    """Text with its codes resolved; text without a percent sign is not touched."""
+    return F.when(c.contains("%"), _chain(c, _DECODED)).otherwise(c)
 
 
 def _is_key(key: str, bare: bool) -> Callable[[Column], Column]:
@@ -110,12 +142,13 @@ def _sample_value(at: Column) -> Callable[[Column], Column]:
 def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = False, info_arrays: bool = False) -> list[Column]:
     """``chrom, pos, id, ref, alt, qual``; with a header one ``INFO_<KEY>`` per INFO and, with samples, one ``FMT_<KEY>`` per FORMAT.
 
-    Whole-number and float arrays give their first value unless ``info_arrays`` is set; flags that are absent are false.
+    Fields of several numbers give their first value, or an array with ``info_arrays``; flags that are absent are false.
+    ``filters`` adds ``filter``, an array of names. Codes of characters (``%3B``) in texts are resolved.
     FORMAT values are joined by tabs, one per sample, ``.`` where missing.
     """
     f = [_field(line, i) for i in range(9)]
     out = [
-        f[0].alias("chrom"), f[1].try_cast("int").alias("pos"), _known(f[2], ".").alias("id"), f[3].alias("ref"), _known(f[4], ".").alias("alt"),
+        f[0].alias("chrom"), F.when(f[1].try_cast("int") > 0, f[1].try_cast("int")).alias("pos"), vcf_decoded(_known(f[2], ".")).alias("id"), f[3].alias("ref"), vcf_decoded(_known(f[4], ".")).alias("alt"),
         f[5].try_cast("float").alias("qual"),
     ]
     if filters:
@@ -123,7 +156,7 @@ def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = F
     if header is None:
         return out
     parts = F.split(f[7], ";")
-    kinds = {"Integer": "int", "Float": "float"}
+    kinds, several = {"Integer": "int", "Float": "float"}, header.info_lists() if info_arrays else frozenset()
     for key, kind in header.info_fields():
         if kind == "Flag":
             out.append(F.coalesce(F.exists(parts, _is_key(key, True)), F.lit(False)).alias(f"INFO_{key}"))
@@ -131,10 +164,12 @@ def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = F
         hit = F.filter(parts, _is_key(key, False))
         value = F.when(F.size(hit) > 0, F.substr(F.element_at(hit, -1), F.lit(len(key) + 2)))
         value = _known(value, ".")
-        if kind in kinds and info_arrays:
+        if key in several:
             value = F.transform(F.split(value, ","), _caster(kinds[kind]))
         elif kind in kinds:
             value = F.get(F.split(value, ","), F.lit(0)).try_cast(kinds[kind])
+        else:
+            value = vcf_decoded(value)
         out.append(value.alias(f"INFO_{key}"))
     if header.sample_names():
         samples = F.slice(F.split(F.regexp_replace(line, "\r$", ""), "\t"), 10, len(header.sample_names()))
@@ -145,11 +180,65 @@ def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = F
     return out
 
 
-def vcf_line(info: Column | None = None, filters: Column | None = None) -> Column:
-    """One line from the six base columns; ``info`` and ``filters`` are text (``.`` if missing)."""
+def vcf_line(info: Column | None = None, filters: Column | None = None, samples: Sequence[Column] = ()) -> Column:
+    """One line from the six base columns; ``info``, ``filters`` and ``samples`` (the keys, then the samples) are text."""
     missing = lambda c: F.coalesce(F.when(c != "", c), F.lit("."))
-    cols = [missing(F.col("chrom")), F.coalesce(F.col("pos").cast("string"), F.lit("0")), missing(F.col("id")), F.coalesce(F.col("ref"), F.lit("N")), missing(F.col("alt")), missing(F.col("qual").cast("string"))]
-    return F.concat_ws("\t", *cols, F.lit(".") if filters is None else missing(filters), F.lit(".") if info is None else missing(info))
+    cols = [
+        missing(F.col("chrom")), F.coalesce(F.col("pos").cast("string"), F.lit("0")), missing(vcf_encoded(F.col("id"))), F.coalesce(F.col("ref"), F.lit("N")),
+        missing(vcf_encoded(F.col("alt"))), missing(F.col("qual").cast("string")),
+    ]
+    return F.concat_ws("\t", *cols, F.lit(".") if filters is None else missing(filters), F.lit(".") if info is None else missing(info), *samples)
+
+
+def _info_text(df: DataFrame, header: VcfHeader) -> Column:
+    parts = []
+    for key, kind in header.info_fields():
+        name = f"INFO_{key}"
+        if name not in df.columns:
+            continue
+        value = F.col(name)
+        if kind == "Flag":
+            parts.append(F.when(value, F.lit(key)))
+            continue
+        if isinstance(df.schema[name].dataType, T.ArrayType):
+            value = F.when(F.size(value) > 0, F.array_join(F.transform(value, lambda x: x.cast("string")), ",", "."))
+        elif kind in ("Integer", "Float"):
+            value = value.cast("string")
+        else:
+            value = vcf_encoded(value, ";=")
+        parts.append(F.concat(F.lit(f"{key}="), value))
+    return F.concat_ws(";", *parts)
+
+
+def _sample_text(df: DataFrame, header: VcfHeader) -> list[Column]:
+    """FORMAT and one column per sample; keys that no sample of a row has are left out, the genotype comes first."""
+    n = len(header.sample_names())
+    keys = sorted((k for k, _ in header.format_fields() if f"FMT_{k}" in df.columns), key=lambda k: k != "GT")
+    if not n:
+        return []
+    if not keys:
+        return [F.lit(".")] * (n + 1)
+    there = F.array(*(F.struct(F.lit(k).alias("key"), F.split(F.col(f"FMT_{k}"), "\t").alias("own")) for k in keys))
+    there = F.filter(there, lambda x: x["own"].isNotNull() & F.exists(x["own"], lambda v: v != "."))
+    text = lambda f: F.coalesce(F.nullif(F.array_join(F.transform(there, f), ":"), F.lit("")), F.lit("."))
+
+    def sample(i: int) -> Column:
+        return text(lambda x: F.coalesce(F.get(x["own"], F.lit(i)), F.lit(".")))
+
+    return [text(lambda x: x["key"]), *(sample(i) for i in range(n))]
+
+
+def vcf_record_line(df: DataFrame, header: VcfHeader) -> Column:
+    """One line from the columns that ``vcf_columns`` gives with this header; a column that no line can hold is an error."""
+    known = ["chrom", "pos", "id", "ref", "alt", "qual", "filter"]
+    known += [f"INFO_{k}" for k, _ in header.info_fields()] + ([f"FMT_{k}" for k, _ in header.format_fields()] if header.sample_names() else [])
+    unknown = [c for c in df.columns if c not in known]
+    if unknown:
+        raise ValueError(f"the header has no place for the column {unknown[0]!r}")
+    filters = None
+    if "filter" in df.columns:
+        filters = F.array_join("filter", ";") if isinstance(df.schema["filter"].dataType, T.ArrayType) else F.col("filter")
+    return vcf_line(_info_text(df, header), filters, _sample_text(df, header))
 
 
 def read_vcf_header(spark: SparkSession, path: str) -> VcfHeader:
@@ -162,8 +251,10 @@ def read_vcf(spark: SparkSession, path: str, header: VcfHeader | None = None, fi
     return lines.select(*vcf_columns(F.col("value"), header, filters, info_arrays))
 
 
-def write_vcf(df: DataFrame, path: str, header: VcfHeader | None = None, info: Column | None = None) -> None:
-    _write_lines(df.select(vcf_line(info)), str(header or VcfHeader()), path)
+def write_vcf(df: DataFrame, path: str, header: VcfHeader | None = None) -> None:
+    """FILTER, INFO and the samples are built from the columns that the header names (see ``vcf_record_line``)."""
+    header = header or VcfHeader()
+    _write_lines(df.select(vcf_record_line(df, header)), str(header), path)
 
 
 def fastq_columns(title: Column, sequence: Column, quality: Column) -> list[Column]:
@@ -175,27 +266,52 @@ def fastq_columns(title: Column, sequence: Column, quality: Column) -> list[Colu
     return [name.cast("binary").alias("name"), F.when(rest != "", rest).cast("binary").alias("description"), clean(sequence).alias("sequence"), clean(quality).alias("quality_scores")]
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line_no, value`` of text files, lines numbered from 0, large files in splits.
-
-    Lines are counted per split, prefix sums of the counts give each split its offset.
-    """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), "value"
-    )
-    counts = lines.groupBy("file", "split").agg(F.count("*").alias("n"))
-    before = W.Window.partitionBy("file").orderBy("split").rowsBetween(W.Window.unboundedPreceding, -1)
-    offsets = counts.select("file", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    local = F.row_number().over(W.Window.partitionBy("file", "split").orderBy("at")) - 1
-    return lines.withColumn("local", local).join(offsets, ["file", "split"]).select("file", (F.col("local") + F.col("offset")).alias("line_no"), "value")
+def _is_title(lines: Sequence[str], i: int) -> bool:
+    """A line with ``@`` in front and a ``+`` line two lines on is a title: two lines behind a quality line stands a sequence."""
+    return i + 2 < len(lines) and lines[i].startswith("@") and lines[i + 2].startswith("+")
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """Records of four lines; a record may span two splits, since it is found by its line numbers."""
-    lines = numbered_lines(spark, path)
-    pick = lambda k: F.max(F.when(F.col("line_no") % 4 == k, F.col("value")))
-    records = lines.groupBy("file", F.floor(F.col("line_no") / 4).alias("record")).agg(pick(0).alias("title"), pick(1).alias("seq"), pick(3).alias("qual"))
-    return records.where("title != '' AND seq IS NOT NULL").select(*fastq_columns(F.col("title"), F.col("seq"), F.col("qual")))
+    """Records of four lines: ``name, description, sequence, quality_scores``.
+
+    Records are cut in the scan's tasks. Only what lies between a split's border and its first and last whole record, a few
+    lines, is shuffled and put together. Further lines at a file's end that are no whole record are left out.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, held, inside = None, [], False
+        for pdf in batches:
+            rows: list[tuple] = []
+            for file, split, value in zip(pdf["file"], pdf["split"], pdf["value"]):
+                if (file, split) != place:
+                    rows += [(*place, "tail", i, x, None, None, None) for i, x in enumerate(held)] if place else []
+                    place, held, inside = (file, split), [], split == 0
+                held.append(value)
+                if not inside:
+                    # the first title is known two lines later
+                    i = len(held) - 3
+                    if i >= 0 and _is_title(held, i):
+                        rows += [(file, split, "head", k, x, None, None, None) for k, x in enumerate(held[:i])]
+                        rows.append((file, split, "whole", -1, None, None, None, None))
+                        held, inside = held[i:], True
+                if inside and len(held) == 4:
+                    rows.append((file, split, "record", -1, *held))
+                    held = []
+            yield pd.DataFrame(rows, columns=["file", "split", "kind", "no", *"abcd"])
+        rest = [(*place, "tail", i, x, None, None, None) for i, x in enumerate(held)] if place else []
+        yield pd.DataFrame(rest, columns=["file", "split", "kind", "no", *"abcd"])
+
+    found = lines.mapInPandas(cut, "file string, split long, kind string, no int, a string, b string, c string, d string")
+    # border lines of one file in order; a mark of a split with whole records separates its head from its tail
+    border = found.where("kind != 'record'").withColumn("rank", F.expr("CASE kind WHEN 'head' THEN 0 WHEN 'whole' THEN 1 ELSE 2 END"))
+    order = W.Window.partitionBy("file").orderBy("split", "rank", "no")
+    border = border.withColumn("gap", F.count(F.when(F.col("kind") == "whole", 1)).over(order)).where("kind != 'whole'")
+    border = border.withColumn("at", F.row_number().over(W.Window.partitionBy("file", "gap").orderBy("split", "rank", "no")) - 1)
+    pick = lambda k: F.max(F.when(F.col("at") % 4 == k, F.col("a")))
+    joined = border.groupBy("file", "gap", F.floor(F.col("at") / 4).alias("record")).agg(*(pick(k).alias(n) for k, n in enumerate("abcd")))
+    records = found.where("kind = 'record'").select(*"abcd").unionAll(joined.where("b IS NOT NULL AND d IS NOT NULL").select(*"abcd"))
+    return records.where("a != ''").select(*fastq_columns(F.col("a"), F.col("b"), F.col("d")))
 
 
 def fastq_lines() -> Column:
