@@ -89,6 +89,11 @@ _FLAGS = ("segmented", "properly_segmented", "unmapped", "mate_unmapped", "rever
 _HEAVY = """SELECT '{t}' AS table_name, coalesce(CAST({k} AS VARCHAR), '*') AS key_value FROM {t} GROUP BY {k}
 HAVING count(*) >= 0.05 * (SELECT count(*) FROM {t})"""
 
+_PER_KEY = """SELECT '{t}' AS table_name, coalesce(CAST(k AS VARCHAR), '*') AS key, count(*) AS n_rows, (count(*) + 99999) // 100000 AS n_chunks, count(x) AS n_values,
+CAST(arg_min(x, i) FILTER (x IS NOT NULL) AS DOUBLE) AS first_value, CAST(arg_max(x, i) FILTER (x IS NOT NULL) AS DOUBLE) AS last_value,
+count(*) FILTER (x < p) AS inversions, CAST(max(x - p) AS DOUBLE) AS longest_step
+FROM (SELECT {k} AS k, {x} AS x, {i} AS i, last_value({x} IGNORE NULLS) OVER (PARTITION BY {k} ORDER BY {i} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM {t}) GROUP BY k"""
+
 _FIELD = r'(?:"(?:[^"]|"")*"|[^"\t][^\t]*|)'
 _P5 = rf"""WITH l AS (SELECT line_id, fmt, regexp_replace(line, '\r$', '') AS line FROM raw_lines
   WHERE NOT starts_with(line, CASE fmt WHEN 'vcf' THEN '#' ELSE '@' END)),
@@ -188,5 +193,7 @@ m AS ({_merge("SELECT * FROM i", "track_id, chrom")})
 SELECT track_id, chrom, 'period' AS kind, "start" AS seg_start, "end" AS seg_end FROM m
 UNION ALL SELECT track_id, chrom, 'gap', p, "start" FROM (SELECT *, lag("end") OVER (PARTITION BY track_id, chrom ORDER BY "start") AS p FROM m) WHERE p < "start" """,
     "p3_found": _HEAVY.format(t="alignments", k="reference_sequence_id") + " UNION ALL " + _HEAVY.format(t="variants", k="chrom"),
+    "p3_per_key": _PER_KEY.format(t="alignments", k="reference_sequence_id", x="alignment_start", i="alignment_id")
+    + " UNION ALL " + _PER_KEY.format(t="variants", k="chrom", x="pos", i="variant_id"),
     "p5_found": _P5,
 }

@@ -54,18 +54,18 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     a, v = table(spark, d, "alignments"), table(spark, d, "variants")
     found = [
-        ("alignments", chunks.heavy_keys(chunks.per_key(a, "reference_sequence_id", "alignment_start"), a)),
-        ("variants", chunks.heavy_keys(chunks.per_key(v, "chrom", "pos"), v)),
+        ("alignments", chunks.heavy_keys(chunks.per_key(a, "reference_sequence_id", "alignment_start"))),
+        ("variants", chunks.heavy_keys(chunks.per_key(v, "chrom", "pos"))),
     ]
     return chunks.across(found).select("table_name", "key_value")
 
 
 def p3_per_key(spark: SparkSession, d: str) -> DataFrame:
-    """Per reference or chromosome: rows, values, how the starts run in input order."""
-    a = chunks.per_key(table(spark, d, "alignments"), "reference_sequence_id", "alignment_start")
-    v = chunks.per_key(table(spark, d, "variants"), "chrom", "pos")
+    """Per reference or chromosome: rows, values, how the starts run in the order of the rows' ids."""
+    a = chunks.per_key(table(spark, d, "alignments"), "reference_sequence_id", "alignment_start", order=["alignment_id"])
+    v = chunks.per_key(table(spark, d, "variants"), "chrom", "pos", order=["variant_id"])
     name = lambda df, n: df.withColumns({"table_name": F.lit(n), "key": F.coalesce(F.col("key").cast("string"), F.lit("*"))})
-    return name(a, "alignments").unionByName(name(v, "variants")).drop("n_chunks")
+    return name(a, "alignments").unionByName(name(v, "variants"))
 
 
 def _summaries(spark: SparkSession, d: str, dims: tuple[str, ...] = ("reference", "sample", "day"), cells: tuple[str, ...] = ()) -> DataFrame:
