@@ -22,10 +22,13 @@ from .tokens import DEFAULT_VOCABULARY, with_token_count
 BROADCAST_ROWS = 100_000
 
 
+#: What tells a record apart from others; records that are equal in all of it are copies, whose order does not matter.
+IDENTITY = ("doc_id", "source", "n_tokens")
+
+
 def sized(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """``doc_id, source, n_tokens, copy`` of every record, written once; tokenizing is the costly part."""
-    out = with_token_count(spread(df.select(id_col, source_col, text_col)), text_col, {"doc_id": id_col, "source": source_col}, vocabulary)
-    return cut(out.withColumn("copy", F.monotonically_increasing_id()))
+    """``doc_id, source, n_tokens`` of every record, written once; tokenizing is the costly part."""
+    return cut(with_token_count(spread(df.select(id_col, source_col, text_col)), text_col, {"doc_id": id_col, "source": source_col}, vocabulary))
 
 
 def budgets(docs: DataFrame, targets: DataFrame, total: int | str = "all") -> DataFrame:
@@ -51,11 +54,13 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | str = "all", seed: int
     """``mix_name, source, doc_id, epoch, n_tokens``: one row for each use of a record, epochs from 1.
 
     In each mix a source gives the records whose middle on its line lies within its budget; so the budget is met to within
-    half of one record, unless the repeats do not allow it. No record is used more than ``max_repeats`` times, none is cut. Records without a source or without tokens are in no mix. Repeated rows are records of their own.
+    half of one record, unless the repeats do not allow it. No record is used more than ``max_repeats`` times, none is cut.
+    Records without a source or without tokens are in no mix. Repeated rows are records of their own. The order is that of a hash
+    of the record, so the result is the same on any cluster and for any split of the input.
     """
     plan = budgets(docs, targets, total).where("available > 0 AND budget > 0 AND max_repeats > 0")
-    lines = docs.where("source IS NOT NULL AND n_tokens > 0").withColumn("key", random_key(seed, "doc_id", "copy"))
-    lines = with_running(lines, ["source"], "key", {"before": "n_tokens"}, bits_for(docs.count()), ties=["doc_id", "copy"])
+    lines = docs.where("source IS NOT NULL AND n_tokens > 0").withColumn("key", random_key(seed, *IDENTITY))
+    lines = with_running(lines, ["source"], "key", {"before": "n_tokens"}, bits_for(docs.count()), ties=IDENTITY)
     # the plan has one row per mix and source; its size is checked before it is broadcast
     plan = plan.select("mix_name", "source", "max_repeats", "available", "budget")
     used = lines.join(F.broadcast(plan) if targets.count() <= BROADCAST_ROWS else plan, "source")

@@ -76,55 +76,97 @@ def pack_histogram(histogram: dict[int, int], capacity: int) -> list[Pattern]:
 
 
 def slots(patterns: Sequence[Pattern]) -> pd.DataFrame:
-    """One row per pattern and place in it: items of ``length`` with ranks from ``low`` on go to containers from ``first`` on."""
+    """One row per pattern and length in it: the items of ``length`` from rank ``low`` on go to containers from ``first`` on.
+
+    The first ``count`` of them take place ``place`` in one container each, the next ``count`` the place behind it, and so on.
+    """
     taken: dict[int, int] = {}
     rows, first = [], 0
     for p in patterns:
         place = 0
         for length, times in p.lengths:
-            for _ in range(times):
-                low = taken.get(length, 0)
-                rows.append((length, low, p.count, first, place))
-                taken[length] = low + p.count
-                place += 1
+            low = taken.get(length, 0)
+            rows.append((length, low, p.count, times, first, place))
+            taken[length] = low + p.count * times
+            place += times
         first += p.count
-    return pd.DataFrame(rows, columns=["length", "low", "count", "first", "place"], dtype="int64")
-
-
-def _pieces(docs: DataFrame, capacity: int) -> DataFrame:
-    """``doc_id, piece_no, piece_start, n_tokens``: documents longer than the capacity are cut into full pieces and a rest."""
-    n = F.floor((F.col("n_tokens") - 1) / capacity).cast("int")
-    pieces = docs.where("n_tokens > 0").withColumn("piece_no", F.explode(F.sequence(F.lit(0), n)))
-    start = F.col("piece_no").cast("long") * capacity
-    return pieces.select("doc_id", "copy", "piece_no", start.alias("piece_start"), F.least(F.col("n_tokens") - start, F.lit(capacity)).cast("long").alias("n_tokens"))
-
-
-def pack_sized(docs: DataFrame, capacity: int, kind: str, seed: int = 0) -> DataFrame:
-    """Pack ``doc_id, copy, n_tokens`` (stable, see ``cut``) into containers of one capacity."""
-    pieces = _pieces(docs, capacity)
-    # at most `capacity` rows
-    histogram = {r["n_tokens"]: r["n"] for r in pieces.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
-    table = slots(pack_histogram(histogram, capacity)).sort_values(["length", "low"], ignore_index=True)
-    length, low, first, place = (table[c].to_numpy() for c in ("length", "low", "first", "place"))
-    # all slots on one line: rank r of length l stands at base[l] + r, since the slots of a length follow each other
-    sizes = table.groupby("length")["count"].sum()
-    base = dict(zip(sizes.index, np.cumsum(sizes.to_numpy()) - sizes.to_numpy())) if len(sizes) else {}
-    begin = np.array([base[x] for x in length], np.int64) + low
-    ranked = pieces.withColumn("key", random_key(seed, "doc_id", "copy", "piece_no"))
-    ranked = with_running(ranked, ["n_tokens"], "key", {"rank": "1"}, bits_for(sum(histogram.values())), ties=["doc_id", "copy", "piece_no"])
+    return pd.DataFrame(rows, columns=["length", "low", "count", "times", "first", "place"], dtype="int64")
+
+
+class Plan:
+    """Where the items of one kind of container go: item r of a length stands at ``base[length] + r`` on one line of all slots."""
+
+    def __init__(self, histogram: dict[int, int], capacity: int):
+        table = slots(pack_histogram(histogram, capacity)).sort_values(["length", "low"], ignore_index=True)
+        length, low, self.count, times, self.first, self.place = (table[c].to_numpy() for c in table.columns)
+        self.begin = np.append(0, np.cumsum(self.count * times))[:-1].astype(np.int64)
+        self.base = np.zeros(capacity + 1, np.int64)
+        opening = np.flatnonzero(low == 0)
+        self.base[length[opening]] = self.begin[opening]
+
+    def places(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(container, place in it) of items."""
+        at = self.base[length] + rank
+        i = np.searchsorted(self.begin, at, "right") - 1
+        return self.first[i] + (at - self.begin[i]) % self.count[i], (self.place[i] + (at - self.begin[i]) // self.count[i]).astype(np.int32)
+
+
+def _pieces(docs: DataFrame, containers: dict[str, int]) -> DataFrame:
+    """``kind, doc_id, piece_no, piece_start, n_tokens``: documents longer than a capacity cut into full pieces and a rest."""
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(c).cast("long").alias("capacity")) for k, c in containers.items())))
+    long = docs.select("doc_id", "n_tokens", kinds.alias("x")).select("doc_id", "n_tokens", "x.*").where("n_tokens > capacity")
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.col("capacity")))
+    long = long.withColumn("piece_start", start)
+    return long.select(
+        "kind", "doc_id", (F.col("piece_start") / F.col("capacity")).cast("int").alias("piece_no"), "piece_start",
+        F.least(F.col("n_tokens") - F.col("piece_start"), F.col("capacity")).alias("n_tokens"),
+    )
+
+
+def pack_sized(docs: DataFrame, containers: dict[str, int], seed: int = 0) -> DataFrame:
+    """Pack ``doc_id, n_tokens`` (read several times, see ``cut``) into containers of each capacity.
+
+    Documents are ranked once among those of their length, for all capacities; in each length the pieces of longer documents
+    come behind them.
+    """
+    largest = max(containers.values())
+    pieces = _pieces(docs, containers)
+    # at most as many rows as the largest capacity, and as all capacities together
+    whole = {r["n_tokens"]: r["n"] for r in docs.where(f"n_tokens BETWEEN 1 AND {largest}").groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
+    rest = {(r["kind"], r["n_tokens"]): r["n"] for r in pieces.groupBy("kind", "n_tokens").agg(F.count("*").alias("n")).collect()}
+    plans = {}
+    for kind, capacity in containers.items():
+        histogram = {n: c for n, c in whole.items() if n <= capacity}
+        for (k, n), c in rest.items():
+            if k == kind:
+                histogram[n] = histogram.get(n, 0) + c
+        plans[kind] = Plan(histogram, capacity)
+    shared = docs.sparkSession.sparkContext.broadcast((plans, whole))
+    # equal documents may change places: what comes out is the same
+    ranked = docs.where(f"n_tokens BETWEEN 1 AND {largest}").withColumn("key", random_key(seed, "doc_id", "n_tokens"))
+    ranked = with_running(ranked, ["n_tokens"], "key", {"rank": "1"}, bits_for(sum(whole.values())), ties=["doc_id"])
+    cuts = pieces.withColumn("key", random_key(seed, "doc_id", "piece_no"))
+    cuts = with_running(cuts, ["kind", "n_tokens"], "key", {"rank": "1"}, bits_for(sum(rest.values())), ties=["doc_id", "piece_no"])
+    columns = ["kind", "doc_id", "piece_no", "piece_start", "n_tokens"]
 
     def place_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plans, whole = shared.value
         for pdf in batches:
-            at = pdf["n_tokens"].map(base).to_numpy(np.int64) + pdf["rank"].to_numpy(np.int64)
-            i = np.searchsorted(begin, at, "right") - 1
-            out = pdf[["doc_id", "piece_no", "piece_start", "n_tokens"]].assign(container_id=first[i] + at - begin[i], place=place[i].astype("int32"))
-            yield out
-
-    out = ranked.select(F.col("doc_id").cast("string"), "piece_no", "piece_start", "n_tokens", "rank").mapInPandas(
-        place_all, "doc_id string, piece_no int, piece_start long, n_tokens long, container_id long, place int"
-    )
+            for kind, plan in plans.items():
+                is_piece = pdf["kind"].notna()
+                own = pdf[(pdf["kind"] == kind) | (~is_piece & (pdf["n_tokens"] <= containers[kind]))]
+                if not len(own):
+                    continue
+                length = own["n_tokens"].to_numpy(np.int64)
+                behind = own["n_tokens"].map(whole).fillna(0).to_numpy(np.int64) * own["kind"].notna().to_numpy()
+                container, place = plan.places(length, own["rank"].to_numpy(np.int64) + behind)
+                yield own[columns].assign(kind=kind, container_id=container, place=place)
+
+    docs_in = ranked.select(F.lit(None).cast("string").alias("kind"), F.col("doc_id").cast("string"), F.lit(0).alias("piece_no"), F.lit(0).cast("long").alias("piece_start"), "n_tokens", "rank")
+    cuts_in = cuts.select("kind", F.col("doc_id").cast("string"), "piece_no", "piece_start", "n_tokens", "rank")
+    out = docs_in.unionAll(cuts_in).mapInPandas(place_all, "kind string, doc_id string, piece_no int, piece_start long, n_tokens long, container_id long, place int")
     doc_id = F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")
-    return out.select(F.lit(kind).alias("container_kind"), "container_id", "place", doc_id, "piece_no", "piece_start", "n_tokens")
+    return out.select(F.col("kind").alias("container_kind"), "container_id", "place", doc_id, "piece_no", "piece_start", "n_tokens")
 
 
 def pack(df: DataFrame, containers: dict[str, int], id_col: str = "doc_id", text_col: str = "text", vocabulary: str = DEFAULT_VOCABULARY, seed: int = 0) -> DataFrame:
@@ -132,23 +174,19 @@ def pack(df: DataFrame, containers: dict[str, int], id_col: str = "doc_id", text
 
     Every document is in the containers of each kind, whole unless it alone exceeds the capacity; then its pieces (from token
     ``piece_start`` on) are full but for the last. Documents without tokens (null or empty text) need no container: they
-    come out with a null ``container_id`` and ``place``, and 0 tokens. Repeated rows are packed each.
+    come out with a null ``container_id`` and ``place``, and 0 tokens. Repeated rows are packed each. The order among documents
+    of one length is that of a hash of the document, so the result is the same on any cluster and for any split of the input.
     """
-    sized = with_token_count(spread(df.select(id_col, text_col)), text_col, {"doc_id": id_col}, vocabulary)
-    # rows with equal ids must differ, so that their order is definite; the result is read for each capacity
-    docs = cut(sized.withColumn("copy", F.monotonically_increasing_id()))
-    out = None
     for kind, capacity in containers.items():
         if capacity < 1:
             raise ValueError(f"the capacity of {kind} must be positive")
-        packed = pack_sized(docs, capacity, kind, seed)
-        empty = docs.where("n_tokens = 0").select(
-            F.lit(kind).alias("container_kind"), F.lit(None).cast("long").alias("container_id"), F.lit(None).cast("int").alias("place"),
-            "doc_id", F.lit(0).alias("piece_no"), F.lit(0).cast("long").alias("piece_start"), "n_tokens",
-        )
-        packed = packed.unionAll(empty)
-        out = packed if out is None else out.unionAll(packed)
-    return out
+    docs = cut(with_token_count(spread(df.select(id_col, text_col)), text_col, {"doc_id": id_col}, vocabulary))
+    kinds = F.explode(F.array(*map(F.lit, containers)))
+    empty = docs.where("n_tokens = 0").select(
+        kinds.alias("container_kind"), F.lit(None).cast("long").alias("container_id"), F.lit(None).cast("int").alias("place"),
+        "doc_id", F.lit(0).alias("piece_no"), F.lit(0).cast("long").alias("piece_start"), "n_tokens",
+    )
+    return pack_sized(docs, containers, seed).unionAll(empty)
 
 
 def fill(packed: DataFrame, containers: dict[str, int]) -> DataFrame:

@@ -25,26 +25,9 @@ def _encoding(path: str):
     return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-#: Texts are encoded in pieces of about so many characters, cut at spaces, so that very long texts cost linear time.
-PIECE = 20_000
-
-
-def _pieces(text: str) -> Iterator[str]:
-    at = 0
-    while len(text) - at > PIECE:
-        cut = text.rfind(" ", at + 1, at + PIECE)
-        cut = at + PIECE if cut <= at else cut
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
 def count_tokens(text: str | None, path: str = DEFAULT_VOCABULARY) -> int:
-    if not text:
-        return 0
-    encode = _encoding(path).encode_ordinary
-    # lone surrogates cannot be encoded; they count as the replacement character
-    return sum(len(encode(p.encode("utf-8", "replace").decode("utf-8"))) for p in _pieces(text))
+    """Tokens of the whole text. Lone surrogates, which cannot be encoded, count as the replacement character."""
+    return len(_encoding(path).encode_ordinary(text.encode("utf-8", "replace").decode("utf-8"))) if text else 0
 
 
 def with_token_count(df: DataFrame, text_col: str, columns: dict[str, str], path: str = DEFAULT_VOCABULARY, name: str = "n_tokens") -> DataFrame:

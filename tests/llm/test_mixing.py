@@ -3,7 +3,6 @@
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from genomeframe.llm import mixing, prefix
 
@@ -11,8 +10,7 @@ from genomeframe.llm import mixing, prefix
 @pytest.fixture(scope="module")
 def docs(spark):
     rows = [(i, "abc"[min(2, i % 7 // 3)], 1 + i * 7919 % 23) for i in range(700)] + [(800, None, 9), (801, "a", 0), (802, "c", 5), (802, "c", 5)]
-    df = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long").coalesce(2)
-    return df.withColumn("copy", F.monotonically_increasing_id()).checkpoint() if spark.sparkContext.getCheckpointDir() else mixing.cut(df.withColumn("copy", F.monotonically_increasing_id()))
+    return spark.createDataFrame(rows, "doc_id long, source string, n_tokens long").coalesce(2)
 
 
 TARGETS = [
@@ -24,7 +22,7 @@ TARGETS = [
 @pytest.mark.parametrize("total", ["all", "reachable", 1234])
 def test_mix(spark, docs, total):
     targets = spark.createDataFrame(TARGETS, "mix_name string, source string, target_share double, max_repeats int")
-    rows = docs.withColumn("key", prefix.random_key(0, "doc_id", "copy")).collect()
+    rows = docs.withColumn("key", prefix.random_key(0, *mixing.IDENTITY)).collect()
     lines = defaultdict(list)
     for x in rows:
         if x["source"] is not None and x["n_tokens"]:
@@ -63,6 +61,12 @@ def test_mix(spark, docs, total):
     assert not shares["gone", "zzz"]["reached"] or total == "reachable" and shares["gone", "zzz"]["budget"] == 0
 
 
+def test_same_result_however_the_input_is_split(spark, docs):
+    targets = spark.createDataFrame(TARGETS, "mix_name string, source string, target_share double, max_repeats int")
+    results = [Counter(map(tuple, mixing.mix(docs.repartition(n, "n_tokens"), targets).collect())) for n in (1, 3, 7)]
+    assert results[0] == results[1] == results[2]
+
+
 def test_empty(spark, docs):
     targets = spark.createDataFrame(TARGETS, "mix_name string, source string, target_share double, max_repeats int")
     assert mixing.mix(docs.limit(0), targets).collect() == []
@@ -70,10 +74,11 @@ def test_empty(spark, docs):
     assert len(mixing.shares(docs.limit(0), targets, mixing.mix(docs.limit(0), targets)).collect()) == len(TARGETS)
 
 
-def test_running_sums_over_buckets(spark):
+def test_running_sums_over_buckets(spark, monkeypatch):
     rows = [(i % 3 == 0, i, i % 11) for i in range(500)]
     df = spark.createDataFrame(rows, "g boolean, i long, n long").withColumn("key", prefix.random_key(1, "i"))
-    for bits in (1, 4, 9):
+    for bits, window in ((1, 16), (4, 16), (9, 16), (9, 4), (9, 2)):
+        monkeypatch.setattr(prefix, "WINDOW_BITS", window)
         out = prefix.with_running(df, ["g"], "key", {"rank": "1", "before": "n"}, bits).collect()
         for g in (True, False):
             own = sorted((x for x in out if x["g"] == g), key=lambda x: x["key"])

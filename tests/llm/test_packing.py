@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from genomeframe.llm import packing, tokens
@@ -38,10 +39,32 @@ def test_slots_cover_ranks():
     table = packing.slots(packing.pack_histogram(hist, 10))
     for length, n in hist.items():
         own = table[table["length"] == length].sort_values("low")
-        ranks = [x for _, t in own.iterrows() for x in range(t["low"], t["low"] + t["count"])]
+        ranks = [x for _, t in own.iterrows() for x in range(t["low"], t["low"] + t["count"] * t["times"])]
         assert ranks == list(range(n))
 
 
+def test_every_place_is_taken_once():
+    r = random.Random(3)
+    hist = {x: r.randrange(1, 90) for x in range(1, 30)}
+    plan = packing.Plan(hist, 64)
+    used, taken = Counter(), set()
+    for length, n in hist.items():
+        container, place = plan.places(np.full(n, length), np.arange(n))
+        for c, p in zip(container, place):
+            assert (c, p) not in taken
+            taken.add((c, p))
+            used[c] += length
+    assert max(used.values()) <= 64 and sorted(used) == list(range(len(used)))
+
+
+def test_same_result_however_the_input_is_split(spark):
+    r = random.Random(5)
+    rows = [(i % 180, "fair words " * r.choice([1, 2, 5, 30])) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    results = [Counter(map(tuple, packing.pack(df.repartition(n, "text"), {"k": 32}).collect())) for n in (1, 3, 7)]
+    assert results[0] == results[1] == results[2]
+
+
 def test_bad_length():
     with pytest.raises(ValueError):
         packing.pack_histogram({9: 1}, 8)
@@ -84,7 +107,7 @@ def test_pack(spark):
 
 
 def test_counts_equal_the_encoder_on_whole_texts():
-    for t in ("To be fair, 3 stars.", "これは良い。", "word " * 9000, "\ud800 lone", "<|endoftext|>"):
+    for t in ("To be fair, 3 stars.", "これは良い。", "word " * 9000, "\ud800 lone", "<|endoftext|>", "ดีมากครับ" * 7333, "a" * 100_000, " " * 60_000 + "x"):
         whole = tokens._encoding(tokens.DEFAULT_VOCABULARY).encode_ordinary(t.encode("utf-8", "replace").decode())
         assert tokens.count_tokens(t) == len(whole)
     assert tokens.count_tokens(None) == tokens.count_tokens("") == 0
