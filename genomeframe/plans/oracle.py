@@ -89,6 +89,31 @@ _FLAGS = ("segmented", "properly_segmented", "unmapped", "mate_unmapped", "rever
 _HEAVY = """SELECT '{t}' AS table_name, coalesce(CAST({k} AS VARCHAR), '*') AS key_value FROM {t} GROUP BY {k}
 HAVING count(*) >= 0.05 * (SELECT count(*) FROM {t})"""
 
+#: A place of a packed field with the separator behind it, by the written rules: quoted, or a run of value characters.
+_VALUE = r"\p{L}\p{N}_\-:.*'<>\[\]"
+_SEP = rf'(?: *[^{_VALUE} "] *| +|$)'
+_UNIT = r"(?:[\p{L}\p{N}_\-:.*'>\[\]]|<[^>]*>|<)"
+_QUOTED = {q: f"{q}(?:[^{q}]|{q}{q})*{q}" for q in "\"'"}
+_PLACE = "|".join(q + _SEP for q in _QUOTED.values()) + rf'|{_UNIT}*(?: *[^{_VALUE} "] *| +|"|$)'
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _p1() -> str:
+    cases = []
+    for q, quoted in _QUOTED.items():
+        inner = f"regexp_extract(place, {_text(f'^{q}((?:[^{q}]|{q}{q})*){q}')}, 1)"
+        cases.append(f"WHEN regexp_full_match(place, {_text(quoted + _SEP)}) THEN replace({inner}, {_text(q + q)}, {_text(q)})")
+    return f"""WITH f AS (SELECT variant_id, 'id' AS field_name, id AS t FROM variants UNION ALL SELECT variant_id, 'alt', alt FROM variants),
+p AS (SELECT variant_id, field_name, regexp_extract_all(trim(t, ' '), {_text(_PLACE)}) AS places FROM f WHERE t IS NOT NULL),
+x AS (SELECT variant_id, field_name, unnest(places) AS place, generate_subscripts(places, 1) AS value_pos FROM p),
+v AS (SELECT variant_id, field_name, CAST(value_pos AS INTEGER) AS value_pos,
+  CASE {" ".join(cases)} ELSE nullif(nullif(regexp_extract(place, {_text(f"^{_UNIT}*")}), ''), '.') END AS value_text FROM x)
+SELECT * FROM v WHERE value_text IS NOT NULL QUALIFY count(*) OVER (PARTITION BY variant_id, field_name) >= 2"""
+
+
 _PER_KEY = """SELECT '{t}' AS table_name, coalesce(CAST(k AS VARCHAR), '*') AS key, count(*) AS n_rows, (count(*) + 99999) // 100000 AS n_chunks, count(x) AS n_values,
 CAST(arg_min(x, i) FILTER (x IS NOT NULL) AS DOUBLE) AS first_value, CAST(arg_max(x, i) FILTER (x IS NOT NULL) AS DOUBLE) AS last_value,
 count(*) FILTER (x < p) AS inversions, CAST(max(x - p) AS DOUBLE) AS longest_step
@@ -188,6 +213,7 @@ g AS (SELECT chrom, strand, greatest(coalesce(lag("end") OVER (PARTITION BY chro
 SELECT chrom, "start", "end", strand FROM g WHERE "start" < "end" UNION ALL SELECT chrom, l AS "start", seq_length AS "end", strand
 FROM (SELECT chrom, strand, max("end") AS l FROM m GROUP BY chrom, strand) JOIN contigs ON contig_name = chrom WHERE l < seq_length""",
     "disjoin_on_cols": VIEWS + _coverage("SELECT * FROM tn WHERE strand IS NOT NULL", "chrom, strand", False),
+    "p1_found": _p1(),
     "p2_found": f"""WITH i AS (SELECT * FROM track_intervals WHERE track_id IS NOT NULL AND chrom IS NOT NULL AND "start" IS NOT NULL AND "end" > "start"),
 m AS ({_merge("SELECT * FROM i", "track_id, chrom")})
 SELECT track_id, chrom, 'period' AS kind, "start" AS seg_start, "end" AS seg_end FROM m
