@@ -10,8 +10,9 @@ maximises the sum of span scores. A span's score joins
   differently if it opened the span than if it began inside it;
 * length: spans without a letter or digit, lone list numbers and very long spans are penalised.
 
-The two word statistics come from one pass over all documents (``word_statistics``); words rarer than a fixed share of all
-are left out, so the table that every task gets has at most ``2 / MIN_SHARE`` rows whatever the corpus.
+The search is exact: it goes back from each candidate until no earlier start can still win, since all that a span's start may add
+is at most 0. The two word statistics come from one pass over all documents (``word_statistics``). Every task gets the table of the
+``WORDS`` words of either kind that were counted most often; a word that is not in it counts as unknown.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,12 +31,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut, spread
 
-#: A word's statistics are kept if it makes up this share of the words counted, and at least MIN_COUNT of them.
-MIN_SHARE, MIN_COUNT = 2e-5, 3
-#: Longer words are not counted.
-LONGEST_WORD = 24
-#: The search looks back over so many candidates for the start of a span.
-LOOK_BACK = 48
+#: Size of the table of words that all tasks get, for closing and for opening words each. A word counted less than LEAST times is unknown.
+WORDS, LEAST = 200_000, 3
+#: Score of a place at which a word list or a mark behind it speaks against a boundary.
+AGAINST = -15.0
 
 #: End marks that always end, and marks that depend on what is around them.
 STRONG = "!?。！？｡।॥؟۔‼⁇⁈⁉"
@@ -69,7 +69,7 @@ _TRAIL = re.compile(rf"[^\S\n]*{_EMOJI}+")
 _LETTER_POINT = re.compile(r"(?<![^\W\d_])[^\W\d_]\.\s+\Z")
 _INITIALS = re.compile(r"(?:[^\W\d_]\.)+[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
-_BEFORE = re.compile(r"[^\s\"“”„«»‹›()（）\[\]「」]+\Z")
+_TOKEN_STOPS = frozenset("\"“”„«»‹›()（）[]「」")
 _LIST_NO = re.compile(r"(?:^|[\s])\d{1,3}[.)]\Z")
 _QUOTES = {c: k for k, cs in {"g": "«»‹›", "d": "“”„", "s": '"', "c": "「」", "e": "『』"}.items() for c in cs}
 _ROUND = {"(": 1, "（": 1, ")": -1, "）": -1}
@@ -86,9 +86,10 @@ _SPACELESS_LETTERS = _MARKLESS_LETTERS + "\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9
 _MARKLESS = re.compile(f"[{_MARKLESS_LETTERS}]")
 _SPACELESS = re.compile(f"[{_SPACELESS_LETTERS}]")
 _SPACED_WORD = re.compile(rf"[^\W\d_{_SPACELESS_LETTERS}]+(?:['’\-][^\W\d_{_SPACELESS_LETTERS}]+)*")
-_SPACE = re.compile(r"\s")
-#: A point without a space behind it is looked at if a space follows within so many characters.
-LONGEST_TAIL = 200
+_OPENING = frozenset(OPENERS + "\"' ")
+_TAIL_STOP = re.compile(r"[\s/.@]")
+_TAIL_MARKS = STRONG + WEAK + CLOSERS + ",;:\""
+_TAIL_END = re.compile(rf"[{re.escape(_TAIL_MARKS)}]+(?=\s|\Z)")
 _ALNUM = re.compile(r"[^\W_]")
 
 
@@ -101,12 +102,29 @@ def markless(c: str) -> bool:
     return _MARKLESS.match(c) is not None
 
 
+def _class(test) -> re.Pattern:
+    """All letters for which ``test`` holds, as one class of ranges."""
+    runs: list[list[int]] = []
+    for i in [*range(0x30000)]:
+        if test(chr(i)):
+            if runs and runs[-1][1] == i - 1:
+                runs[-1][1] = i
+            else:
+                runs.append([i, i])
+    return re.compile("[" + "".join(re.escape(chr(a)) + ("-" + re.escape(chr(b)) if b > a else "") for a, b in runs) + "]")
+
+
+_UPPER, _LOWER = _class(str.isupper), _class(str.islower)
+
+
 def style(text: str) -> str:
     """``mixed`` if case tells something, else ``lower`` or ``upper``; ``none`` for scripts without case."""
-    upper, lower = sum(map(str.isupper, text)), sum(map(str.islower, text))
-    if upper + lower == 0:
-        return "none"
-    return "lower" if upper == 0 else "upper" if lower <= upper * 0.05 else "mixed"
+    upper = len(_UPPER.findall(text))
+    if not upper:
+        return "lower" if _LOWER.search(text) else "none"
+    # enough small letters tell; the rest need not be counted
+    few = int(upper * 0.05)
+    return "mixed" if sum(1 for _ in islice(_LOWER.finditer(text), few + 1)) > few else "upper"
 
 
 def paragraphs(text: str) -> Iterator[tuple[int, int]]:
@@ -145,8 +163,11 @@ class Words:
 
 
 def _token_before(text: str, start: int, at: int) -> str:
-    m = _BEFORE.search(text, max(start, at - 40), at)
-    return m.group().lstrip("¿¡'‘") if m else ""
+    """What stands before ``at`` without a space, quotation mark or bracket in it."""
+    low = at
+    while low > start and text[low - 1] not in _TOKEN_STOPS and not text[low - 1].isspace():
+        low -= 1
+    return text[low:at].lstrip("¿¡'‘")
 
 
 def _next_letter(text: str, at: int, stop: int) -> int:
@@ -272,13 +293,13 @@ class Paragraph:
             if ellipsis:
                 score = 2.0 if learned is None or not is_cased(before) else learned
             elif plain in TITLES and (c.isupper() or not cased_style or not is_cased(c)):
-                return None
+                score = AGAINST
             elif plain in NEVER or (plain in BEFORE_NUMBER and c.isdigit()):
-                return None
+                score = AGAINST
             elif plain == "no" and opening > -1.0:
                 score = 3.0  # the answer, not the abbreviation
             elif plain in INSIDE and word and word.group().casefold() in INSIDE and text.startswith(".", word.end()):
-                return None  # an abbreviation of several words
+                score = AGAINST  # an abbreviation of several words
             elif len(plain) == 1 and plain.isalpha() and not spaceless(plain):
                 numbered = text[max(self.start, at - 2) : at - 1].isspace() and text[max(self.start, at - 3) : at - 2].isdigit()
                 if not (numbered and c.isupper()):
@@ -289,18 +310,18 @@ class Paragraph:
                     elif before.isupper() or not is_cased(before) or learned is None:
                         score = -4.0
             elif plain.isdigit() and _LIST_NO.search(text, max(self.start, at - 5), mark_end) and self.opens_list(at - len(plain), out):
-                return None
+                score = AGAINST
             elif plain.isdigit() and len(plain) <= 2 and word and word.group().casefold() in MONTHS:
-                return None
+                score = AGAINST
             elif _INITIALS.fullmatch(plain) and (learned is None or learned > 2.0) and (before.isupper() if cased_style else plain not in INSIDE):
-                return None  # initials: what follows is always a name, or unknown
+                score = AGAINST  # initials: what follows is always a name, or unknown
             elif plain in INSIDE and learned is None:
                 score = -2.0
         # what follows
         quoted_next = text[nxt] in _QUOTES and not adjacent
         if text[nxt] in ",;:،、，；：" or (kind == "quote" and text[nxt] in "-–—"):
-            return None
-        if not c or not (c.isalnum()):
+            score = AGAINST
+        if score == AGAINST or not c or not (c.isalnum()):
             pass
         elif c.isdigit():
             score += 0.0
@@ -314,6 +335,8 @@ class Paragraph:
                 score -= 2.0 if quoted_next else 9.0
         else:
             score += 1.0 + (max(opening, -1.0) if quoted_next else opening) * (0.3 if strong and not kind else 1.0)
+        if score == AGAINST:
+            return Candidate(end, nxt, score)
         if text[nxt] in "¿¡" and not adjacent:
             score = max(score, 4.0)
         if text[nxt] in "(（" and self.whole_bracket(nxt):
@@ -345,13 +368,15 @@ class Paragraph:
         text, stop = self.text, self.stop
         if follow != nxt:  # an opening mark follows
             return Candidate(end, nxt, 2.0 if c.isupper() else -2.0)
-        space = _SPACE.search(text, end, min(stop, end + LONGEST_TAIL))
-        rest = space.start() if space else min(stop, end + LONGEST_TAIL)
-        if rest == end + LONGEST_TAIL:
-            return None  # no word is that long
-        tail = text[end:rest].rstrip(STRONG + WEAK + CLOSERS + ",;:\"")
-        if "/" in tail or "." in tail or "@" in tail or not c.isalpha() or len(token) < 2 or "." in token or "/" in token:
+        # the rest of the word: no point, slash or at sign in it but for end marks at its end
+        found = _TAIL_STOP.search(text, end, stop)
+        rest = found.start() if found else stop
+        if found and not found.group().isspace():
+            if found.group() != "." or not _TAIL_END.match(text, rest, stop):
+                return None
+        if not c.isalpha() or len(token) < 2 or "." in token or "/" in token:
             return None
+        tail = text[end:rest].rstrip(_TAIL_MARKS)
         if not is_cased(c):
             return Candidate(end, nxt, 2.0)
         if self.kind == "mixed":
@@ -361,53 +386,83 @@ class Paragraph:
             return Candidate(end, nxt, 1.0 + opening)
         return None
 
-    def balance(self, i: int, j: int) -> float:
-        bad = 0
-        for marks in self.marks.values():
-            bad += (bisect_left(marks, j) - bisect_left(marks, i)) % 2
-        a, b = bisect_left(self.round, i), bisect_left(self.round, j)
-        if a != b:
-            base = self.depth[a]
-            bad += self.depth[b] != base or min(self.depth[a : b + 1]) < base
-        return -6.0 * bad
-
-    def length(self, i: int, j: int) -> float:
-        if not _ALNUM.search(self.text, i, j):
-            return -12.0
-        if j - i <= 4 and self.text[i:j].rstrip(".)").isdigit():
-            return -6.0
-        if j - i < 8 and markless(self.text[i]):
-            return -2.0
-        return -max(0.0, (j - i - 400) / 100)
+    def _places(self, at: list[int]) -> tuple[list[int], list[int]]:
+        """Of each position: the kinds of quotation that are open there, as bits, and its place among the brackets."""
+        masks = [0] * len(at)
+        for bit, marks in enumerate(self.marks.values()):
+            for k, p in enumerate(at):
+                masks[k] |= (bisect_left(marks, p) & 1) << bit
+        return masks, [bisect_left(self.round, p) for p in at] if self.round else [0] * len(at)
+
+    def _falls(self) -> list[int]:
+        """For each place among the brackets the next one where fewer are open."""
+        out, stack = [len(self.depth)] * len(self.depth), []
+        for k, d in enumerate(self.depth):
+            while stack and self.depth[stack[-1]] > d:
+                out[stack.pop()] = k
+            stack.append(k)
+        return out
+
+    def _opened_from(self, opener: int) -> int:
+        """The first position from which only opening marks stand before ``opener``."""
+        while opener > self.start and self.text[opener - 1] in _OPENING:
+            opener -= 1
+        return opener
 
     def cut(self) -> list[tuple[int, int]]:
         """The spans of the best segmentation."""
-        cands = self.candidates
+        cands, text = self.candidates, self.text
         if not cands:
             return [(self.start, self.stop)]
-        starts = [self.start, *(c.start_next for c in cands)]
-        best, back = [0.0], [0]
-        for k in range(1, len(cands) + 2):
-            last = k == len(cands) + 1
-            c = None if last else cands[k - 1]
-            end = self.stop if last else c.end
+        starts, ends = [self.start, *(c.start_next for c in cands)], [*(c.end for c in cands), self.stop]
+        marked = bool(self.marks or self.round)
+        if marked:
+            (open_s, round_s), (open_e, round_e), depth, falls = self._places(starts), self._places(ends), self.depth, self._falls()
+        # where the first letter or digit from each start on stands
+        solid, at = [], -1
+        for s in starts:
+            if at < s:
+                m = _ALNUM.search(text, s, self.stop)
+                at = m.start() if m else self.stop
+            solid.append(at)
+        best, most, back = [0.0], [0.0], [0]
+        for k, end in enumerate(ends, 1):
+            c = cands[k - 1] if k <= len(cands) else None
+            opened_from = self._opened_from(c.opener) if c is not None and c.opener >= 0 else -1
             top, arg = -math.inf, k - 1
-            for i in range(max(0, k - LOOK_BACK), k):
+            for i in range(k - 1, -1, -1):
                 s = starts[i]
-                score = best[i] + self.balance(s, end) + self.length(s, end)
-                if c is not None:
-                    score += c.score
-                    if c.opener >= 0:
-                        score += c.opened if not self.text[s : c.opener].strip(OPENERS + "\"' ") else c.inside
+                n = end - s
+                over = (n - 400) / 100 if n > 400 else 0.0
+                if most[i] - over < top - 1e-9:
+                    break  # no earlier start can reach the top: all else that a span adds here is at most 0
+                score = best[i] - over
+                if solid[i] >= end:
+                    score -= 12.0
+                elif n < 8:
+                    if n <= 4 and text[s:end].rstrip(".)").isdigit():
+                        score -= 6.0
+                    elif markless(text[s]):
+                        score -= 2.0
+                if marked:
+                    bad = (open_s[i] ^ open_e[k - 1]).bit_count()
+                    a, b = round_s[i], round_e[k - 1]
+                    if a != b and (depth[a] != depth[b] or falls[a] <= b):
+                        bad += 1
+                    score -= 6.0 * bad
+                if opened_from >= 0:
+                    score += c.opened if s >= opened_from else c.inside
                 if score > top + 1e-9:
                     top, arg = score, i
-            best.append(top)
+                elif score >= top - 1e-9:
+                    arg = i
+            best.append(top + c.score if c is not None else top)
+            most.append(max(most[-1], best[-1]))
             back.append(arg)
-        spans, k = [], len(cands) + 1
+        spans, k = [], len(ends)
         while k > 0:
-            i = back[k]
-            spans.append((starts[i], self.stop if k == len(cands) + 1 else cands[k - 1].end))
-            k = i
+            spans.append((starts[back[k]], ends[k - 1]))
+            k = back[k]
         return spans[::-1]
 
 
@@ -445,12 +500,11 @@ def _count(text: str, close: Counter, opening: Counter, total: Counter) -> None:
                 if c.isupper():
                     close[key, 0] += 1
                     sure.add(m.start(2))
-        found = [w for w in map(str.casefold, _SPACED_WORD.findall(part)) if len(w) <= LONGEST_WORD]
-        total.update(found)
         for at in sure:
             m = _SPACED_WORD.search(part, at) if at == 0 else _SPACED_WORD.match(part, at)
-            if m and m.end() - m.start() <= LONGEST_WORD:
+            if m:
                 opening[m.group().casefold()] += 1
+    total.update(_SPACED_WORD.findall(text.casefold()))
 
 
 def word_statistics(df: DataFrame, text_col: str = "text") -> Words:
@@ -467,13 +521,14 @@ def word_statistics(df: DataFrame, text_col: str = "text") -> Words:
 
     texts = spread(df.select(df[text_col].cast("string").alias("text")).where("text IS NOT NULL"))
     counts = texts.mapInPandas(count, "kind string, word string, hits long, n long").groupBy("kind", "word").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
-    counts = cut(counts)  # read twice below; without this the texts would be counted twice
-    # one total per kind, then only words above the share: at most 1 / MIN_SHARE rows of either kind
-    totals = {r["kind"]: r["n"] for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    least = {k: max(MIN_COUNT, n * MIN_SHARE) for k, n in totals.items()}
-    kept = counts.where(" OR ".join(f"(kind = '{k}' AND n >= {v})" for k, v in least.items()) or "false").collect()
-    pick = lambda k: {r["word"]: (r["hits"], r["n"]) for r in kept if r["kind"] == k}
-    return Words(pick("close"), pick("open"))
+    # counted once, read for either kind
+    counts = cut(counts.where(f"n >= {LEAST}"))
+
+    def most_often(kind: str) -> dict[str, tuple[int, int]]:
+        rows = counts.where(F.col("kind") == kind).orderBy(F.desc("n"), "word").limit(WORDS).collect()
+        return {r["word"]: (r["hits"], r["n"]) for r in rows}
+
+    return Words(most_often("close"), most_often("open"))
 
 
 def sentences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: Words | None = None) -> DataFrame:
