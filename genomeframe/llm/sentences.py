@@ -10,8 +10,8 @@ maximises the sum of span scores. A span's score joins
   differently if it opened the span than if it began inside it;
 * length: spans without a letter or digit, lone list numbers and very long spans are penalised.
 
-The search is exact: it goes back from each candidate until no earlier start can still win, since all that a span's start may add
-is at most 0. The two word statistics come from one pass over all documents (``word_statistics``). Every task gets the table of the
+The search goes back from each candidate until no earlier start can still win, since all that a span's start may add is at most
+0, or the span is longer than ``SPAN``, the longest that the model knows. The two word statistics come from one pass over all documents (``word_statistics``). Every task gets the table of the
 ``WORDS`` words of either kind that were counted most often; a word that is not in it counts as unknown.
 """
 
@@ -23,8 +23,8 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +33,17 @@ from ..session import cut, spread
 
 #: Size of the table of words that all tasks get, for closing and for opening words each. A word counted less than LEAST times is unknown.
 WORDS, LEAST = 200_000, 3
+#: No word that a table or list knows is as long as this.
+LONGEST_TOKEN = 64
+#: The longest span, in code points, that the model joins over a candidate; without candidates in it a span has any length.
+SPAN = 2_000
 #: Score of a place at which a word list or a mark behind it speaks against a boundary.
 AGAINST = -15.0
 
 #: End marks that always end, and marks that depend on what is around them.
 STRONG = "!?。！？｡।॥؟۔‼⁇⁈⁉"
 WEAK = ".．…‥"
+_STRONG, _MARKS = frozenset(STRONG), frozenset(STRONG + WEAK)
 OPENERS = "([{（［｛「『【《〈“„«‹¿¡‘"
 CLOSERS = ")]}）］｝」』】》〉”»›’"
 #: Abbreviations that stand before a name, whatever its case.
@@ -102,29 +107,17 @@ def markless(c: str) -> bool:
     return _MARKLESS.match(c) is not None
 
 
-def _class(test) -> re.Pattern:
-    """All letters for which ``test`` holds, as one class of ranges."""
-    runs: list[list[int]] = []
-    for i in [*range(0x30000)]:
-        if test(chr(i)):
-            if runs and runs[-1][1] == i - 1:
-                runs[-1][1] = i
-            else:
-                runs.append([i, i])
-    return re.compile("[" + "".join(re.escape(chr(a)) + ("-" + re.escape(chr(b)) if b > a else "") for a, b in runs) + "]")
-
-
-_UPPER, _LOWER = _class(str.isupper), _class(str.islower)
+#: 1 for capital and 2 for small letters, by code point; letters behind the table have no case.
+_CASE = np.array([1 if c.isupper() else 2 if c.islower() else 0 for c in map(chr, range(0x1E950))] + [0], np.uint8)
 
 
 def style(text: str) -> str:
     """``mixed`` if case tells something, else ``lower`` or ``upper``; ``none`` for scripts without case."""
-    upper = len(_UPPER.findall(text))
-    if not upper:
-        return "lower" if _LOWER.search(text) else "none"
-    # enough small letters tell; the rest need not be counted
-    few = int(upper * 0.05)
-    return "mixed" if sum(1 for _ in islice(_LOWER.finditer(text), few + 1)) > few else "upper"
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    _, upper, lower = np.bincount(_CASE[np.minimum(points, len(_CASE) - 1)], minlength=3)
+    if upper + lower == 0:
+        return "none"
+    return "lower" if upper == 0 else "upper" if lower <= upper * 0.05 else "mixed"
 
 
 def paragraphs(text: str) -> Iterator[tuple[int, int]]:
@@ -163,7 +156,11 @@ class Words:
 
 
 def _token_before(text: str, start: int, at: int) -> str:
-    """What stands before ``at`` without a space, quotation mark or bracket in it."""
+    """What stands before ``at`` without a space, quotation mark or bracket in it; of what is longer than any word the end."""
+    start = max(start, at - LONGEST_TOKEN)
+    near = text[max(start, at - 24) : at].rsplit(None, 1)
+    if near and near[-1].isalnum() and len(near[-1]) < 24 and not text[at - 1].isspace():
+        return near[-1]
     low = at
     while low > start and text[low - 1] not in _TOKEN_STOPS and not text[low - 1].isspace():
         low -= 1
@@ -234,15 +231,19 @@ class Paragraph:
             if out and m.start() < out[-1].end:
                 continue
             marks, end = m.group(), m.end()
-            emoji = not any(c in STRONG or c in WEAK for c in marks)
-            end, opener, kind = self.closing(end)
-            if end < stop and text[end] in STRONG + WEAK:
-                continue  # the cluster goes on behind the closing mark
-            while t := _TRAIL.match(text, end, stop):
-                end = t.end()
+            emoji = marks[0] not in _MARKS
             if end >= stop:
                 break
-            nxt = end
+            opener, kind, nxt = -1, "", end
+            if text[end] != " " or end + 1 >= stop or not text[end + 1].isalnum():  # else a space and a word follow
+                end, opener, kind = self.closing(end)
+                if end < stop and text[end] in _MARKS:
+                    continue  # the cluster goes on behind the closing mark
+                while t := _TRAIL.match(text, end, stop):
+                    end = t.end()
+                if end >= stop:
+                    break
+                nxt = end
             while text[nxt].isspace():
                 nxt += 1
             c = self.judge(m.start(), marks, m.end(), end, nxt, opener, kind, emoji, out)
@@ -267,9 +268,9 @@ class Paragraph:
         adjacent = nxt == end
         follow = _next_letter(text, nxt, self.stop)
         c = text[follow] if follow < self.stop else ""
-        strong = any(x in STRONG for x in marks)
-        word = _WORD.match(text, follow, self.stop)
-        opening = words.opening.get(word.group().casefold(), -1.0) if word and not spaceless(c) else 0.0
+        strong = marks[0] in _STRONG or any(x in _STRONG for x in marks)
+        word = _WORD.match(text, follow, self.stop) if c.isalpha() and (c < "\u0e00" or not spaceless(c)) else None
+        opening = words.opening.get(word.group().casefold(), -1.0) if word else 0.0
         cased_style = self.kind == "mixed"
         token = "" if strong or emoji else _token_before(text, self.start, at)
         dots = marks if not strong else ""
@@ -434,7 +435,7 @@ class Paragraph:
                 s = starts[i]
                 n = end - s
                 over = (n - 400) / 100 if n > 400 else 0.0
-                if most[i] - over < top - 1e-9:
+                if most[i] - over < top - 1e-9 or n > SPAN and i < k - 1:
                     break  # no earlier start can reach the top: all else that a span adds here is at most 0
                 score = best[i] - over
                 if solid[i] >= end:
