@@ -8,8 +8,11 @@ A recursive-descent grammar reads VCF and SAM text::
 
 Errors do not stop it. A record whose quoted field is not closed, or goes on after its closing mark, is given up at that
 place; the parser then resumes at the next *anchor*: the start of a line that is validated as the start of a record (a
-header mark, or a name, a tab and a whole number). Lines before it belong to the broken field. A row of the input is a text
-by itself, so a broken row never swallows another row.
+header mark, or a name, a tab and a whole number). Lines before it belong to the broken field.
+
+``parse_records`` takes each row of a table as a text by itself, so a broken row never swallows another row. ``parse_files`` reads
+files: there a quoted field may run over lines, but never over an anchor; so a file falls into stretches that begin at anchors
+and can be read one by one, whatever its splits.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from ..session import spread
 
@@ -60,12 +64,18 @@ class Unit:
 
 
 class Grammar:
-    """One text in one format."""
+    """One text in one format; with ``across`` a quoted field may run over lines, up to the next anchor."""
 
-    def __init__(self, text: str, fmt: str):
-        self.text, self.fmt, self.at = text, fmt, 0
+    def __init__(self, text: str, fmt: str, across: bool = False):
+        self.text, self.fmt, self.at, self.across = text, fmt, 0, across
         self.end = len(text)
 
+    def line_end(self, at: int) -> tuple[int, int]:
+        """(the newline behind ``at`` or the end of the text, the end of the line without a carriage return)."""
+        stop = self.text.find("\n", at)
+        stop = len(self.text) if stop < 0 else stop
+        return stop, stop - 1 if stop > at and self.text[stop - 1] == "\r" else stop
+
     def units(self) -> Iterator[Unit]:
         while True:
             yield self.unit()
@@ -75,25 +85,22 @@ class Grammar:
 
     def unit(self) -> Unit:
         unit = Unit(self.at)
-        stop = self.text.find("\n", self.at)
-        line_end = len(self.text) if stop < 0 else stop
-        self.end = line_end - 1 if line_end > self.at and self.text[line_end - 1] == "\r" else line_end
+        line_end, self.end = self.line_end(self.at)
         if self.text.startswith(HEADER[self.fmt], self.at):
             unit.kind = "header"
         else:
             try:
                 self.record(unit)
+                line_end = self.line_end(self.end)[0]
             except Broken as e:
                 offset, number, message = e.args
                 unit.errors = [("quoting", number, offset, message)]
-                self.at = line_end
-                line_end = self.anchor()
+                line_end = self.anchor(self.line_end(offset)[0])
         self.at = line_end
         return unit
 
-    def anchor(self) -> int:
-        """The end of the line before the next validated start of a record, or of the text."""
-        at = self.at
+    def anchor(self, at: int) -> int:
+        """From a line's end on, the end of the line before the next validated start of a record, or of the text."""
         while at < len(self.text):
             if self.text.startswith(HEADER[self.fmt], at + 1) or _ANCHOR.match(self.text, at + 1):
                 return at
@@ -119,14 +126,16 @@ class Grammar:
 
     def quoted(self, number: int) -> str:
         start = at = self.at
+        limit = self.anchor(self.line_end(start)[0]) if self.across else self.end
         while True:
-            at = self.text.find('"', at + 1, self.end)
+            at = self.text.find('"', at + 1, limit)
             if at < 0:
                 raise Broken(start, number, "the quoted field is not closed")
-            if at + 1 < self.end and self.text[at + 1] == '"':
+            if at + 1 < limit and self.text[at + 1] == '"':
                 at += 1
                 continue
             break
+        self.end = self.line_end(at)[1]
         if at + 1 < self.end and self.text[at + 1] != "\t":
             raise Broken(at + 1, number, "the quoted field goes on after its closing mark")
         self.at = at + 1
@@ -223,6 +232,87 @@ def parse_records(df: DataFrame, id_col: str = "line_id", fmt_col: str = "fmt",
     return out.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
+def is_anchor(line: str, fmt: str) -> bool:
+    """The line is a header, or begins a record: a name, a tab and a whole number."""
+    return line.startswith(HEADER[fmt]) or _ANCHOR.match(line) is not None
+
+
+def _units(text: str, fmt: str) -> Iterator[tuple]:
+    """(line in the text from 0, number of lines, kind, vcf, sam, errors) of each unit of a stretch."""
+    names = ["reason", "field_no", "offset", "message"]
+    grammar, line, since = Grammar(text, fmt, True), 0, 0
+    for unit in grammar.units():
+        line += text.count("\n", since, unit.start)
+        since = unit.start
+        vcf = typed_vcf(unit) if unit.kind == "record" and not unit.errors and fmt == "vcf" else None
+        sam = typed_sam(unit) if unit.kind == "record" and not unit.errors and fmt == "sam" else None
+        errors = [dict(zip(names, (r, f, o - unit.start, m))) for r, f, o, m in unit.errors]
+        yield line, text.count("\n", unit.start, grammar.at) + 1, "bad" if errors else unit.kind, vcf, sam, errors
+
+
+def parse_files(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """Headers and records of text files: ``file, line_no, n_lines, kind, vcf, sam, errors``.
+
+    ``line_no`` is the unit's first line in its file, from 1, ``n_lines`` how many it takes up: more than one if a quoted field runs over
+    lines, or if lines up to the next anchor belong to a broken one. Files are read in splits; stretches between anchors are parsed
+    where they are read, only the few lines around a split's border are shuffled and put together. A stretch without any
+    anchor is held by one task. The result does not depend on the splits.
+    """
+    if fmt not in HEADER:
+        raise ValueError(f"unknown format {fmt!r}")
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
+    names = ["file", "split", "role", "line", "text", "n_lines", "kind", "vcf", "sam", "errors"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, held, begun, n, anchored = None, [], 0, 0, False
+
+        def border(role: str, text: str | None) -> tuple:
+            return (*place, role, begun, text, n, None, None, None, None)
+
+        def close() -> list[tuple]:
+            """What is left of a split: its last stretch, and how many lines it had."""
+            return [border("tail" if anchored else "head", "\n".join(held)), border("size", None)] if place else []
+
+        for pdf in batches:
+            rows: list[tuple] = []
+            for file, split, value in zip(pdf["file"], pdf["split"], pdf["value"]):
+                if (file, split) != place:
+                    rows += close()
+                    place, held, begun, n, anchored = (file, split), [], 0, 0, split == 0
+                if held and is_anchor(value, fmt):
+                    text = "\n".join(held)
+                    if anchored:
+                        rows += [(file, split, "unit", begun + k, None, m, *rest) for k, m, *rest in _units(text, fmt)]
+                    else:
+                        rows.append(border("head", text))
+                    held, begun, anchored = [], n, True
+                anchored = anchored or is_anchor(value, fmt)
+                held.append(value)
+                n += 1
+            yield pd.DataFrame(rows, columns=names)
+        yield pd.DataFrame(close(), columns=names)
+
+    schema = f"file string, split long, role string, line int, text string, n_lines int, kind string, vcf {VCF_TYPE}, sam {SAM_TYPE}, errors {ERROR_TYPE}"
+    found = lines.mapInPandas(read, schema)
+    small = found.where("role != 'unit'").select("file", "split", "role", "line", "text", "n_lines")
+    before = W.Window.partitionBy("file").orderBy("split").rowsBetween(W.Window.unboundedPreceding, -1)
+    sizes = small.where("role = 'size'").select("file", "split", F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("offset"))
+    # a split's head continues the tail of the split before it; a split without an anchor is all head
+    order = W.Window.partitionBy("file").orderBy("split", "line")
+    edges = small.where("role != 'size'").withColumn("gap", F.count(F.when(F.col("role") == "tail", 1)).over(order)).join(sizes, ["file", "split"])
+    edges = edges.groupBy("file", "gap").agg(F.array_sort(F.collect_list(F.struct("split", "line", "text", (F.col("offset") + F.col("line")).alias("at")))).alias("parts"))
+    edges = edges.select("file", F.col("parts")[0]["at"].alias("at"), F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("text"))
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(f, at + k, *rest) for f, at, text in zip(pdf["file"], pdf["at"], pdf["text"]) for k, *rest in _units(text, fmt)]
+            yield pd.DataFrame(rows, columns=["file", "line_no", "n_lines", "kind", "vcf", "sam", "errors"])
+
+    joined = edges.mapInPandas(join, f"file string, line_no long, n_lines int, kind string, vcf {VCF_TYPE}, sam {SAM_TYPE}, errors {ERROR_TYPE}")
+    whole = found.where("role = 'unit'").join(sizes, ["file", "split"]).select("file", (F.col("offset") + F.col("line")).alias("line_no"), "n_lines", "kind", "vcf", "sam", "errors")
+    return whole.unionAll(joined).withColumn("line_no", F.col("line_no") + 1)
+
+
 def bad_lines(parsed: DataFrame, id_col: str = "line_id") -> DataFrame:
     """``id_col, record_no, reason, field_no, offset, message``: one row per error."""
     return parsed.select(id_col, "record_no", F.explode("errors").alias("e")).select(id_col, "record_no", "e.*")

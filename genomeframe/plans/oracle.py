@@ -136,6 +136,73 @@ UNION ALL SELECT line_id, 'qual' FROM vq WHERE whole AND qual <> '.' AND NOT reg
 UNION ALL SELECT line_id, 'template_length' FROM sq WHERE whole
   AND NOT (regexp_full_match(f[9], '-?[0-9]+') AND coalesce(try_cast(f[9] AS HUGEINT) BETWEEN -2147483648 AND 2147483647, false))"""
 
+#: Errors with their place: of a broken quote the field and where it begins, or what follows its closing mark.
+_HEAD = rf"^(?:{_FIELD}\t)*"
+_P5_LINES = rf"""WITH l AS (SELECT line_id, fmt, regexp_replace(coalesce(line, ''), '\r$', '') AS line FROM raw_lines
+  WHERE NOT starts_with(coalesce(line, ''), CASE fmt WHEN 'vcf' THEN '#' ELSE '@' END)),
+v AS (SELECT line_id, line, NOT regexp_full_match(line, '{_FIELD}(?:\t{_FIELD})*') AS broken, regexp_extract(line, '{_HEAD}') AS head FROM l WHERE fmt = 'vcf'),
+f AS (SELECT line_id, line, regexp_extract_all(line || chr(9), '({_FIELD})\t', 1) AS f FROM v WHERE NOT broken),
+vq AS (SELECT line_id, line, f, list_transform(f, lambda x: CASE WHEN starts_with(x, '"') THEN replace(x[2:-2], '""', '"') ELSE x END) AS q FROM f),
+s AS (SELECT line_id, line, string_split(line, chr(9)) AS f FROM l WHERE fmt = 'sam'),
+sb AS (SELECT *, list_position(list_transform(f[12:], lambda x: NOT regexp_full_match(x, '..:[AifZHB]:.*', 's')), true) AS odd FROM s)"""
+
+
+def _offset(fields: str, n: str) -> str:
+    """Code points before field n (from 1)."""
+    return f"CAST(coalesce(list_sum(list_transform({fields}[1:{n} - 1], lambda x: length(x) + 1)), 0) AS INTEGER)"
+
+
+_INT32 = "regexp_full_match({x}, '{p}') AND coalesce(try_cast({x} AS HUGEINT) BETWEEN {a} AND 2147483647, false)"
+_POS = _INT32.format(x="q[2]", p="[0-9]+", a=1)
+_TLEN = _INT32.format(x="f[9]", p="-?[0-9]+", a=-2147483648)
+_QUAL = r"q[6] = '.' OR regexp_full_match(q[6], '[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?')"
+
+
+def _p5_errors() -> str:
+    row = "SELECT line_id, CAST(1 AS INTEGER) AS record_no, '{r}' AS reason, CAST({n} AS INTEGER) AS field_no, CAST({o} AS INTEGER) AS \"offset\", {m} AS message FROM {t} WHERE {w}"
+    found = """regexp_extract(substr(line, length(head) + 1), '^"(?:[^"]|"")*"')"""
+    # the first half of a doubled mark closes nothing
+    closed = f"""CASE WHEN substr(line, length(head) + length({found}) + 1, 1) = '"' THEN '' ELSE {found} END"""
+    return _P5_LINES + " " + " UNION ALL ".join([
+        row.format(
+            r="quoting", n="1 + length(head) - length(replace(regexp_replace(head, '\"(?:[^\"]|\"\")*\"', '', 'g'), chr(9), ''))", o=f"length(head) + length(({closed}))",
+            m=f"CASE WHEN ({closed}) = '' THEN 'the quoted field is not closed' ELSE 'the quoted field goes on after its closing mark' END", t="v", w="broken",
+        ),
+        row.format(r="column_count", n="NULL", o=0, m="len(f) || ' fields instead of 8'", t="vq", w="len(f) <> 8"),
+        row.format(r="pos", n=2, o=_offset("f", "2"), m="'not a whole number from 1 to 2147483647'", t="vq", w=f"len(f) = 8 AND NOT ({_POS})"),
+        row.format(r="qual", n=6, o=_offset("f", "6"), m="'neither ''.'' nor an unsigned number'", t="vq", w=f"len(f) = 8 AND NOT ({_QUAL})"),
+        row.format(r="column_count", n="NULL", o=0, m="len(f) || ' fields instead of at least 11'", t="sb", w="len(f) < 11"),
+        row.format(r="column_count", n="11 + odd", o=_offset("f", "(11 + odd)"), m="'a further field that is no tag'", t="sb", w="len(f) >= 11 AND odd IS NOT NULL AND odd > 0"),
+        row.format(r="template_length", n=9, o=_offset("f", "9"), m="'not a whole number within 32 bits'", t="sb", w=f"len(f) >= 11 AND coalesce(odd, 0) = 0 AND NOT ({_TLEN})"),
+    ])
+
+
+def _p5_vcf() -> str:
+    dot = lambda i, n: f"nullif(q[{i}], '.') AS {n}"
+    return _P5_LINES + f"""SELECT line_id, q[1] AS chrom, CAST(q[2] AS INTEGER) AS pos, {dot(3, "id")}, q[4] AS ref, {dot(5, "alt")}, CASE WHEN q[6] = '.' THEN NULL ELSE CAST(q[6] AS DOUBLE) END AS qual,
+{dot(7, '"filter"')}, {dot(8, "info")} FROM vq WHERE len(f) = 8 AND ({_POS}) AND ({_QUAL})"""
+
+
+def _p5_sam() -> str:
+    whole = lambda i, low: f"CASE WHEN {_INT32.format(x=f'f[{i}]', p='[0-9]+', a=low)} THEN CAST(f[{i}] AS INTEGER) END"
+    return _P5_LINES + f"""SELECT line_id, f[1] AS name, {whole(2, 0)} AS flags, nullif(f[3], '*') AS reference_sequence_name, {whole(4, 1)} AS alignment_start, nullif({whole(5, 0)}, 255) AS mapping_quality,
+f[6] AS cigar, nullif(f[7], '*') AS mate_reference_sequence_name, {whole(8, 1)} AS mate_alignment_start, CAST(f[9] AS INTEGER) AS template_length, f[10] AS sequence, f[11] AS quality_scores,
+array_to_string(f[12:], chr(9)) AS tags FROM sb WHERE len(f) >= 11 AND coalesce(odd, 0) = 0 AND ({_TLEN})"""
+
+
+def _p5_files() -> str:
+    """Stretches from anchor to anchor; the lines behind a broken quote, up to the next anchor, belong to it."""
+    text = "regexp_replace(coalesce(line, ''), '\\r$', '')"
+    head = "starts_with(line, CASE fmt WHEN 'vcf' THEN '#' ELSE '@' END)"
+    return f"""WITH a AS (SELECT *, sum(CASE WHEN {head} OR regexp_matches(coalesce(line, ''), '^[^\t\n"]+\t[0-9]+([\t\r]|$)') THEN 1 ELSE 0 END) OVER w AS stretch FROM raw_lines WINDOW w AS (PARTITION BY fmt, file_name ORDER BY line_no)),
+e AS ({_P5}),
+b AS (SELECT a.*, max(CASE WHEN line_id IN (SELECT line_id FROM e WHERE reason = 'quoting') THEN 1 ELSE 0 END) OVER (PARTITION BY fmt, file_name, stretch ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS skipped FROM a),
+k AS (SELECT *, coalesce(skipped, 0) = 1 AS gone FROM b), n AS (SELECT line_id, list(reason) AS reasons FROM e GROUP BY line_id)
+SELECT fmt, file_name, count(*) FILTER (NOT gone AND {head}) AS n_headers, count(*) FILTER (NOT gone AND NOT {head} AND reasons IS NULL) AS n_records,
+{", ".join(f"count(*) FILTER (NOT gone AND list_contains(reasons, '{r}')) AS n_{r}" for r in ("quoting", "column_count", "pos", "qual", "template_length"))},
+count(*) FILTER (gone) AS n_skipped FROM k LEFT JOIN n USING (line_id) GROUP BY fmt, file_name"""
+
+
 #: Raw cigars as lists of 32-bit words.
 _WORDS = """SELECT *, list_transform(range(0, octet_length(cigar) // 4), lambda i: CAST('0x' || substr(hex(cigar), 8 * i + 7, 2) || substr(hex(cigar), 8 * i + 5, 2)
   || substr(hex(cigar), 8 * i + 3, 2) || substr(hex(cigar), 8 * i + 1, 2) AS BIGINT)) AS words FROM alignments"""
@@ -222,4 +289,8 @@ UNION ALL SELECT track_id, chrom, 'gap', p, "start" FROM (SELECT *, lag("end") O
     "p3_per_key": _PER_KEY.format(t="alignments", k="reference_sequence_id", x="alignment_start", i="alignment_id")
     + " UNION ALL " + _PER_KEY.format(t="variants", k="chrom", x="pos", i="variant_id"),
     "p5_found": _P5,
+    "p5_errors": _p5_errors(),
+    "p5_vcf_records": _p5_vcf(),
+    "p5_sam_records": _p5_sam(),
+    "p5_files": _p5_files(),
 }

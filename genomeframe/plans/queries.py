@@ -102,6 +102,29 @@ def p5_errors(spark: SparkSession, d: str) -> DataFrame:
     return records.bad_lines(_parsed(spark, d))
 
 
+def p5_files(spark: SparkSession, d: str) -> DataFrame:
+    """The raw lines as files, parsed across lines: per format and file its headers, records, bad units by reason, and the lines that
+    belong to a unit before them. A quoted text with a semicolon gets a line break there, so that fields run over lines."""
+    path, lines = shared_folder(spark), table(spark, d, "raw_lines").where("fmt IN ('vcf', 'sam')")
+    two_marks = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))) == 2
+    broken = F.when((F.col("fmt") == "vcf") & two_marks, F.regexp_replace("line", '(\t"[^"\t]*);([^"\t]*"(?:\t|$))', "$1\n$2")).otherwise(F.col("line"))
+    lines = lines.select("fmt", "file_name", "line_no", F.coalesce(broken, F.lit("")).alias("value"))
+    for fmt in ("vcf", "sam"):
+        own = lines.where(F.col("fmt") == fmt).repartition("file_name").sortWithinPartitions("file_name", "line_no")
+        own.select("file_name", "value").write.partitionBy("file_name").text(f"{path}/{fmt}")
+    units = None
+    for fmt in ("vcf", "sam"):
+        own = records.parse_files(spark, f"{path}/{fmt}", fmt).withColumn("fmt", F.lit(fmt))
+        units = own if units is None else units.unionByName(own)
+    named = units.withColumn("file_name", F.url_decode(F.regexp_extract("file", "file_name=([^/]*)/", 1)))
+    bad = lambda r: F.count(F.when(F.exists("errors", lambda e: e["reason"] == r), 1)).alias(f"n_{r}")
+    return named.groupBy("fmt", "file_name").agg(
+        F.count(F.when(F.col("kind") == "header", 1)).alias("n_headers"), F.count(F.when(F.col("kind") == "record", 1)).alias("n_records"),
+        *(bad(r) for r in ("quoting", "column_count", "pos", "qual", "template_length")),
+        F.sum(F.when(F.exists("errors", lambda e: e["reason"] == "quoting"), F.col("n_lines") - 1).otherwise(0)).alias("n_skipped"),
+    )
+
+
 def p5_vcf_records(spark: SparkSession, d: str) -> DataFrame:
     return _parsed(spark, d).where("vcf IS NOT NULL").select("line_id", "vcf.*")
 
@@ -300,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "p4_days_together": p4_days_together,
     "p5_found": p5_found,
     "p5_errors": p5_errors,
+    "p5_files": p5_files,
     "p5_vcf_records": p5_vcf_records,
     "p5_sam_records": p5_sam_records,
 }

@@ -1,5 +1,8 @@
 """Record grammar: reasons by case, recovery at anchors, and agreement with plain splitting on unquoted lines."""
 
+import random
+from collections import Counter
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,6 +62,48 @@ def test_recovery_at_anchors():
     assert reasons(broken + "\nno anchor", "vcf") == [["quoting"]]
 
 
+def test_files_across_lines_and_splits(spark, tmp_path):
+    """Quotes that run over lines, quotes that never close, and borders of splits anywhere: the same as one parse of each whole file."""
+    r = random.Random(4)
+    for k in range(3):
+        lines = ["#CHROM\tx"]
+        for i in range(400):
+            line = put(VCF, 1, str(i + 1))
+            x = r.random()
+            if x < 0.2:
+                line = put(line, 7, '"one\ntwo ""2""\n\tthree"' + ("\r" if x < 0.05 else ""))
+            elif x < 0.3:
+                line = put(line, 2, '"open')
+            elif x < 0.35:
+                line = put(line, 2, '"a"b')
+            elif x < 0.45:
+                line = r.choice(["", "no record", "x\t5", '"\t', "rest\tof\tit", "##note"])
+            lines.append(line)
+        (tmp_path / f"f{k}.vcf").write_text("\n".join(lines) + "\n")
+    want = Counter()
+    for k in range(3):
+        text = (tmp_path / f"f{k}.vcf").read_bytes().decode().removesuffix("\n")
+        grammar = R.Grammar(text, "vcf", True)
+        for unit in grammar.units():
+            if unit.kind == "record" and not unit.errors:
+                R.typed_vcf(unit)
+            start = text.count("\n", 0, unit.start) + 1
+            want[f"f{k}.vcf", start, text.count("\n", unit.start, grammar.at) + 1, "bad" if unit.errors else unit.kind, ",".join(e[0] for e in unit.errors)] += 1
+    assert any(x[3] == "record" and x[2] == 3 for x in want) and any(x[4] == "quoting" and x[2] > 1 for x in want)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("900", "4000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = R.parse_files(spark, str(tmp_path), "vcf").collect()
+            found = Counter((x["file"].rpartition("/")[2], x["line_no"], x["n_lines"], x["kind"], ",".join(e["reason"] for e in x["errors"])) for x in got)
+            assert found == want
+            assert any(x["vcf"] and x["vcf"]["info"] == 'one\ntwo "2"\n\tthree' for x in got)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(ValueError):
+        R.parse_files(spark, str(tmp_path), "bed")
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet='a1"\t.\r#', max_size=30))
 def test_quoting_agrees_with_a_pattern(line):
