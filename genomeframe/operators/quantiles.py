@@ -49,29 +49,57 @@ def from_sorted(values: np.ndarray) -> Summary:
 def grouped(values: np.ndarray, ends: np.ndarray, slack: Callable[[int], float]) -> list[pa.Array]:
     """Arrow columns ``n, vals, rmin, rmax`` of many groups at once: group i is ``values[ends[i]:ends[i + 1]]``, sorted.
 
-    Only groups large enough to be compressed are handled one by one.
+    Groups that need no compression are written short (see ``short``); only the others are handled one by one.
     """
     sizes = np.diff(ends)
-    edge = np.ones(len(values), bool)
-    # within a run of equal values inside one group only the first and the last stay
-    inner = np.zeros(len(values), bool)
-    if len(values) > 2:
-        inner[1:-1] = (values[1:-1] == values[:-2]) & (values[1:-1] == values[2:])
-    inner[ends[:-1]] = False
-    inner[ends[1:] - 1] = False
-    edge &= ~inner
-    large = np.flatnonzero([slack(int(n)) >= 1 for n in sizes])
+    large = np.array([slack(int(n)) >= 1 for n in sizes], bool)
+    # the last of each run of equal values
+    keep = np.ones(len(values), bool)
+    keep[:-1] = values[1:] != values[:-1]
+    keep[ends[1:] - 1] = True
     rank = np.arange(len(values)) - np.repeat(ends[:-1], sizes) + 1
-    for i in large:
+    for i in np.flatnonzero(large):
         a, b = ends[i], ends[i + 1]
-        at = np.flatnonzero(edge[a:b])
-        kept = compress((values[a:b][at], at + 1, at + 1, int(b - a)), slack(int(b - a)))
-        edge[a:b] = False
-        edge[a + kept[1] - 1] = True
-    kept = np.add.reduceat(edge, ends[:-1])
-    offsets = pa.array(np.append(0, np.cumsum(kept)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[edge])) for x in (values, rank.astype(np.int64), rank.astype(np.int64))]
-    return [pa.array(sizes.astype(np.int64)), *lists]
+        kept = compress(from_sorted(values[a:b]), slack(int(b - a)))
+        keep[a:b] = False
+        keep[a + kept[1] - 1] = True
+    kept = np.add.reduceat(keep, ends[:-1])
+    plain = ~large & (kept == sizes)
+
+    def lists(data: np.ndarray, there: np.ndarray) -> pa.ListArray:
+        offsets = np.append(0, np.cumsum(np.where(there, kept, 0))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(data[keep & np.repeat(there, sizes)]), mask=pa.array(~there))
+
+    every = np.ones(len(sizes), bool)
+    return [pa.array(sizes.astype(np.int64)), lists(values, every), lists(rank.astype(np.int64), large), lists(rank.astype(np.int64), ~plain)]
+
+
+def short(s: Summary) -> tuple:
+    """``n, vals, rmin, rmax`` as they are stored. An exact summary needs no intervals: it has its distinct values and, in ``rmax``, the
+    rank of the last of each, or no ranks at all if no value repeats."""
+    vals, rmin, rmax, n = s[0].astype(float), s[1].astype(np.int64), s[2].astype(np.int64), s[3]
+    if len(vals) and rmin[0] == 1 and rmax[-1] == n and np.array_equal(rmin, rmax):
+        last = np.append(vals[1:] != vals[:-1], True)
+        # between neighbours that differ no rank may be missing, else values were left out
+        if np.all(np.diff(rmax)[last[:-1]] == 1):
+            return n, vals[last], None, None if last.sum() == n else rmax[last]
+    return n, vals, rmin, rmax
+
+
+def long(n: int, vals: object, rmin: object, rmax: object) -> Summary:
+    """The summary that ``short`` stored: first and last value of each run with their ranks, or tuples with intervals."""
+    vals = np.asarray(vals, float)
+    if rmin is not None:
+        return vals, np.asarray(rmin, np.int64), np.asarray(rmax, np.int64), int(n)
+    last = np.arange(1, len(vals) + 1) if rmax is None else np.asarray(rmax, np.int64)
+    first = np.append(1, last[:-1] + 1)[: len(last)]
+    several = first < last
+    at = np.repeat(np.arange(len(vals)), 1 + several)
+    ranks = np.empty(len(at), np.int64)
+    ends = np.cumsum(1 + several) - 1
+    ranks[ends] = last
+    ranks[ends[several] - 1] = first[several]
+    return vals[at], ranks, ranks, int(n)
 
 
 def compress(s: Summary, slack: float) -> Summary:
@@ -125,10 +153,6 @@ def answer(s: Summary, probs: Sequence[float]) -> list[float]:
     return [float(x) for x in vals[off.argmin(axis=1)]]
 
 
-def _row(s: Summary) -> tuple:
-    return s[3], s[0].astype(float), s[1].astype(np.int64), s[2].astype(np.int64)
-
-
 def _slack(n: int, eps: float, levels: int) -> float:
     """Ranks that one compression may add; as many compressions as levels share the error allowed."""
     return eps * n / levels
@@ -145,7 +169,7 @@ def _levels(partitions: int) -> int:
 def summarize(
     df: DataFrame, metrics: Sequence[str], groups: dict[str, Column | str], eps: float = DEFAULT_EPS, cells: Sequence[str] = ()
 ) -> DataFrame:
-    """``dimension, key, metric, n, vals, rmin, rmax``: one mergeable summary per dimension, key and metric.
+    """``dimension, key, metric, n, vals, rmin, rmax``: one mergeable summary per dimension, key and metric (stored as ``short`` says).
 
     ``groups`` maps the name of a dimension to its key column; each row counts once in every dimension. ``cells`` names
     dimensions whose combinations come out as well, as one more dimension (names joined by ``+``, keys by ``|``, null ``*``). Null and NaN values
@@ -225,36 +249,49 @@ def summarize(
 
 
 def _merged(summaries: DataFrame, eps: float, levels: int, keys: Sequence[str] = ("dimension", "key", "metric", "part")) -> DataFrame:
-    """One summary per ``keys``; merged ``FAN_IN`` at a time. Rows of a group meet in one task, sorted; only one group is held."""
+    """One summary per ``keys``; merged ``FAN_IN`` at a time as they come, so a group of any size takes a bounded memory."""
     keys, kinds = list(keys), dict(summaries.dtypes)
 
-    def merged(parts: list[Summary]) -> Summary:
-        if len(parts) == 1:
-            return parts[0]
-        # a definite order: results do not depend on the order in which shuffled rows arrive
-        parts.sort(key=lambda s: (s[3], len(s[0]), tuple(s[0][:8]), s[0].sum(), tuple(s[1][:8])))
-        while len(parts) > 1:
-            parts = [combine(parts[i : i + FAN_IN]) for i in range(0, len(parts), FAN_IN)]
-        return compress(parts[0], _slack(parts[0][3], eps, levels))
+    def together(parts: list[Summary], level: int | None) -> Summary:
+        out = combine(parts)
+        # inner levels share one half of what this step may add, the last compression takes the other
+        share = 2.0 if level is None else 2.0 * (level + 1) * (level + 2)
+        return compress(out, _slack(out[3], eps, levels) / share)
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, parts, out = None, [], []
+        current, tiers, out = None, [], []
+
+        def add(s: Summary, level: int = 0) -> None:
+            """Never more than FAN_IN summaries of a level are held, however many the group has."""
+            while len(tiers) <= level:
+                tiers.append([])
+            tiers[level].append(s)
+            if len(tiers[level]) == FAN_IN:
+                full, tiers[level] = tiers[level], []
+                add(together(full, level), level + 1)
+
+        def close() -> None:
+            parts = [s for tier in tiers for s in tier]
+            out.append((*current, *short(parts[0] if len(parts) == 1 else together(parts, None))))
+            tiers.clear()
+
         for pdf in batches:
             for row in zip(*(pdf[k] for k in keys), pdf["n"], pdf["vals"], pdf["rmin"], pdf["rmax"]):
-                key = row[: len(keys)]
-                if key != current and parts:
-                    out.append((*current, *_row(merged(parts))))
-                    parts = []
+                key = tuple(None if pd.isna(k) else k for k in row[: len(keys)])
+                if key != current and tiers:
+                    close()
                 current = key
-                n, v, a, b = row[len(keys) :]
-                parts.append((v, a, b, int(n)))
+                add(long(*row[len(keys) :]))
             if out:
                 yield pd.DataFrame(out, columns=[*keys, "n", "vals", "rmin", "rmax"])
                 out = []
-        if parts:
-            yield pd.DataFrame([(*current, *_row(merged(parts)))], columns=[*keys, "n", "vals", "rmin", "rmax"])
+        if tiers:
+            close()
+            yield pd.DataFrame(out, columns=[*keys, "n", "vals", "rmin", "rmax"])
 
-    rows = summaries.select(*keys, "n", "vals", "rmin", "rmax").repartition(*keys).sortWithinPartitions(*keys)
+    # a definite order: results do not depend on the order in which shuffled rows arrive
+    rows = summaries.select(*keys, "n", "vals", "rmin", "rmax").repartition(*keys).withColumn("__at", F.xxhash64("n", "vals", "rmin", "rmax"))
+    rows = rows.sortWithinPartitions(*keys, "n", "__at").drop("__at")
     return rows.mapInPandas(merge, f"{', '.join(f'{k} {kinds[k]}' for k in keys)}, {SUMMARY}")
 
 
@@ -266,11 +303,39 @@ def merge_summaries(summaries: DataFrame, keys: Sequence[str] = ("dimension", "k
     # a tree of two steps, so that one key's summaries are not all read by one task
     kinds = dict(summaries.dtypes)
     salted = summaries.withColumn("part", F.pmod(F.xxhash64("n", "vals", "rmin"), F.lit(FAN_IN)).cast("long"))
-    assert all(k in kinds for k in keys)
+    if not all(k in kinds for k in keys):
+        raise ValueError(f"the summaries lack one of the columns {', '.join(keys)}")
     once = _merged(salted, eps, 4, [*keys, "part"])
     return _merged(once.withColumn("part", F.lit(0).cast("long")), eps, 4, [*keys, "part"]).drop("part")
 
 
+def true_ranks(df: DataFrame, metrics: Sequence[str], groups: dict[str, Column | str], results: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+    """``results`` of ``quantiles`` held against all values: ``dimension, key, metric, n, within_bound``.
+
+    For each probability the ranks that the answer has among the group's values are counted; ``within_bound`` tells that all lie
+    within ``rank_error`` (and half a rank) of the rank asked for. ``results`` must have one row per dimension, key and metric.
+    """
+    names = list(names or (f"p{round(p * 100):02d}" for p in probs))
+    raw = df.select(*(((df[g] if isinstance(g, str) else g).cast("string")).alias(f"g{i}") for i, g in enumerate(groups.values())), *(df[m].cast("double").alias(f"m{i}") for i, m in enumerate(metrics)))
+    cells = [F.struct(F.lit(n).alias("dimension"), F.col(f"g{i}").alias("key")) for i, n in enumerate(groups)]
+    values = [F.struct(F.lit(m).alias("metric"), F.col(f"m{i}").alias("x")) for i, m in enumerate(metrics)]
+    rows = raw.select(F.explode(F.array(*values)).alias("v"), *(f"g{i}" for i in range(len(groups)))).where("v.x IS NOT NULL AND NOT isnan(v.x)")
+    rows = rows.select("v.*", F.explode(F.array(*cells)).alias("c")).select("c.*", "metric", "x").withColumn("key", F.coalesce("key", F.lit("*")))
+    # values are counted before they meet the results
+    rows = rows.groupBy("dimension", "key", "metric", "x").agg(F.count("*").alias("times"))
+    asked = results.withColumn("key", F.coalesce("key", F.lit("*"))).select("dimension", "key", "metric", F.col("n").alias("stated"), "rank_error", *names)
+    joined = rows.join(asked, ["dimension", "key", "metric"])
+    counts = [F.sum(F.when(F.col("x") < F.col(c), F.col("times")).otherwise(0)).alias(f"low_{c}") for c in names]
+    counts += [F.sum(F.when(F.col("x") <= F.col(c), F.col("times")).otherwise(0)).alias(f"high_{c}") for c in names]
+    out = joined.groupBy("dimension", "key", "metric").agg(F.sum("times").alias("n"), F.max("stated").alias("stated"), F.max("rank_error").alias("rank_error"), *counts)
+    ok = F.col("n") == F.col("stated")
+    for p, c in zip(probs, names):
+        wanted = F.least(F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)), F.col("n"))
+        miss = F.greatest(F.col(f"low_{c}") + 1 - wanted, wanted - F.col(f"high_{c}"), F.lit(0))
+        ok = ok & (miss <= F.col("rank_error") + 0.5)
+    return out.select("dimension", F.nullif("key", F.lit("*")).alias("key"), "metric", "n", ok.alias("within_bound"))
+
+
 def quantiles(summaries: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """The summaries' other columns, ``n``, one column per probability, ``rank_error`` (ranks) and ``relative_error``."""
     names = list(names or (f"p{round(p * 100):02d}" for p in probs))
@@ -281,7 +346,7 @@ def quantiles(summaries: DataFrame, probs: Sequence[float], names: Sequence[str]
         for pdf in batches:
             rows = []
             for n, v, a, b in zip(pdf["n"], pdf["vals"], pdf["rmin"], pdf["rmax"]):
-                s = (np.asarray(v, float), np.asarray(a), np.asarray(b), int(n))
+                s = long(n, v, a, b)
                 rows.append((*answer(s, probs), e := rank_error(s), e / n))
             yield pd.concat([pdf[[*keep, "n"]].reset_index(drop=True), pd.DataFrame(rows, columns=[*names, "rank_error", "relative_error"], dtype=float)], axis=1)
 

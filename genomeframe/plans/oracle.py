@@ -288,6 +288,15 @@ UNION ALL SELECT track_id, chrom, 'gap', p, "start" FROM (SELECT *, lag("end") O
     "p3_found": _HEAVY.format(t="alignments", k="reference_sequence_id") + " UNION ALL " + _HEAVY.format(t="variants", k="chrom"),
     "p3_per_key": _PER_KEY.format(t="alignments", k="reference_sequence_id", x="alignment_start", i="alignment_id")
     + " UNION ALL " + _PER_KEY.format(t="variants", k="chrom", x="pos", i="variant_id"),
+    "p4_bounds": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{dim}' AS dimension, CAST({key} AS VARCHAR) AS key, '{m}' AS metric, count({m}) AS n, true AS within_bound FROM {t} WHERE {m} IS NOT NULL GROUP BY {key}"
+        for t, m, keys in (
+            ("alignments", "mapping_quality", ("reference_sequence_id", "sample_id", "CAST(sequenced_at AS DATE)")),
+            ("alignments", "template_length", ("reference_sequence_id", "sample_id", "CAST(sequenced_at AS DATE)")),
+            ("variants", "qual", ("chrom", "sample_id", "CAST(called_at AS DATE)")),
+        )
+        for dim, key in zip(("reference", "sample", "day"), keys)
+    ),
     "p5_found": _P5,
     "p5_errors": _p5_errors(),
     "p5_vcf_records": _p5_vcf(),

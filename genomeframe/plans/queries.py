@@ -68,13 +68,30 @@ def p3_per_key(spark: SparkSession, d: str) -> DataFrame:
     return name(a, "alignments").unionByName(name(v, "variants"))
 
 
-def _summaries(spark: SparkSession, d: str, dims: tuple[str, ...] = ("reference", "sample", "day"), cells: tuple[str, ...] = ()) -> DataFrame:
+def _p4_sides(spark: SparkSession, d: str) -> list[tuple]:
+    """(table's name, rows, metrics, groups) of the two tables."""
     a, v = table(spark, d, "alignments"), table(spark, d, "variants")
     ga = {"reference": "reference_sequence_id", "sample": "sample_id", "day": F.to_date("sequenced_at")}
     gv = {"reference": "chrom", "sample": "sample_id", "day": F.to_date("called_at")}
-    pick = lambda g: {k: g[k] for k in dims}
-    left = quantiles.summarize(a, ["mapping_quality", "template_length"], pick(ga), cells=cells).withColumn("table_name", F.lit("alignments"))
-    return left.unionByName(quantiles.summarize(v, ["qual"], pick(gv), cells=cells).withColumn("table_name", F.lit("variants")))
+    return [("alignments", a, ["mapping_quality", "template_length"], ga), ("variants", v, ["qual"], gv)]
+
+
+def _summaries(spark: SparkSession, d: str, dims: tuple[str, ...] = ("reference", "sample", "day"), cells: tuple[str, ...] = ()) -> DataFrame:
+    left, right = (
+        quantiles.summarize(df, metrics, {k: groups[k] for k in dims}, cells=cells).withColumn("table_name", F.lit(name))
+        for name, df, metrics, groups in _p4_sides(spark, d)
+    )
+    return left.unionByName(right)
+
+
+def p4_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Every percentile per reference, per sample and per day held against the exact ranks: is it within the bound stated for it?"""
+    out = None
+    for name, df, metrics, groups in _p4_sides(spark, d):
+        results = quantiles.quantiles(quantiles.summarize(df, metrics, groups), PROBS)
+        checked = quantiles.true_ranks(df, metrics, groups, results, PROBS).withColumn("table_name", F.lit(name))
+        out = checked if out is None else out.unionByName(checked)
+    return out
 
 
 def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
@@ -321,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "p3_per_key": p3_per_key,
     "p4_percentiles": p4_percentiles,
     "p4_days_together": p4_days_together,
+    "p4_bounds": p4_bounds,
     "p5_found": p5_found,
     "p5_errors": p5_errors,
     "p5_files": p5_files,

@@ -45,8 +45,33 @@ def test_groups_at_once_equal_groups_one_by_one():
     n, vals, rmin, rmax = Q.grouped(np.concatenate(groups), ends, lambda n: n / 200)
     for i, g in enumerate(groups):
         want = Q.compress(Q.from_sorted(g), len(g) / 200)
-        assert n[i].as_py() == len(g)
-        assert vals[i].as_py() == list(want[0]) and rmin[i].as_py() == list(want[1]) and rmax[i].as_py() == list(want[2])
+        got = Q.long(n[i].as_py(), vals[i].as_py(), rmin[i].as_py(), rmax[i].as_py())
+        assert all(np.array_equal(a, b) for a, b in zip(got[:3], want[:3])) and got[3] == want[3] == len(g)
+
+
+def test_stored_summaries_come_back():
+    r = np.random.default_rng(6)
+    for k, n in ((0, 1), (0, 2), (1, 3), (3, 50), (9000, 40), (5, 2000)):
+        exact = Q.from_sorted(np.sort(r.integers(0, k + 1, n).astype(float)))
+        for s in (exact, Q.compress(exact, 3.0), Q.combine([exact, Q.from_sorted(np.array([0.5, 2.0]))])):
+            back = Q.long(*Q.short(s))
+            # of a run of equal values only the first and the last are needed
+            assert back[3] == s[3] and Q.answer(back, PROBS) == Q.answer(s, PROBS) and Q.rank_error(back) == Q.rank_error(s)
+            assert s is not exact or all(np.array_equal(a, b) for a, b in zip(back[:3], s[:3]))
+    n, vals, rmin, rmax = Q.short(Q.from_sorted(np.array([1.0, 1.0, 2.0])))
+    assert (n, list(vals), rmin, list(rmax)) == (3, [1.0, 2.0], None, [2, 3])
+
+
+def test_a_group_of_many_summaries(spark):
+    """More summaries of one key than are held at once; the bound still holds."""
+    r = np.random.default_rng(8)
+    parts = [r.normal(i % 5, 1, 40) for i in range(1500)]
+    rows = [(*Q.short(Q.from_sorted(np.sort(v)))[:2], None, None) for v in parts]
+    df = spark.createDataFrame([("m", int(n), [float(x) for x in v], a, b) for n, v, a, b in rows], f"metric string, {Q.SUMMARY}")
+    (x,) = Q.quantiles(Q.merge_summaries(df, ["metric"], 0.01), PROBS).collect()
+    whole = np.concatenate(parts)
+    assert x["n"] == len(whole) and 0 < x["rank_error"] <= 0.01 * len(whole) + 1
+    assert all(off(whole, p, x[f"p{round(p * 100):02d}"]) <= x["rank_error"] for p in PROBS)
 
 
 def test_summaries_of_a_table(spark):
