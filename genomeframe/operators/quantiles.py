@@ -252,39 +252,39 @@ def _merged(summaries: DataFrame, eps: float, levels: int, keys: Sequence[str] =
     """One summary per ``keys``; merged ``FAN_IN`` at a time as they come, so a group of any size takes a bounded memory."""
     keys, kinds = list(keys), dict(summaries.dtypes)
 
-    def together(parts: list[Summary], level: int | None) -> Summary:
-        out = combine(parts)
+    def together(parts: list[tuple], level: int | None) -> tuple:
+        out = combine([long(*p) for p in parts])
         # inner levels share one half of what this step may add, the last compression takes the other
         share = 2.0 if level is None else 2.0 * (level + 1) * (level + 2)
-        return compress(out, _slack(out[3], eps, levels) / share)
+        return short(compress(out, _slack(out[3], eps, levels) / share))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, tiers, out = None, [], []
 
-        def add(s: Summary, level: int = 0) -> None:
+        def add(stored: tuple, level: int = 0) -> None:
             """Never more than FAN_IN summaries of a level are held, however many the group has."""
             while len(tiers) <= level:
                 tiers.append([])
-            tiers[level].append(s)
+            tiers[level].append(stored)
             if len(tiers[level]) == FAN_IN:
                 full, tiers[level] = tiers[level], []
                 add(together(full, level), level + 1)
 
         def close() -> None:
             parts = [s for tier in tiers for s in tier]
-            out.append((*current, *short(parts[0] if len(parts) == 1 else together(parts, None))))
+            out.append((*current, *(parts[0] if len(parts) == 1 else together(parts, None))))
             tiers.clear()
 
         for pdf in batches:
-            for row in zip(*(pdf[k] for k in keys), pdf["n"], pdf["vals"], pdf["rmin"], pdf["rmax"]):
-                key = tuple(None if pd.isna(k) else k for k in row[: len(keys)])
+            keyed = pdf[keys].astype(object).where(pdf[keys].notna(), None)
+            for *key, n, v, a, b in zip(*(keyed[k] for k in keys), pdf["n"], pdf["vals"], pdf["rmin"], pdf["rmax"]):
                 if key != current and tiers:
                     close()
                 current = key
-                add(long(*row[len(keys) :]))
+                add((int(n), v, a, b))
             if out:
                 yield pd.DataFrame(out, columns=[*keys, "n", "vals", "rmin", "rmax"])
-                out = []
+                out.clear()
         if tiers:
             close()
             yield pd.DataFrame(out, columns=[*keys, "n", "vals", "rmin", "rmax"])
@@ -339,13 +339,18 @@ def true_ranks(df: DataFrame, metrics: Sequence[str], groups: dict[str, Column |
 def quantiles(summaries: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """The summaries' other columns, ``n``, one column per probability, ``rank_error`` (ranks) and ``relative_error``."""
     names = list(names or (f"p{round(p * 100):02d}" for p in probs))
-    keep = [c for c in summaries.columns if c not in ("vals", "rmin", "rmax", "n")]
+    keep, asked = [c for c in summaries.columns if c not in ("vals", "rmin", "rmax", "n")], np.asarray(probs)
     kinds = dict(summaries.dtypes)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for n, v, a, b in zip(pdf["n"], pdf["vals"], pdf["rmin"], pdf["rmax"]):
+                if a is None:  # exact: the value at each rank
+                    at = np.clip(np.ceil(asked * n), 1, n).astype(np.int64)
+                    found = np.asarray(v)[at - 1 if b is None else np.searchsorted(b, at)]
+                    rows.append((*found.tolist(), 0.0, 0.0))
+                    continue
                 s = long(n, v, a, b)
                 rows.append((*answer(s, probs), e := rank_error(s), e / n))
             yield pd.concat([pdf[[*keep, "n"]].reset_index(drop=True), pd.DataFrame(rows, columns=[*names, "rank_error", "relative_error"], dtype=float)], axis=1)
