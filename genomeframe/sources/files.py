@@ -46,7 +46,7 @@ def open_output(path: str):
     """A stream; missing folders are made."""
     system, inner = _system(path)
     system.create_dir(inner.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(inner)
+    return system.open_output_stream(inner, compression=None)
 
 
 def move(source: str, target: str) -> None:
