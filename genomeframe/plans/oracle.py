@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import formats
-from .inputs import VIEWS
+from .inputs import PLAIN_VIEWS, VIEWS
 
 
 def _islands(source: str, keys: str) -> str:
@@ -274,6 +274,11 @@ hex(cigar) AS cigar, mate_reference_sequence_id, mate_alignment_start, template_
     "overlap_reads": VIEWS + f""", r AS ({_READS})
 SELECT t.interval_id, count(*) AS n_reads, min(r.alignment_id) AS first_read, max(r.alignment_id) AS last_read FROM t JOIN r ON {HIT.replace("v.", "r.")} GROUP BY t.interval_id""",
     "nearest_start_adjacent": _start_adjacent(),
+    "overlap_orders_events": PLAIN_VIEWS + f"SELECT v.id AS a_id, t.id AS b_id FROM v JOIN t ON {HIT}",
+    "nearest_orders_events": PLAIN_VIEWS + f""", c AS (SELECT v.id AS a_id, t.id AS b_id, CASE WHEN {HIT} THEN 0 ELSE 1 END AS apart,
+  greatest(t."start" - v."end", v."start" - t."end", 0) AS distance, abs((v."start" + v."end") // 2 - (t."start" + t."end") // 2) AS mid FROM v JOIN t ON v.chrom = t.chrom)
+SELECT v.id AS a_id, b_id, CAST(CASE WHEN apart = 0 THEN 0 ELSE distance END AS BIGINT) AS distance FROM v LEFT JOIN c ON c.a_id = v.id
+QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY apart, CASE WHEN apart = 0 THEN mid ELSE distance END, b_id) = 1""",
     "subtract_on_cols": VIEWS + f"SELECT v.* FROM vn v WHERE sample_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE {HIT} AND v.sample_id = t.sample_id)",
     "complement_on_cols": VIEWS + f""", m AS ({_merge("SELECT * FROM tn WHERE strand IS NOT NULL", "chrom, strand")}),
 g AS (SELECT chrom, strand, greatest(coalesce(lag("end") OVER (PARTITION BY chrom, strand ORDER BY "start"), 0), 0) AS "start", "start" AS "end" FROM m)

@@ -14,7 +14,7 @@ from ..operators import chunks, islands, packed, quantiles, records
 from ..session import cut, shared_folder
 from ..sources import bam, bcf, convert, headers, text
 from . import formats
-from .inputs import table, tracks, variant_intervals
+from .inputs import event_intervals, order_intervals, table, tracks, variant_intervals
 
 Query = Callable[[SparkSession, str], DataFrame]
 PROBS = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
@@ -326,6 +326,8 @@ QUERIES: dict[str, Query] = {
     "track_annotation": track_annotation,
     "chrom_sizes": lambda s, d: formats.chrom_sizes(s, d),
     "overlap_reads": overlap_reads,
+    "overlap_orders_events": lambda s, d: ops.overlap(order_intervals(s, d), event_intervals(s, d)).select("a_id", "b_id"),
+    "nearest_orders_events": lambda s, d: _slim(ops.nearest(order_intervals(s, d), event_intervals(s, d), None, "nearest", "id", "id"), "a_id", "b_id", "distance"),
     "nearest_start_adjacent": lambda s, d: _slim(ops.nearest(variant_intervals(s, d), tracks(s, d), None, "start_adjacent", "variant_id", "interval_id"), "a_variant_id", "b_interval_id", "distance"),
     "subtract_on_cols": lambda s, d: ops.subtract(variant_intervals(s, d), tracks(s, d), ["sample_id"]),
     "complement_on_cols": lambda s, d: ops.complement(tracks(s, d), _sizes(s, d), ["strand"]),
