@@ -9,8 +9,8 @@ a chromosome makes a few rows.
 
 *Counts, semi and anti joins* never form pairs: the number of hits is the number of starts before an interval's end less the
 number of ends up to its start, two running sums of one sweep, carried from bin to bin (``carry``). The sweep sees each
-distinct interval once, without the rest of its row; rows join their count by their coordinates in an equi-join, whose
-skewed partitions adaptive execution splits.
+distinct interval once, without the rest of its row; rows join their count by their coordinates, the hottest
+ones salted.
 
 *Nearest* takes the neighbours on either side from one sweep over distinct intervals, and the best overlapping target from
 pairs of distinct intervals that are reduced where they arise; rows and targets are joined at the end.
@@ -32,6 +32,11 @@ DEFAULT_BIN_WIDTH = 1024
 LEVEL_BITS = 3
 
 
+#: A key of rows is hot if it has more rows than HOT_ROWS; the HOT_GROUPS largest of these are salted, so the list that is broadcast
+#: has a fixed bound, and any other key has less than one row in HOT_GROUPS.
+HOT_ROWS, HOT_GROUPS, MOST_SALTS = 5_000, 1_000, 4_096
+
+
 def suggest_bin_width(*frames: DataFrame, share: float = 0.5) -> int:
     """The power of two above the given quantile of all widths, from one aggregation of two columns (an action)."""
     widths = [complete(pack(f), ["k0"]).select((F.col("e") - F.col("s")).cast("long").alias("w")) for f in frames]
@@ -44,17 +49,18 @@ def suggest_bin_width(*frames: DataFrame, share: float = 0.5) -> int:
 
 def _shifts(width: int, kind: T.DataType) -> list[int]:
     """Bits of the bins of each level."""
-    return list(range(max(0, width - 1).bit_length(), (31 if isinstance(kind, T.IntegerType) else 63) + LEVEL_BITS, LEVEL_BITS))
+    most = 31 if isinstance(kind, T.IntegerType) else 62
+    return [*range(max(0, width - 1).bit_length(), most, LEVEL_BITS), most]
 
 
 def _with_level(packed: DataFrame, shifts: Sequence[int]) -> DataFrame:
     """Add ``own``, the bits of the narrowest bins that are at least as wide as the interval."""
     w = F.col("e").cast("long") - F.col("s").cast("long")
-    steps = [F.when(w > F.lit(1 << b).cast("long"), LEVEL_BITS).otherwise(0) for b in shifts[:-1] if b < 63]
+    steps = [F.when(w > F.lit(1 << b).cast("long"), LEVEL_BITS).otherwise(0) for b in shifts[:-1]]
     own = F.lit(shifts[0])
     for step in steps:
         own = own + step
-    return packed.withColumn("own", own)
+    return packed.withColumn("own", F.least(own, F.lit(shifts[-1])))
 
 
 def _binned(packed: DataFrame, other: DataFrame, shifts: Sequence[int]) -> DataFrame:
@@ -98,14 +104,29 @@ def overlap(a: DataFrame, b: DataFrame, how: str = "join", on_cols: Sequence[str
     return pairs.select(*unpack(a.columns, "a_", "a_row"), *unpack(b.columns, "b_", "b_row"))
 
 
+def _salted_join(rows: DataFrame, values: DataFrame, on: Sequence[str], groups: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows JOIN values USING (on)``, where ``groups`` (on, n_rows) tells how many rows have each key.
+
+    Rows of the hottest keys are spread over salts, and these keys' values copied to each salt. Adaptive execution cannot do
+    this here, since the values come straight from an aggregation. The list of hot keys is short, so it is broadcast.
+    """
+    hot = groups.where(f"n_rows > {HOT_ROWS}").orderBy(F.desc("n_rows"), *on).limit(HOT_GROUPS)
+    hot = F.broadcast(hot.select(*on, F.least(F.lit(MOST_SALTS), F.ceil(F.col("n_rows") / HOT_ROWS)).cast("int").alias("salts")))
+    rows = rows.withColumn("at", F.monotonically_increasing_id()).join(hot, list(on), "left")
+    rows = rows.withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.col("at"), F.col("salts"))).cast("int")).drop("at", "salts")
+    values = values.join(hot, list(on), "left")
+    values = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return rows.join(values, [*on, "salt"], how).drop("salt")
+
+
 #: Order of events at one position: a row's end is met before the starts there, its start after the ends there; a
 #: zero-length row of a does not meet the zero-length rows of b at its place.
 _A_END, _B_EDGE, _A_START_EMPTY, _B_EDGE_EMPTY, _A_START = range(5)
 
 
 def _groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct intervals of packed rows."""
-    return rows.select(*keys, "s", "e").distinct()
+    """The distinct intervals of packed rows with their number ``n_rows``."""
+    return rows.groupBy(*keys, "s", "e").agg(F.count("*").alias("n_rows"))
 
 
 def _events(rows: DataFrame, keys: Sequence[str], points: Sequence[dict[str, Column]], *more: str) -> DataFrame:
@@ -145,7 +166,7 @@ def _counted(a: DataFrame, b: DataFrame, keys: Sequence[str], keep: str | None =
     part = F.when(F.col("at_end"), F.col("n_begun")).otherwise(-F.col("n_over"))
     hits = both.withColumns({"n_begun": seen("begun"), "n_over": seen("over")}).where("at_end IS NOT NULL")
     hits = hits.groupBy(*keys, "s", "e").agg(F.sum(part).alias("hits"))
-    return a.join(hits.where(keep) if keep else hits, [*keys, "s", "e"])
+    return _salted_join(a, hits.where(keep) if keep else hits, [*keys, "s", "e"], groups)
 
 
 def count_overlaps(a: DataFrame, b: DataFrame, on_cols: Sequence[str] | None = None) -> DataFrame:
@@ -229,7 +250,7 @@ def nearest(
     slim = b.select(*keys, "s", "e", "id")
     found = _neighbours(groups, slim, keys, adjacent)
     # of equal targets only the first can be chosen
-    pairs = _pairs(groups, slim.groupBy(*keys, "s", "e").agg(F.min("id").alias("id")), keys, bin_width)
+    pairs = _pairs(groups.drop("n_rows"), slim.groupBy(*keys, "s", "e").agg(F.min("id").alias("id")), keys, bin_width)
     far = F.abs(_half(F.col("a_s").cast("long") + F.col("a_e")) - _half(F.col("b_s").cast("long") + F.col("b_e")))
     own = [*(F.col(f"a_{k}").alias(k) for k in keys), F.col("a_s").alias("s"), F.col("a_e").alias("e")]
     hits = pairs.groupBy(*own).agg(F.min(F.struct(far.alias("far"), F.col("b_id").alias("no"))).alias("hit"))
@@ -245,7 +266,7 @@ def nearest(
     q = q.select(*keys, "s", "e", F.coalesce("hit.no", "apart.no").alias("id"), F.when(F.col("hit").isNotNull(), zero).otherwise(F.col("apart.far")).alias("distance"))
     q = q.where("id IS NOT NULL")
     chosen = q.join(b.select("id", F.col("row").alias("t_row")), "id").drop("id")
-    matched = a.where(whole).join(chosen, [*keys, "s", "e"], "left").select("row", "t_row", "distance")
+    matched = _salted_join(a.where(whole), chosen, [*keys, "s", "e"], groups, "left").select("row", "t_row", "distance")
     none = a.where(f"NOT ({whole})").select("row", F.lit(None).cast(b.schema["row"].dataType).alias("t_row"), F.lit(None).cast("long").alias("distance"))
     out = matched.unionAll(none)
     return out.select(*unpack(query.columns, "a_", new=["distance"]), *unpack(target.columns, "b_", "t_row", new=["distance"]), "distance")

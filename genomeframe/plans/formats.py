@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as ops
 from ..functions import alignment
-from ..session import shared_folder
+from ..session import shared_folder, spread
 from ..sources import bam, bcf, convert, headers, tags, text
 from .inputs import table
 
@@ -50,7 +50,7 @@ def _alignments(spark: SparkSession, d: str) -> DataFrame:
     )
     full = F.transform(made, lambda t: F.struct(t["tag"], t["type"], t["value"], F.lit(None).cast("bigint").alias("i"), F.lit(None).cast("double").alias("f"), F.lit(None).cast("array<double>").alias("a")))
     columns = [c for c in convert.BAM_COLUMNS if c != "data"]
-    return table(spark, d, "alignments").select(*columns, full.alias("tags"))
+    return spread(table(spark, d, "alignments").select(*columns, "alignment_id", "sample_id")).select(*columns, full.alias("tags"))
 
 
 def _shown(df: DataFrame, tag_col: str) -> DataFrame:
@@ -113,7 +113,7 @@ def fastq_file_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 def _variants(spark: SparkSession, d: str) -> DataFrame:
     """All variants with a chromosome, with filters, INFO and two samples made from their columns. A BCF record needs a contig."""
-    v = table(spark, d, "variants").where("chrom IS NOT NULL")
+    v = spread(table(spark, d, "variants").where("chrom IS NOT NULL"))
     sample, text_of = F.col("sample_id"), lambda c: F.coalesce(c.cast("string"), F.lit("."))
     marks = F.when(F.col("qual") < 20, F.array(F.lit("weak"), F.lit("shallow"))).when(F.col("qual") >= 20, F.array(F.lit("PASS")))
     return v.select(

@@ -302,13 +302,13 @@ class BamReader(DataSourceReader):
 class BamWriter(parts.FileWriter):
     suffix, index_suffix = ".bam", ".bai"
 
-    def fill(self, writer: Writer, rows: Iterator) -> bytes | None:
+    def fill(self, writer: Writer, rows: Iterator[dict]) -> bytes | None:
         header = SamHeader.parse(self.options.get("header", ""))
         builder = IndexBuilder(len(header.reference_sequences())) if self.options.get("index", "false").lower() == "true" else None
         writer.write(header_bytes(header))
         writer.flush()
-        for row in rows:
-            record, at = row.asDict(), writer.tell()
+        for record in rows:
+            at = writer.tell()
             writer.write(encode(record))
             if builder is not None:
                 builder.add(record["reference_sequence_id"], record["alignment_start"], bytes(record["cigar"] or b""), at, writer.tell())

@@ -477,14 +477,14 @@ class BcfWriter(parts.FileWriter):
         if unknown:
             raise ValueError(f"the header has no place for the column {unknown[0]!r}")
 
-    def fill(self, writer: Writer, rows: Iterator) -> bytes | None:
+    def fill(self, writer: Writer, rows: Iterator[dict]) -> bytes | None:
         text = self.options["header"].encode() + b"\0"
         codec = Codec(VcfHeader.parse(self.options["header"]))
         builder = IndexBuilder(len(codec.contigs)) if _flag(self.options, "index") else None
         writer.write(b"BCF\2\2" + struct.pack("<I", len(text)) + text)
         writer.flush()
         for row in rows:
-            record, at = codec.encode(row.asDict()), writer.tell()
+            record, at = codec.encode(row), writer.tell()
             writer.write(record)
             if builder is not None:
                 builder.add(record[8:20], at, writer.tell())

@@ -10,8 +10,9 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSourceArrowWriter, InputPartition, WriterCommitMessage
 
 from . import files
 from .bgzf import Reader, Writer, read_block
@@ -137,7 +138,14 @@ class Written(WriterCommitMessage):
     moves: list[tuple[str, str]] = field(default_factory=list)
 
 
-class FileWriter(DataSourceWriter):
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        names = batch.schema.names
+        for values in zip(*(c.to_pylist() for c in batch.columns)):
+            yield dict(zip(names, values))
+
+
+class FileWriter(DataSourceArrowWriter):
     """One complete file per task, under a name of its own job; the files appear when the job commits.
 
     ``append`` leaves all files that are there, ``overwrite`` removes them after the new ones are complete.
@@ -148,11 +156,11 @@ class FileWriter(DataSourceWriter):
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.path, self.options, self.overwrite, self.job = options["path"], options, overwrite, uuid.uuid4().hex[:12]
 
-    def fill(self, writer: Writer, rows: Iterator) -> bytes | None:
+    def fill(self, writer: Writer, rows: Iterator[dict]) -> bytes | None:
         """Write header and records; return the index if one is wanted."""
         raise NotImplementedError
 
-    def write(self, iterator: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
 
         task = TaskContext.get()
@@ -160,7 +168,7 @@ class FileWriter(DataSourceWriter):
         name = f"part-{task.partitionId():05d}-{self.job}{self.suffix}"
         temporary = f"{base}/_{name}.{task.taskAttemptId()}"
         with Writer(temporary, int(self.options.get("level", 6))) as w:
-            index = self.fill(w, iterator)
+            index = self.fill(w, _rows(iterator))
         moves = [(temporary, f"{base}/{name}")]
         if index is not None:
             with files.open_output(f"{temporary}{self.index_suffix}") as out:

@@ -52,7 +52,7 @@ def encode(tags: object) -> bytes:
     """Bytes of BAM from (tag, type, value, ...); whole numbers take the narrowest type."""
     out = b""
     for t in tags if tags is not None else ():
-        name, kind, value = (t["tag"], t["type"], t["value"]) if isinstance(t, dict) or hasattr(t, "asDict") else t[:3]
+        name, kind, value = (t["tag"], t["type"], t["value"]) if isinstance(t, dict) else t[:3]
         head = name.encode("latin-1")
         if kind == "i":
             n = int(value)

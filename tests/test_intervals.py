@@ -181,6 +181,44 @@ def test_range_operators(spark, seed, empty):
     assert got(ops.setdiff_ranges(a, b, 64), "chrom", "start", "end") == want
 
 
+def test_a_long_interval_makes_few_rows(spark):
+    from genomeframe.operators import pairwise
+    from genomeframe.roles import pack
+
+    wide = pack(simple(spark, ("chr1", 0, 248_000_000)))
+    small = pack(simple(spark, *(("chr1", i * 1000, i * 1000 + i) for i in range(1, 2000, 7))))
+    shifts = pairwise._shifts(1024, wide.schema["s"].dataType)
+    wide, small = (pairwise._with_level(x, shifts) for x in (wide, small))
+    assert pairwise._binned(wide, small, shifts).count() <= 2
+    assert pairwise._binned(small, wide, shifts).count() <= 4 * small.count()
+    ends = spark.createDataFrame([("chr1", 0, 2**62), ("chr1", -(2**40), 5), ("chr1", 7, 9)], "chrom string, start long, end long")
+    assert len(ops.overlap(ends, ends).collect()) == 7
+
+
+def test_half_of_the_rows_at_one_place(spark):
+    """A hot position is one row of the sweep, and the join back splits it."""
+    from pyspark.sql import functions as F
+
+    n = 200_000
+    a = spark.range(n, numPartitions=4).select(F.lit("chr1").alias("chrom"), F.when(F.col("id") % 2 == 0, 5000).otherwise(F.col("id") * 3).cast("int").alias("start"), "id")
+    a = a.withColumn("end", (F.col("start") + 20).cast("int"))
+    b = spark.range(2000, numPartitions=2).select(F.lit("chr1").alias("chrom"), (F.col("id") * 50).cast("int").alias("start"), (F.col("id") * 50 + 30).cast("int").alias("end"))
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        counted = ops.count_overlaps(a, b)
+        sizes = [r["n"] for r in counted.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == n and max(sizes) < 0.15 * n
+        assert counted.where("id = 0").first()["count"] == 1
+        total = sum(max(0, min(1999, (s + 19) // 50) - max(0, -(-(s - 29) // 50)) + 1) for i in range(n) for s in [5000 if i % 2 == 0 else i * 3])
+        assert counted.agg(F.sum("count")).first()[0] == total
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_geometry(spark):
     at = lambda f, *r: [tuple(x) for x in f(simple(spark, ("chr1", *r))).select("start", "end").collect()]
     assert at(lambda d: ops.expand(d, 5), 10, 20) == [(5, 25)]
