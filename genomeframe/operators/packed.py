@@ -46,7 +46,7 @@ VALUE_MARKS = "_-:.*'<>[]"
 #: How often a symbol counts as seen beforehand.
 SEEN, UNSEEN = 0.5, 2.0**-20
 #: A field of these characters only, with no quote mark in front, is one place in every dialect; for the JVM.
-PLAIN = r"^[\p{L}\p{N}_\-:.*<>\[\]][\p{L}\p{N}_\-:.*'<>\[\]]*$"
+PLAIN = r"^[\p{L}\p{N}_\-:.*<>\[\]][\p{L}\p{N}_\-:.*'<>\[\]]*\z"
 
 
 def is_value_char(c: str) -> bool:

@@ -74,7 +74,7 @@ def fields(seed, n):
 
 
 def learn(texts):
-    counts, plain_field = Counter(), re.compile(P.PLAIN.replace(r"\p{L}\p{N}_", r"\w"))
+    counts, plain_field = Counter(), re.compile(P.PLAIN.replace(r"\p{L}\p{N}_", r"\w").replace(r"\z", r"\Z"))
     for t in texts:
         if plain_field.match(t):
             counts["f", "b0", P.symbol(t[0])] += 1
@@ -121,7 +121,7 @@ def test_named_cases():
 
 
 def test_table(spark):
-    texts = [*fields(9, 150), "", "   ", None, "A" * 30000 + "," + "B" * 30000, '"open', "a,a", "a,a"]
+    texts = [*fields(9, 150), "", "   ", None, "A" * 30000 + "," + "B" * 30000, '"open', "a,a", "a,a", "line\n"]
     rows = [(i if i else None, t, None, "x") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "variant_id long, id string, alt string, dialect string")
     out = P.split_packed(df, "variant_id", ["id", "alt"]).collect()
