@@ -70,6 +70,9 @@ MONTHS = frozenset("januar februar märz april mai juni juli august september ok
 _EMOJI = "[\U0001f000-\U0001faff☀-➿⬀-⯿️‍⃣\U000e0020-\U000e007f]"
 _BLANK = re.compile(r"(?:\r\n|[\n\r ])[^\S\n\r ]*(?:(?:\r\n|[\n\r ])\s*)+| \s*")
 _END = re.compile(rf"[{re.escape(STRONG + WEAK)}]+|{_EMOJI}+")
+#: The same marks where a text has ASCII characters only, and the words of such a text.
+_ASCII_END = re.compile(r"[!?.]+")
+_ASCII_WORD = re.compile(r"[a-z]+(?:['\-][a-z]+)*")
 _TRAIL = re.compile(rf"[^\S\n]*{_EMOJI}+")
 _LETTER_POINT = re.compile(r"(?<![^\W\d_])[^\W\d_]\.\s+\Z")
 _INITIALS = re.compile(r"(?:[^\W\d_]\.)+[^\W\d_]")
@@ -227,7 +230,8 @@ class Paragraph:
 
     def find(self) -> list[Candidate]:
         out, text, stop = [], self.text, self.stop
-        for m in _END.finditer(text, self.start, stop):
+        plain = text.isascii()
+        for m in (_ASCII_END if plain else _END).finditer(text, self.start, stop):
             if out and m.start() < out[-1].end:
                 continue
             marks, end = m.group(), m.end()
@@ -239,7 +243,7 @@ class Paragraph:
                 end, opener, kind = self.closing(end)
                 if end < stop and text[end] in _MARKS:
                     continue  # the cluster goes on behind the closing mark
-                while t := _TRAIL.match(text, end, stop):
+                while not plain and (t := _TRAIL.match(text, end, stop)):
                     end = t.end()
                 if end >= stop:
                     break
@@ -249,7 +253,7 @@ class Paragraph:
             c = self.judge(m.start(), marks, m.end(), end, nxt, opener, kind, emoji, out)
             if c is not None:
                 out.append(c)
-        if _MARKLESS.search(text, self.start, stop):
+        if not plain and _MARKLESS.search(text, self.start, stop):
             out += self.spaces()
             out.sort(key=lambda c: c.end)
         return out
@@ -505,7 +509,7 @@ def _count(text: str, close: Counter, opening: Counter, total: Counter) -> None:
             m = _SPACED_WORD.search(part, at) if at == 0 else _SPACED_WORD.match(part, at)
             if m:
                 opening[m.group().casefold()] += 1
-    total.update(_SPACED_WORD.findall(text.casefold()))
+    total.update((_ASCII_WORD if text.isascii() else _SPACED_WORD).findall(text.casefold()))
 
 
 def word_statistics(df: DataFrame, text_col: str = "text") -> Words:
