@@ -91,7 +91,8 @@ class Grammar:
         else:
             try:
                 self.record(unit)
-                line_end = self.line_end(self.end)[0]
+                if self.across:
+                    line_end = self.line_end(self.end)[0]
             except Broken as e:
                 offset, number, message = e.args
                 unit.errors = [("quoting", number, offset, message)]
@@ -135,7 +136,8 @@ class Grammar:
                 at += 1
                 continue
             break
-        self.end = self.line_end(at)[1]
+        if self.across:
+            self.end = self.line_end(at)[1]
         if at + 1 < self.end and self.text[at + 1] != "\t":
             raise Broken(at + 1, number, "the quoted field goes on after its closing mark")
         self.at = at + 1
