@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import operators as ops
 from ..functions import alignment
@@ -28,11 +29,14 @@ def chrom_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vcf_header(spark: SparkSession, d: str) -> headers.VcfHeader:
+    """Contigs and fields. An Integer has 32 bits in the formats, so ROW is a String if an id does not fit; a BCF file keeps the 8 least for itself."""
+    low, high = table(spark, d, "variants").where("chrom IS NOT NULL").agg(F.min("variant_id"), F.max("variant_id")).first()
+    row = "Integer" if low is None or -(1 << 31) + 8 <= low and high < 1 << 31 else "String"
     contigs = [f"##contig=<ID={r[0]},length={r[1]}>" for r in table(spark, d, "contigs").orderBy("contig_id").select("contig_name", "seq_length").collect()]
     return headers.VcfHeader.parse("\n".join([
         "##fileformat=VCFv4.3", *contigs,
         '##FILTER=<ID=weak,Description="Quality below 20">', '##FILTER=<ID=shallow,Description="Few reads">',
-        '##INFO=<ID=ROW,Number=1,Type=Integer,Description="Row of the table">', '##INFO=<ID=NREADS,Number=1,Type=Integer,Description="Reads at the place">',
+        f'##INFO=<ID=ROW,Number=1,Type={row},Description="Row of the table">', '##INFO=<ID=NREADS,Number=1,Type=Integer,Description="Reads at the place">',
         '##INFO=<ID=PARTS,Number=.,Type=Float,Description="Shares, one may be missing">', '##INFO=<ID=EVEN,Number=0,Type=Flag,Description="Even sample">',
         '##INFO=<ID=ORIGIN,Number=1,Type=String,Description="Sample in words">',
         '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">', '##FORMAT=<ID=CN,Number=1,Type=Integer,Description="Copies">',
@@ -111,14 +115,15 @@ def fastq_file_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return text.read_fastq(spark, path).select(*(F.col(c).cast("string").alias(c) for c in reads.columns[:3]), F.md5("quality_scores").alias("quality_md5"))
 
 
-def _variants(spark: SparkSession, d: str) -> DataFrame:
+def _variants(spark: SparkSession, d: str, header: headers.VcfHeader) -> DataFrame:
     """All variants with a chromosome, with filters, INFO and two samples made from their columns. A BCF record needs a contig."""
+    row = F.col("variant_id").cast("int" if dict(header.info_fields())["ROW"] == "Integer" else "string")
     v = spread(table(spark, d, "variants").where("chrom IS NOT NULL"))
     sample, text_of = F.col("sample_id"), lambda c: F.coalesce(c.cast("string"), F.lit("."))
     marks = F.when(F.col("qual") < 20, F.array(F.lit("weak"), F.lit("shallow"))).when(F.col("qual") >= 20, F.array(F.lit("PASS")))
     return v.select(
         "chrom", "pos", _plain("id").alias("id"), "ref", _plain("alt").alias("alt"), "qual", marks.alias("filter"),
-        F.col("variant_id").cast("int").alias("INFO_ROW"), F.col("info_dp").alias("INFO_NREADS"),
+        row.alias("INFO_ROW"), F.col("info_dp").alias("INFO_NREADS"),
         F.when(sample.isNotNull(), F.array((sample % 8 / 8).cast("float"), F.lit(None).cast("float"), F.lit(0.25).cast("float"))).alias("INFO_PARTS"),
         F.coalesce(sample % 2 == 0, F.lit(False)).alias("INFO_EVEN"), F.concat(F.lit("a;b=100%,"), sample.cast("string")).alias("INFO_ORIGIN"),
         F.when(F.col("info_dp") > 10, F.lit("0/1\t1|1")).otherwise(F.lit("./.\t0/0")).alias("FMT_GT"),
@@ -131,6 +136,11 @@ def _plain(c: str) -> Column:
     return F.nullif(F.nullif(F.col(c), F.lit("")), F.lit("."))
 
 
+def _row_id(df: DataFrame) -> Column:
+    """The id of the table's row as a number, however the header holds it."""
+    return F.col("INFO_ROW").cast("bigint") if df.schema["INFO_ROW"].dataType == T.StringType() else F.col("INFO_ROW")
+
+
 def _shown_variants(df: DataFrame) -> DataFrame:
     out = df.withColumns({"filter": F.array_join("filter", ";"), "INFO_PARTS": F.array_join(F.transform("INFO_PARTS", lambda x: (x * 8).cast("int").cast("string")), ",", ".")})
     return out.withColumns({c: F.replace(F.col(c), F.lit("\t"), F.lit(" ")) for c in ("FMT_GT", "FMT_CN")})
@@ -139,7 +149,7 @@ def _shown_variants(df: DataFrame) -> DataFrame:
 def vcf_rewrite_by_qual(spark: SparkSession, d: str) -> DataFrame:
     """Variants written as VCF, read, filtered by quality, written again with all they have, and read."""
     path, header = shared_folder(spark), vcf_header(spark, d)
-    text.write_vcf(_variants(spark, d), f"{path}/all", header)
+    text.write_vcf(_variants(spark, d, header), f"{path}/all", header)
     found = text.read_vcf(spark, f"{path}/all", text.read_vcf_header(spark, f"{path}/all"), filters=True, info_arrays=True)
     text.write_vcf(found.where("qual >= 30"), f"{path}/good", header)
     return _shown_variants(text.read_vcf(spark, f"{path}/good", text.read_vcf_header(spark, f"{path}/good"), filters=True, info_arrays=True))
@@ -158,7 +168,7 @@ def vcf_to_bcf(spark: SparkSession, d: str) -> DataFrame:
     """Variants written as VCF, read, written as BCF in two appends, and read."""
     bcf.register(spark)
     path, header = shared_folder(spark), vcf_header(spark, d)
-    text.write_vcf(_variants(spark, d), f"{path}/vcf", header)
+    text.write_vcf(_variants(spark, d, header), f"{path}/vcf", header)
     found = text.read_vcf(spark, f"{path}/vcf", header, filters=True, info_arrays=True)
     for part in ("INFO_EVEN", "NOT INFO_EVEN"):
         _write_bcf(found.where(part), f"{path}/bcf", header)
@@ -170,14 +180,16 @@ def bcf_region_scan(spark: SparkSession, d: str) -> DataFrame:
     bcf.register(spark)
     path, header = shared_folder(spark), vcf_header(spark, d)
     order = F.array_position(F.array(*map(F.lit, header.contigs())), F.col("chrom"))
-    _write_bcf(_variants(spark, d).orderBy(order, F.col("pos").asc_nulls_first()), path, header, index=True)
-    return _read_bcf(spark, path, REGION).select(F.col("INFO_ROW").alias("variant_id"), "chrom", "pos", F.array_join("filter", ";").alias("filter"))
+    _write_bcf(_variants(spark, d, header).orderBy(order, F.col("pos").asc_nulls_first()), path, header, index=True)
+    found = _read_bcf(spark, path, REGION)
+    return found.select(_row_id(found).alias("variant_id"), "chrom", "pos", F.array_join("filter", ";").alias("filter"))
 
 
 def vcf_bcf_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Variants with an even sample in a BCF file, the others in a VCF file; for each of the latter those of the former within 20 kb."""
     bcf.register(spark)
-    path, header, rows = shared_folder(spark), vcf_header(spark, d), _variants(spark, d)
+    path, header = shared_folder(spark), vcf_header(spark, d)
+    rows = _variants(spark, d, header)
     text.write_vcf(rows.where("NOT INFO_EVEN"), f"{path}/vcf", header)
     _write_bcf(rows.where("INFO_EVEN"), f"{path}/bcf", header)
     place = [F.col("INFO_ROW").alias("variant_id"), F.col("chrom"), (F.col("pos") - 1).alias("start"), (F.col("pos") - 1 + F.length("ref")).alias("end")]
