@@ -192,9 +192,9 @@ def vcf_bcf_overlap(spark: SparkSession, d: str) -> DataFrame:
     rows = _variants(spark, d, header)
     text.write_vcf(rows.where("NOT INFO_EVEN"), f"{path}/vcf", header)
     _write_bcf(rows.where("INFO_EVEN"), f"{path}/bcf", header)
-    place = [F.col("INFO_ROW").alias("variant_id"), F.col("chrom"), (F.col("pos") - 1).alias("start"), (F.col("pos") - 1 + F.length("ref")).alias("end")]
-    left = text.read_vcf(spark, f"{path}/vcf", text.read_vcf_header(spark, f"{path}/vcf")).select(*place)
-    pairs = ops.overlap(ops.expand(left, 20_000), _read_bcf(spark, f"{path}/bcf").select(*place))
+    place = lambda df: df.select(_row_id(df).alias("variant_id"), "chrom", (F.col("pos") - 1).alias("start"), (F.col("pos") - 1 + F.length("ref")).alias("end"))
+    left = place(text.read_vcf(spark, f"{path}/vcf", text.read_vcf_header(spark, f"{path}/vcf")))
+    pairs = ops.overlap(ops.expand(left, 20_000), place(_read_bcf(spark, f"{path}/bcf")))
     return pairs.groupBy("a_variant_id").agg(F.count("*").alias("n_hits"), F.min("b_variant_id").alias("first_hit"))
 
 
