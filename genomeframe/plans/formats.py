@@ -142,7 +142,7 @@ def _row_id(df: DataFrame) -> Column:
 
 
 def _shown_variants(df: DataFrame) -> DataFrame:
-    out = df.withColumns({"filter": F.array_join("filter", ";"), "INFO_PARTS": F.array_join(F.transform("INFO_PARTS", lambda x: (x * 8).cast("int").cast("string")), ",", ".")})
+    out = df.withColumns({"INFO_ROW": _row_id(df), "filter": F.array_join("filter", ";"), "INFO_PARTS": F.array_join(F.transform("INFO_PARTS", lambda x: (x * 8).cast("int").cast("string")), ",", ".")})
     return out.withColumns({c: F.replace(F.col(c), F.lit("\t"), F.lit(" ")) for c in ("FMT_GT", "FMT_CN")})
 
 
