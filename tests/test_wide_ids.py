@@ -23,7 +23,7 @@ def wide(spark, tmp_path_factory):
     return str(base)
 
 
-@pytest.mark.parametrize("name, ids", [("bcf_region_scan", ("variant_id",)), ("vcf_bcf_overlap", ("a_variant_id", "first_hit")), ("vcf_rewrite_by_qual", ("INFO_ROW",))])
+@pytest.mark.parametrize("name, ids", [("bcf_region_scan", ("variant_id",)), ("vcf_bcf_overlap", ("a_variant_id", "first_hit")), ("vcf_rewrite_by_qual", ("INFO_ROW",)), ("vcf_to_bcf", ("INFO_ROW",))])
 def test_wide_ids(spark, wide, name, ids):
     near, far = QUERIES[name](spark, FOLDER), QUERIES[name](spark, wide)
     assert all(dict(near.dtypes)[c] == "int" and dict(far.dtypes)[c] == "bigint" for c in ids)
