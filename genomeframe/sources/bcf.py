@@ -12,6 +12,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,10 @@ _KINDS = {"Integer": ("int", pa.int32()), "Float": ("float", pa.float32()), "Fla
 _INTS = {1: ("b", -128, -127), 2: ("h", -32768, -32767), 3: ("i", -(1 << 31), -(1 << 31) + 1)}
 _FLOAT_MISSING, _FLOAT_END = 0x7F800001, 0x7F800002
 _FIXED = struct.Struct("<iiifHHI")
+_WIDTHS = {0: 0, 1: 1, 2: 2, 3: 4, 5: 4, 7: 1}
 BATCH = 4096
+#: Values of samples that a worker keeps, since few different ones make up most records; not those of many samples, which are long.
+CACHED, CACHED_SAMPLES = 1024, 16
 
 
 def columns(header: VcfHeader, filters: bool = False, info_arrays: bool = False) -> list[tuple[str, str, pa.DataType]]:
@@ -111,6 +115,16 @@ def genotype(values: list) -> str:
     return out or "."
 
 
+@lru_cache(CACHED)
+def _shown_samples(data: bytes, kind: int, n: int, samples: int, is_genotype: bool) -> str:
+    """The values of all samples of a record, joined by tabs."""
+    shown, at = [], 0
+    for _ in range(samples):
+        value, at = _values(data, kind, n, at)
+        shown.append(genotype(value) if is_genotype and not isinstance(value, str) else (value or ".") if isinstance(value, str) else ",".join(map(_shown, value)) or ".")
+    return "\t".join(shown)
+
+
 @dataclass
 class Codec:
     """Rows of one header; keeps what is looked up for each record."""
@@ -128,6 +142,11 @@ class Codec:
         self.several = self.header.info_lists() if self.info_arrays else frozenset()
         self.info, self.format = dict(self.header.info_fields()), dict(self.header.format_fields())
         self.samples = len(self.header.sample_names())
+        self.numbers, self.places = {w: i for i, w in enumerate(self.words)}, {c: i for i, c in enumerate(self.contigs)}
+        self.heads = {k: _put_ints([self.numbers[k]]) for k in (*self.info, *self.format) if k in self.numbers}
+        self.empty = dict.fromkeys(self.names) | {f"INFO_{k}": False for k, t in self.info.items() if t == "Flag"}
+        if self.samples:
+            self.empty |= {f"FMT_{k}": "\t".join("." * self.samples) for k in self.format}
 
     def decode(self, shared: bytes, single: bytes) -> tuple[dict, int]:
         """(row, number of reference positions)."""
@@ -139,10 +158,9 @@ class Codec:
             a, at = _take(shared, at)
             alleles.append(a or "")
         marks, at = _take(shared, at)
-        row: dict = dict.fromkeys(self.names)
+        row: dict = self.empty.copy()
         if self.filters:
             row["filter"] = [self.words[i] for i in marks] or None
-        row |= {f"INFO_{k}": False for k, t in self.info.items() if t == "Flag"}
         row |= {
             "chrom": self.contigs[chrom] if 0 <= chrom < len(self.contigs) else "", "pos": pos + 1 if pos >= 0 else None, "id": ident if ident and ident != "." else None,
             "ref": alleles[0] if alleles else "", "alt": ",".join(alleles[1:]) or None, "qual": None if raw_qual == _FLOAT_MISSING else qual,
@@ -160,23 +178,19 @@ class Codec:
                 row[f"INFO_{name}"] = value[0] if value else None
             elif kind and value:
                 row[f"INFO_{name}"] = value if isinstance(value, str) else ",".join(map(_shown, value))
-        at = 0
-        if self.samples:
-            row |= {f"FMT_{k}": "\t".join("." * self.samples) for k in self.format}
+        at, shown = 0, _shown_samples if self.samples <= CACHED_SAMPLES else _shown_samples.__wrapped__
         for _ in range(counts >> 24 if self.samples else 0):
             key, at = _take(single, at)
             kind, n, at = _typed(single, at)
-            name, shown = self.words[key[0]], []
-            for _ in range(self.samples):
-                value, at = _values(single, kind, n, at)
-                shown.append(genotype(value) if name == "GT" and not isinstance(value, str) else (value or ".") if isinstance(value, str) else ",".join(map(_shown, value)) or ".")
+            name, end = self.words[key[0]], at + self.samples * n * _WIDTHS[kind]
             if name in self.format:
-                row[f"FMT_{name}"] = "\t".join(shown)
+                row[f"FMT_{name}"] = shown(single[at:end], kind, n, self.samples, name == "GT")
+            at = end
         return row, span
 
     def encode(self, row: dict) -> bytes:
         chrom, ref = row["chrom"], row["ref"] or "N"
-        if chrom not in self.contigs:
+        if chrom not in self.places:
             raise ValueError(f"the header has no contig {chrom!r}")
         alts = row["alt"].split(",") if row["alt"] else []
         info = b""
@@ -186,7 +200,7 @@ class Codec:
             if v is None or v is False:
                 continue
             n_info += 1
-            info += _put_ints([self.words.index(key)])
+            info += self.heads[key]
             values = list(v) if isinstance(v, (list, tuple)) else [v]
             if kind == "Flag":
                 info += b"\0"
@@ -194,27 +208,24 @@ class Codec:
                 info += _put_ints(values) if kind == "Integer" else _put_floats(values)
             else:
                 info += _put_text(str(v))
-        single, n_format = b"", 0
+        single, n_format, put = b"", 0, _put_samples if self.samples <= CACHED_SAMPLES else _put_samples.__wrapped__
         for key, kind in self.format.items() if self.samples else ():
-            text = row.get(f"FMT_{key}")
-            own = (text.split("\t") if text is not None else []) + ["."] * self.samples
-            own = own[: self.samples]
-            if all(x == "." for x in own):
-                continue
-            n_format += 1
-            single += _put_ints([self.words.index(key)]) + _put_samples(own, "GT" if key == "GT" else kind)
+            values = put(row.get(f"FMT_{key}"), self.samples, "GT" if key == "GT" else kind)
+            if values:
+                n_format += 1
+                single += self.heads[key] + values
         qual = struct.pack("<I", _FLOAT_MISSING) if row["qual"] is None else struct.pack("<f", row["qual"])
-        shared = struct.pack("<iii", self.contigs.index(chrom), (row["pos"] or 0) - 1, len(ref)) + qual
+        shared = struct.pack("<iii", self.places[chrom], (row["pos"] or 0) - 1, len(ref)) + qual
         shared += struct.pack("<HHI", n_info, 1 + len(alts), n_format << 24 | self.samples) + _put_text(row["id"] or ".")
         shared += b"".join(map(_put_text, [ref, *alts])) + self._marks(row.get("filter")) + info
         return struct.pack("<II", len(shared), len(single)) + shared + single
 
     def _marks(self, names: list[str] | None) -> bytes:
         """Filters as numbers of the dictionary; no filter at all is a missing value."""
-        unknown = [n for n in names or () if n not in self.words]
+        unknown = [n for n in names or () if n not in self.numbers]
         if unknown:
             raise ValueError(f"the header has no filter {unknown[0]!r}")
-        return _put_ints([self.words.index(n) for n in names]) if names else b"\0"
+        return _put_ints([self.numbers[n] for n in names]) if names else b"\0"
 
 
 def _head(kind: int, n: int) -> bytes:
@@ -233,6 +244,8 @@ def _ints(values: list, kind: int, n: int) -> bytes:
 
 
 def _put_ints(values: list) -> bytes:
+    if len(values) == 1 and values[0] is not None and -120 <= values[0] < 128:
+        return bytes((17, values[0] & 255))
     kind = _int_kind(values)
     return _head(kind, len(values)) + _ints(values, kind, len(values))
 
@@ -251,7 +264,13 @@ def _put_text(text: str) -> bytes:
     return _head(7, len(raw)) + raw
 
 
-def _put_samples(own: list[str], kind: str) -> bytes:
+@lru_cache(CACHED)
+def _put_samples(text: str | None, samples: int, kind: str) -> bytes:
+    """The values of all samples of a record, nothing if all are missing."""
+    own = (text.split("\t") if text is not None else []) + ["."] * samples
+    own = own[:samples]
+    if all(x == "." for x in own):
+        return b""
     if kind == "GT":
         lists = []
         for x in own:

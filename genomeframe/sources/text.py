@@ -139,14 +139,25 @@ def _sample_value(at: Column) -> Callable[[Column], Column]:
     return lambda s: F.coalesce(F.when(at > 0, F.get(F.split(s, ":"), at - 1)), F.lit("."))
 
 
-def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = False, info_arrays: bool = False) -> list[Column]:
-    """``chrom, pos, id, ref, alt, qual``; with a header one ``INFO_<KEY>`` per INFO and, with samples, one ``FMT_<KEY>`` per FORMAT.
+def _vcf_steps(line: Column, header: VcfHeader | None) -> list[Callable[[dict[str, Column]], dict[str, Column]]]:
+    """What the columns of a line are made from, by name; each step builds on those before."""
+    steps = [lambda _: {"fields": F.split(F.regexp_replace(line, "\r$", ""), "\t")}]
+    if header is None:
+        return steps
+    # by number, as the names of columns do not tell "dp" from "DP"
+    n, keys = len(header.sample_names()), [(i, k) for i, (k, kind) in enumerate(header.info_fields()) if kind != "Flag"]
+    formats = [(i, k) for i, (k, _) in enumerate(header.format_fields())] if n else []
+    place = lambda x: {"keys": F.split(F.get(x["fields"], F.lit(8)), ":"), "samples": F.slice(x["fields"], 10, n)} if n else {}
+    last = lambda x, k: F.try_element_at(F.filter(x["parts"], _is_key(k, False)), F.lit(-1))
+    return [
+        *steps, lambda x: {"parts": F.split(F.get(x["fields"], F.lit(7)), ";"), **place(x)},
+        lambda x: {f"info {i}": F.substr(last(x, k), F.lit(len(k) + 2)) for i, k in keys} | {f"at {i}": F.array_position(x["keys"], k).cast("int") for i, k in formats},
+    ]
 
-    Fields of several numbers give their first value, or an array with ``info_arrays``; flags that are absent are false.
-    ``filters`` adds ``filter``, an array of names. Codes of characters (``%3B``) in texts are resolved.
-    FORMAT values are joined by tabs, one per sample, ``.`` where missing.
-    """
-    f = [_field(line, i) for i in range(9)]
+
+def _vcf_values(x: dict[str, Column], header: VcfHeader | None, filters: bool, info_arrays: bool) -> list[Column]:
+    """The columns of ``vcf_columns`` from what ``_vcf_steps`` gives."""
+    f = [F.get(x["fields"], F.lit(i)) for i in range(7)]
     out = [
         f[0].alias("chrom"), F.when(f[1].try_cast("int") > 0, f[1].try_cast("int")).alias("pos"), vcf_decoded(_known(f[2], ".")).alias("id"), f[3].alias("ref"), vcf_decoded(_known(f[4], ".")).alias("alt"),
         f[5].try_cast("float").alias("qual"),
@@ -155,15 +166,12 @@ def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = F
         out.append(F.when(f[6] != ".", F.split(f[6], ";")).alias("filter"))
     if header is None:
         return out
-    parts = F.split(f[7], ";")
     kinds, several = {"Integer": "int", "Float": "float"}, header.info_lists() if info_arrays else frozenset()
-    for key, kind in header.info_fields():
+    for i, (key, kind) in enumerate(header.info_fields()):
         if kind == "Flag":
-            out.append(F.coalesce(F.exists(parts, _is_key(key, True)), F.lit(False)).alias(f"INFO_{key}"))
+            out.append(F.coalesce(F.exists(x["parts"], _is_key(key, True)), F.lit(False)).alias(f"INFO_{key}"))
             continue
-        hit = F.filter(parts, _is_key(key, False))
-        value = F.when(F.size(hit) > 0, F.substr(F.element_at(hit, -1), F.lit(len(key) + 2)))
-        value = _known(value, ".")
+        value = _known(x[f"info {i}"], ".")
         if key in several:
             value = F.transform(F.split(value, ","), _caster(kinds[kind]))
         elif kind in kinds:
@@ -171,15 +179,24 @@ def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = F
         else:
             value = vcf_decoded(value)
         out.append(value.alias(f"INFO_{key}"))
-    if header.sample_names():
-        samples = F.slice(F.split(F.regexp_replace(line, "\r$", ""), "\t"), 10, len(header.sample_names()))
-        keys = F.split(f[8], ":")
-        for key, _ in header.format_fields():
-            at = F.array_position(keys, key).cast("int")
-            out.append(F.array_join(F.transform(samples, _sample_value(at)), "\t").alias(f"FMT_{key}"))
+    for i, (key, _) in enumerate(header.format_fields() if header.sample_names() else ()):
+        out.append(F.array_join(F.transform(x["samples"], _sample_value(x[f"at {i}"])), "\t").alias(f"FMT_{key}"))
     return out
 
 
+def vcf_columns(line: Column, header: VcfHeader | None = None, filters: bool = False, info_arrays: bool = False) -> list[Column]:
+    """``chrom, pos, id, ref, alt, qual``; with a header one ``INFO_<KEY>`` per INFO and, with samples, one ``FMT_<KEY>`` per FORMAT.
+
+    Fields of several numbers give their first value, or an array with ``info_arrays``; flags that are absent are false.
+    ``filters`` adds ``filter``, an array of names. Codes of characters (``%3B``) in texts are resolved.
+    FORMAT values are joined by tabs, one per sample, ``.`` where missing.
+    """
+    made: dict[str, Column] = {}
+    for step in _vcf_steps(line, header):
+        made |= step(made)
+    return _vcf_values(made, header, filters, info_arrays)
+
+
 def vcf_line(info: Column | None = None, filters: Column | None = None, samples: Sequence[Column] = ()) -> Column:
     """One line from the six base columns; ``info``, ``filters`` and ``samples`` (the keys, then the samples) are text."""
     missing = lambda c: F.coalesce(F.when(c != "", c), F.lit("."))
@@ -247,8 +264,14 @@ def read_vcf_header(spark: SparkSession, path: str) -> VcfHeader:
 
 def read_vcf(spark: SparkSession, path: str, header: VcfHeader | None = None, filters: bool = False, info_arrays: bool = False) -> DataFrame:
     """Six columns, or all of the header's if it is given. Compressed text is read as well."""
-    lines = spark.read.text(path).where(~F.col("value").startswith("#") & (F.col("value") != ""))
-    return lines.select(*vcf_columns(F.col("value"), header, filters, info_arrays))
+    df = spark.read.text(path).where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    # one projection a step, so that a line is split once and not for each use of a field
+    made: dict[str, Column] = {}
+    for step in _vcf_steps(F.col("value"), header):
+        new = step(made)
+        df = df.select(*made.values(), *(c.alias(n) for n, c in new.items()))
+        made |= {n: F.col(f"`{n}`") for n in new}
+    return df.select(*_vcf_values(made, header, filters, info_arrays))
 
 
 def write_vcf(df: DataFrame, path: str, header: VcfHeader | None = None) -> None:
