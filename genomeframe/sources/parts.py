@@ -8,8 +8,8 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSourceArrowWriter, InputPartition, WriterCommitMessage
@@ -17,6 +17,9 @@ from pyspark.sql.datasource import DataSourceArrowWriter, InputPartition, Writer
 from . import files
 from .bgzf import Reader, Writer, read_block
 
+if TYPE_CHECKING:  # each of the driver's workers for a source would hold pandas in memory
+    import pandas as pd
+
 #: Compressed bytes that a task reads about.
 SPLIT_BYTES = 64 << 20
 END = 1 << 62

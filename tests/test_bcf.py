@@ -1,6 +1,9 @@
 """BCF: VCF text to BCF and back, typed values, index splits and regions."""
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +109,10 @@ def test_values():
     codec = bcf.Codec(VcfHeader.parse(HEADER), True)
     with pytest.raises(ValueError):
         codec.encode({"chrom": "ctgA", "pos": 1, "id": None, "ref": "A", "alt": None, "qual": None, "filter": ["unheard"]})
+
+
+def test_source_workers_need_no_pandas():
+    """The driver keeps a worker for each step of a source; each would hold pandas, which no step needs."""
+    root = Path(bcf.__file__).parents[2]
+    code = "import sys, genomeframe.sources.bcf; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
